@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.operators.quantiles import describe
+from stockloom.session import settle
 
 
 def total_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -101,18 +104,69 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
+def _pair_moments(columns: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Per task: count, means and centred second moments of each column pair, over rows having both."""
+    left, right = np.triu_indices(len(columns))
+
+    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shift = None
+        totals = np.zeros((6, len(left)))
+        for batch in batches:
+            x = batch.to_numpy(dtype=float)
+            here = ~np.isnan(x)
+            if shift is None:  # values near the first batch's mean keep the sums free of cancellation
+                shift = np.where(here, x, 0.0).sum(axis=0) / np.maximum(here.sum(axis=0), 1)
+            x, m = np.where(here, x - shift, 0.0), here.astype(float)
+            sums, squares = x.T @ m, (x * x).T @ m
+            totals += np.stack([
+                (m.T @ m)[left, right], sums[left, right], sums.T[left, right],
+                squares[left, right], squares.T[left, right], (x.T @ x)[left, right],
+            ])
+        n, sx, sy, sxx, syy, sxy = totals
+        rows = n > 0
+        if shift is None or not rows.any():
+            return
+        n, sx, sy, sxx, syy, sxy = (v[rows] for v in (n, sx, sy, sxx, syy, sxy))
+        i, j = left[rows], right[rows]
+        yield pd.DataFrame({
+            "i": i, "j": j, "n": n, "mx": shift[i] + sx / n, "my": shift[j] + sy / n,
+            "cxx": sxx - sx * sx / n, "cyy": syy - sy * sy / n, "cxy": sxy - sx * sy / n,
+        })
+
+    return moments
+
+
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of all column pairs, over the rows where both are present; one pass.
 
-    The long result holds both orders of a pair and the diagonal.
+    A `corr` aggregate per pair costs 15 times the scan for 11 columns, so each task multiplies its Arrow
+    batches as matrices and returns one row per pair; the rows of all tasks are merged here. The long
+    result holds both orders of a pair and the diagonal.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one_row = df.agg(*[F.corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for left, right in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(left).alias("a"), F.lit(right).alias("b"), F.col(f"{i}").alias("corr")))
-    return one_row.select(F.inline(F.array(*cells)))
+    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    schema = "i int, j int, n double, mx double, my double, cxx double, cyy double, cxy double"
+    parts = settle(values.mapInPandas(_pair_moments(list(columns)), schema))
+    centre = parts.groupBy("i", "j").agg(
+        (F.sum(F.col("n") * F.col("mx")) / F.sum("n")).alias("ax"),
+        (F.sum(F.col("n") * F.col("my")) / F.sum("n")).alias("ay"),
+    )
+    dx, dy = F.col("mx") - F.col("ax"), F.col("my") - F.col("ay")
+    pairs = (
+        # One row per pair of listed columns: the broadcast side is bounded by their number.
+        parts.join(F.broadcast(centre), ["i", "j"])
+        .groupBy("i", "j")
+        .agg(
+            F.sum(F.col("cxy") + F.col("n") * dx * dy).alias("xy"),
+            F.sum(F.col("cxx") + F.col("n") * dx * dx).alias("xx"),
+            F.sum(F.col("cyy") + F.col("n") * dy * dy).alias("yy"),
+        )
+        .select("i", "j", F.try_divide("xy", F.sqrt(F.col("xx") * F.col("yy"))).alias("corr"))
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    a, b = names[F.col("i")], names[F.col("j")]
+    one_way = F.struct(a.alias("a"), b.alias("b"), "corr")
+    other_way = F.when(F.col("i") != F.col("j"), F.struct(b.alias("a"), a.alias("b"), "corr"))
+    return pairs.select(F.inline(F.array_compact(F.array(one_way, other_way))))
 
 
 def daily_supply(logistics: DataFrame) -> DataFrame:
