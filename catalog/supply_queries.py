@@ -9,7 +9,7 @@ from stockloom.functions.geo import great_circle_km
 from stockloom.operators import allocation as al
 from stockloom.operators import demand as dm
 from stockloom.operators import lanes as ln
-from stockloom.operators import results as rs
+from stockloom.plans.allocation import allocate
 from stockloom.sources import domain_views as views
 
 SCENARIO = "weekly_plan"
@@ -146,14 +146,13 @@ def targets(spark, folder):
     return al.with_target(assembled(spark, folder))
 
 
-def plan(spark, folder):
-    return al.plan_flows(al.balances(targets(spark, folder)))
+def run(spark, folder, capacity=5000.0):
+    return allocate(assembled(spark, folder), store_city(spark, folder), city_lanes(spark, folder), capacity)
 
 
-def priced(spark, folder):
-    planned = plan(spark, folder)
-    transfers = al.priced_transfers(al.moves(planned), store_city(spark, folder), city_lanes(spark, folder))
-    return planned, transfers, targets(spark, folder)
+def plan(spark, folder):
+    """Flows only: nothing is priced, so no lanes are built."""
+    return al.plan_flows(al.balances(targets(spark, folder)))
 
 
 # ---- Regions and lanes ----
@@ -294,8 +293,7 @@ def target_stock(spark, folder):
 @query("l03_j03_priced_transfers", TO_COSTS + f"""SELECT from_store, to_store, product_id, tier, CAST(qty AS DOUBLE) AS qty,
     {r('unit_cost')}, {r('cost')} FROM transfers""")
 def priced_transfers(spark, folder):
-    _, transfers, _ = priced(spark, folder)
-    shown = transfers.select("from_store", "to_store", "product_id", "tier", F.col("qty").cast("double").alias("qty"), "unit_cost", "cost")
+    shown = run(spark, folder).transfers().select("from_store", "to_store", "product_id", "tier", F.col("qty").cast("double").alias("qty"), "unit_cost", "cost")
     return rounded(shown)
 
 
@@ -312,7 +310,7 @@ def all_moves(spark, folder):
 
 @query("l06_production", TO_COSTS + f"SELECT store_id, product_id, CAST(qty AS DOUBLE) AS qty, {r('cost')} FROM production")
 def production(spark, folder):
-    made = al.production(plan(spark, folder), targets(spark, folder))
+    made = run(spark, folder).production()
     return rounded(made.select("store_id", "product_id", F.col("qty").cast("double").alias("qty"), "cost"))
 
 
@@ -358,33 +356,26 @@ def store_production(spark, folder):
 
 @query("l10_transfer_reasons", TO_COSTS + "SELECT from_store, to_store, product_id, reason_codes FROM reasoned")
 def transfer_reasons(spark, folder):
-    _, transfers, wanted = priced(spark, folder)
-    return al.transfer_reasons(transfers, wanted).select("from_store", "to_store", "product_id", "reason_codes")
+    return run(spark, folder).transfers().select("from_store", "to_store", "product_id", "reason_codes")
 
 
 @query("l11_production_reasons", TO_COSTS + "SELECT store_id, product_id, reason_codes FROM reasoned_made")
 def production_reasons(spark, folder):
-    wanted = targets(spark, folder)
-    made = al.production(plan(spark, folder), wanted)
-    return al.production_reasons(made, wanted).select("store_id", "product_id", "reason_codes")
+    return run(spark, folder).production().select("store_id", "product_id", "reason_codes")
 
 
 @query("l12_reason_counts", TO_COSTS + """SELECT reason, count(*) AS n_rows FROM (SELECT unnest(reason_codes) AS reason FROM reasoned
     UNION ALL SELECT unnest(reason_codes) FROM reasoned_made) GROUP BY 1""")
 def reason_counts(spark, folder):
-    planned, transfers, wanted = priced(spark, folder)
-    moved = al.transfer_reasons(transfers, wanted).select("reason_codes")
-    made = al.production_reasons(al.production(planned, wanted), wanted).select("reason_codes")
-    return al.reason_counts(moved.unionByName(made))
+    made = run(spark, folder)
+    return al.reason_counts(made.transfers().select("reason_codes").unionByName(made.production().select("reason_codes")))
 
 
 @query("a28_production_by_product", TO_COSTS + f"""SELECT product_id, CAST(sum(qty) AS DOUBLE) AS quantity, {r('sum(cost)', 'cost')},
     list_sort(list_distinct(flatten(list(reason_codes)))) AS reason_codes FROM reasoned_made GROUP BY 1""")
 def production_by_product(spark, folder):
-    wanted = targets(spark, folder)
-    made = al.production_reasons(al.production(plan(spark, folder), wanted), wanted)
-    grouped = al.production_by_product(made).withColumn("quantity", F.col("quantity").cast("double"))
-    return rounded(grouped)
+    grouped = al.production_by_product(run(spark, folder).production())
+    return rounded(grouped.withColumn("quantity", F.col("quantity").cast("double")))
 
 
 COSTS = """
@@ -399,8 +390,7 @@ costs AS (SELECT *, manufacturing_cost + transfer_cost + holding_cost AS total_c
     round(total_cost, 3) AS total_cost, round(100 * manufacturing_cost / total_cost, 6) AS manufacturing_pct,
     round(100 * transfer_cost / total_cost, 6) AS transfer_pct, round(100 * holding_cost / total_cost, 6) AS holding_pct FROM costs""")
 def cost_summary(spark, folder):
-    planned, transfers, wanted = priced(spark, folder)
-    costs = al.cost_summary(transfers, al.production(planned, wanted), planned)
+    costs = run(spark, folder).costs()
     digits = {c: 3 for c in ("manufacturing_cost", "transfer_cost", "total_cost")}
     digits.update({f"{p}_pct": 6 for p in ("manufacturing", "transfer", "holding")})
     return costs.withColumns({c: F.round(c, n) for c, n in digits.items()})
@@ -409,10 +399,8 @@ def cost_summary(spark, folder):
 @query("l13_cost_and_bound")
 def cost_and_bound(spark, folder):
     """Cost of the plan next to the cost no plan can undercut."""
-    planned, transfers, wanted = priced(spark, folder)
-    costs = al.cost_summary(transfers, al.production(planned, wanted), planned)
-    bound = al.lower_bound(planned, wanted, city_lanes(spark, folder))
-    both = costs.select("total_cost").join(F.broadcast(bound))
+    made = run(spark, folder)
+    both = made.costs().select("total_cost").join(F.broadcast(made.lower_bound()))
     return both.withColumn("gap_pct", 100 * (F.col("total_cost") - F.col("lower_bound")) / F.col("total_cost"))
 
 
@@ -424,9 +412,7 @@ def cost_and_bound(spark, folder):
     round(total_cost + 25 * after, 1) AS optimized_cost, CAST(round_even(after, 0) AS BIGINT) AS optimized_stockouts,
     CAST(round_even(before, 0) - round_even(after, 0) AS BIGINT) AS stockout_reduction_units FROM state, costs""")
 def scenario_delta(spark, folder):
-    planned, transfers, wanted = priced(spark, folder)
-    costs = al.cost_summary(transfers, al.production(planned, wanted), planned)
-    compared = rs.scenario_delta(costs, planned, wanted, SCENARIO)
+    compared = run(spark, folder).scenario_record(SCENARIO)
     return compared.select(
         "scenario", F.round("baseline.total_cost", 1).alias("baseline_cost"), F.col("baseline.total_stockouts").alias("baseline_stockouts"),
         F.round("optimized.total_cost", 1).alias("optimized_cost"), F.col("optimized.total_stockouts").alias("optimized_stockouts"),
@@ -436,12 +422,9 @@ def scenario_delta(spark, folder):
 
 @query("l15_transfer_records")
 def transfer_records(spark, folder):
-    _, transfers, wanted = priced(spark, folder)
-    return rs.transfer_records(al.transfer_reasons(transfers, wanted), wanted, SCENARIO)
+    return run(spark, folder).transfer_records(SCENARIO)
 
 
 @query("l15_manufacturing_records")
 def manufacturing_records(spark, folder):
-    wanted = targets(spark, folder)
-    made = al.production_reasons(al.production(plan(spark, folder), wanted), wanted)
-    return rs.manufacturing_records(al.production_by_product(made), SCENARIO)
+    return run(spark, folder).manufacturing_records(SCENARIO)
