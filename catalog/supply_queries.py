@@ -418,13 +418,3 @@ def scenario_delta(spark, folder):
         F.round("optimized.total_cost", 1).alias("optimized_cost"), F.col("optimized.total_stockouts").alias("optimized_stockouts"),
         "delta.stockout_reduction_units",
     )
-
-
-@query("l15_transfer_records")
-def transfer_records(spark, folder):
-    return run(spark, folder).transfer_records(SCENARIO)
-
-
-@query("l15_manufacturing_records")
-def manufacturing_records(spark, folder):
-    return run(spark, folder).manufacturing_records(SCENARIO)
