@@ -8,7 +8,7 @@ Spark broadcasts a dimension only when its size is below the session's threshold
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
+    """The same table as a file stream. `files_per_batch` bounds what one micro-batch reads."""
+    reader = spark.readStream.schema(table(spark, folder, name).schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(f"{folder}/{name}.parquet*")
+
+
 def _number(column: str) -> Column:
     return F.col(column).cast("double")
 
@@ -79,8 +87,10 @@ _LOOKUPS = {
 }
 
 
-def _lineitem_view(spark: SparkSession, folder: str, spec: Spec, columns: Sequence[str]) -> DataFrame:
-    rows = table(spark, folder, "lineitem")
+def _lineitem_view(
+    spark: SparkSession, folder: str, spec: Spec, columns: Sequence[str], rows: DataFrame | None = None
+) -> DataFrame:
+    rows = table(spark, folder, "lineitem") if rows is None else rows
     needed = set().union(*[spec[name][1] for name in columns])
     for dimension in sorted(needed):
         ours, theirs = _LOOKUPS[dimension]
@@ -94,6 +104,12 @@ def demand(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return _lineitem_view(spark, folder, spec, columns or list(spec))
 
 
+def demand_stream(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Demand over arriving line items; dimensions are static."""
+    spec = demand_columns()
+    return _lineitem_view(spark, folder, spec, columns or list(spec), stream_table(spark, folder, "lineitem"))
+
+
 def logistics(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     spec = logistics_columns()
     return _lineitem_view(spark, folder, spec, columns or list(spec))
@@ -107,16 +123,16 @@ def event_series(spark: SparkSession, folder: str) -> DataFrame:
     return events.groupBy(F.col("event_type").alias("series"), day).agg(total)
 
 
-def questions(spark: SparkSession, folder: str) -> DataFrame:
+def questions(spark: SparkSession, folder: str, read: Callable[[SparkSession, str, str], DataFrame] = table) -> DataFrame:
     """User turns of `conversations`, plus one question per order whose wording and ids come from the
     order itself (a customer is a conversation, the order key is the turn)."""
-    said = table(spark, folder, "conversations").where("role = 'user'").select("conv_id", "turn", "text")
+    said = read(spark, folder, "conversations").where("role = 'user'").select("conv_id", "turn", "text")
     ask = F.col("o_orderkey") % len(QUESTION_FORMS)
     ids = {"{s}": F.col("o_custkey") % 100, "{p}": F.col("o_orderkey") % 25, "{n}": F.col("o_orderkey") % 900 + 100}
     text = F.element_at(F.array(*[F.lit(q) for q in QUESTION_FORMS]), (ask + 1).cast("int"))
     for mark, value in ids.items():
         text = F.replace(text, F.lit(mark), value.cast("string"))
-    asked = table(spark, folder, "orders").select(
+    asked = read(spark, folder, "orders").select(
         (F.col("o_custkey") + 1_000_000_000).alias("conv_id"), F.col("o_orderkey").alias("turn"), text.alias("text")
     )
     return said.unionByName(asked)
