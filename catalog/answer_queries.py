@@ -13,7 +13,7 @@ from stockloom.sources import domain_views as views
 
 
 def _any(words: list[str]) -> str:
-    return tx.any_of(words).replace("'", "''")
+    return "(" + "|".join(words).replace("'", "''") + ")"
 
 
 _groups = [
@@ -81,11 +81,15 @@ TO_RECORDS = TO_COSTS.rstrip() + "," + RECORDS
 TO_ANSWERS = TO_COSTS.rstrip() + "," + ",".join([RECORDS, SECTIONS, QUESTIONS, CLASSIFIED, ASKED])
 
 
-def _answers_sql(sections: str, intent: str, noun: str, nothing: str) -> str:
+def _hits_sql(sections: str, intent: str) -> str:
     return f""", wanted AS (SELECT DISTINCT answer_key, tokens FROM asked WHERE intent = '{intent}'),
-    hits AS (SELECT answer_key, position, section FROM wanted, {sections} WHERE len(tokens) = 0 OR list_has_any(tokens, ids)),
-    bodies AS (SELECT answer_key, count(*) AS n, string_agg(section, chr(10) || chr(10) ORDER BY position) AS body FROM hits GROUP BY 1)
-    SELECT answer_key, coalesce(n, 0) AS n_matches, CASE WHEN n > 0 THEN '**Scenario:** {SCENARIO}  ' || chr(10)
+    hits AS (SELECT answer_key, position, section FROM wanted, {sections} WHERE len(tokens) = 0 OR list_has_any(tokens, ids))"""
+
+
+def _answers_sql(sections: str, intent: str, noun: str, nothing: str) -> str:
+    return _hits_sql(sections, intent) + f""", bodies AS (SELECT answer_key, count(*) AS n,
+    string_agg(section, chr(10) || chr(10) ORDER BY position) AS body FROM hits GROUP BY 1)
+    SELECT answer_key, coalesce(n, 0) AS n_matches, CASE WHEN n > 100 THEN NULL WHEN n > 0 THEN '**Scenario:** {SCENARIO}  ' || chr(10)
     || '**Matching {noun}:** ' || n || chr(10) || chr(10) || body ELSE '{nothing}' END AS "text"
     FROM wanted LEFT JOIN bodies USING (answer_key)"""
 
@@ -110,7 +114,7 @@ def intents(spark, folder):
     regexp_matches(lower("text"), '^\\s*{_any(tx.GREETINGS)}\\b') AS by_word FROM questions""")
 def strict_greetings(spark, folder):
     return views.questions(spark, folder).select(
-        "conv_id", "turn", tx.is_greeting(F.col("text")).alias("by_prefix"), tx.is_greeting(F.col("text"), strict=True).alias("by_word")
+        "conv_id", "turn", tx.is_greeting(F.lower("text")).alias("by_prefix"), tx.is_greeting(F.lower("text"), strict=True).alias("by_word")
     )
 
 
@@ -120,7 +124,7 @@ def document_keywords(spark, folder):
     """Keyword rules over whole documents."""
     named = F.size(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\b(store|product)\s+\d+\b"), F.lit(0)))
     return views.table(spark, folder, "documents").select(
-        "doc_id", tx.keyword_intent(F.col("text")).alias("words"), named.cast("bigint").alias("n_named")
+        "doc_id", tx.keyword_intent(F.lower("text")).alias("words"), named.cast("bigint").alias("n_named")
     )
 
 
@@ -173,17 +177,34 @@ def manufacturing_records(spark, folder):
     )
 
 
+def _record_answers(spark, folder, sections, intent):
+    questions, kept = settle(asked(spark, folder)), settle(sections)
+    hits = settle(an.matches(questions, kept, intent))
+    return an.record_answers(questions, kept, hits, intent, scenario_name(spark)).drop("header")
+
+
+@query("n06_transfer_sections", TO_ANSWERS + " SELECT CAST(position AS BIGINT) AS position, section FROM transfer_sections")
+def transfer_sections(spark, folder):
+    return an.transfer_sections(run(spark, folder).transfer_records(SCENARIO)).select("position", "section")
+
+
+@query("j12_transfer_matches", TO_ANSWERS + _hits_sql("transfer_sections", "explain_transfer") + " SELECT answer_key, CAST(position AS BIGINT) AS position FROM hits")
+def transfer_matches(spark, folder):
+    sections = an.transfer_sections(run(spark, folder).transfer_records(SCENARIO)).select("position", "tokens")
+    return an.matches(settle(asked(spark, folder)), settle(sections), "explain_transfer")
+
+
 @query("n06_j12_transfer_answers", TO_ANSWERS + _answers_sql("transfer_sections", "explain_transfer", "transfers", tx.NO_TRANSFERS))
 def transfer_answers(spark, folder):
-    sections = settle(an.transfer_sections(run(spark, folder).transfer_records(SCENARIO)))
-    return an.record_answers(settle(asked(spark, folder)), sections, "explain_transfer", scenario_name(spark), most=100_000)
+    sections = an.transfer_sections(run(spark, folder).transfer_records(SCENARIO))
+    return _record_answers(spark, folder, sections, "explain_transfer")
 
 
 @query("n07_manufacturing_answers", TO_ANSWERS + _answers_sql(
     "manufacturing_sections", "explain_manufacturing", "manufacturing actions", tx.NO_MANUFACTURING))
 def manufacturing_answers(spark, folder):
-    sections = settle(an.manufacturing_sections(run(spark, folder).manufacturing_records(SCENARIO)))
-    return an.record_answers(settle(asked(spark, folder)), sections, "explain_manufacturing", scenario_name(spark), most=100_000)
+    sections = an.manufacturing_sections(run(spark, folder).manufacturing_records(SCENARIO))
+    return _record_answers(spark, folder, sections, "explain_manufacturing")
 
 
 @query("n08_scenario_answer", TO_COSTS.rstrip() + "," + COSTS + """, state AS (SELECT

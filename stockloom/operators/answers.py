@@ -1,9 +1,9 @@
 """Answer tables of questions about a plan.
 
 Questions with the same intent and the same named ids have the same answer, so an answer is made once
-per different request (`answer_key`) and questions refer to it. An answer about records is a header and
-one section of text per matching record, as rows; a request without ids matches every record without
-pairing questions and records. Short answers are also put together into one text.
+per different request (`answer_key`) and questions refer to it. The text of a record is made once too:
+an answer about records is a header and the places of its records, and only short answers are put
+together into one text. A request without ids takes every record, without pairing questions and records.
 """
 
 from __future__ import annotations
@@ -15,36 +15,42 @@ from stockloom.functions import text as tx
 from stockloom.operators.ordered import carry_last, id_chunk
 
 ID_LISTS = ["transfer_id", "manufacturing_id", "product_id", "store_id"]
-# Longest answer that is put into one text; longer ones are read as sections, in order of `position`.
-TEXT_SECTIONS = 2000
+# Longest answer that is put into one text; longer ones are read section by section.
+TEXT_SECTIONS = 100
+LISTED_IDS = 10_000
 
 
 def has_ids(*names: str) -> Column:
     return sum((F.size(n) for n in names), F.lit(0)) > 0
 
 
+def _with_parameters(questions: DataFrame) -> DataFrame:
+    lowered = questions.withColumn("_lower", F.lower("text"))
+    joined = lowered.withColumn("_joined", tx.joined_ids(F.col("_lower")))
+    ids = tx.named_ids(F.col("_joined"))
+    return joined.withColumns({**ids, "is_all": tx.contains_any(F.col("_lower"), tx.ALL_WORDS)}).drop("_joined")
+
+
 def parameters(questions: DataFrame) -> DataFrame:
     """Add the four id lists and `is_all`."""
-    return questions.withColumns(tx.with_parameters(F.col("text")))
+    return _with_parameters(questions).drop("_lower")
 
 
 def classify(questions: DataFrame, strict: bool = False) -> DataFrame:
     """Add parameters and `intent`: greeting, else keywords, else what the named ids suggest."""
-    known = parameters(questions)
-    words = tx.keyword_intent(F.col("text"))
+    known = _with_parameters(questions).withColumn("_words", tx.keyword_intent(F.col("_lower")))
     rescued = (
         F.when(has_ids("store_id", "transfer_id"), "explain_transfer")
         .when(has_ids("manufacturing_id"), "explain_manufacturing")
         .when(has_ids("product_id"), "explain_transfer")
         .otherwise("out_of_scope")
     )
-    by_words = known.withColumn("_words", words)
     intent = (
-        F.when(tx.is_greeting(F.col("text"), strict), "greeting")
+        F.when(tx.is_greeting(F.col("_lower"), strict), "greeting")
         .when(F.col("_words") == "out_of_scope", rescued)
         .otherwise(F.col("_words"))
     )
-    return by_words.withColumn("intent", intent).drop("_words")
+    return known.withColumn("intent", intent).drop("_words", "_lower")
 
 
 def in_scope(intent: Column) -> Column:
@@ -175,20 +181,13 @@ def matches(asked: DataFrame, sections: DataFrame, intent: str) -> DataFrame:
     return named.unionByName(sections.select("position").join(F.broadcast(everything)).select("answer_key", "position"))
 
 
-def answer_sections(asked: DataFrame, sections: DataFrame, intent: str) -> DataFrame:
-    """(answer_key, position, section) of all matching records."""
-    return matches(asked, sections, intent).join(sections.select("position", "section"), "position").select(
-        "answer_key", "position", "section"
-    )
-
-
-def answer_headers(asked: DataFrame, sections: DataFrame, intent: str, scenario: DataFrame) -> DataFrame:
+def answer_headers(asked: DataFrame, hits: DataFrame, intent: str, scenario: DataFrame) -> DataFrame:
     """(answer_key, n_matches, header): the opening lines, or the message that nothing matches."""
     noun, nothing = {
         "explain_transfer": ("transfers", tx.NO_TRANSFERS),
         "explain_manufacturing": ("manufacturing actions", tx.NO_MANUFACTURING),
     }[intent]
-    counts = matches(asked, sections, intent).groupBy("answer_key").agg(F.count("*").alias("n_matches"))
+    counts = hits.groupBy("answer_key").agg(F.count("*").alias("n_matches"))
     named = scenario.select(F.col("scenario").alias("_scenario")).limit(1)  # one run, one name
     all_keys = _requested(asked, intent).select("answer_key").join(counts, "answer_key", "left").join(F.broadcast(named))
     n = F.coalesce("n_matches", F.lit(0))
@@ -199,18 +198,18 @@ def answer_headers(asked: DataFrame, sections: DataFrame, intent: str, scenario:
 
 
 def record_answers(
-    asked: DataFrame, sections: DataFrame, intent: str, scenario: DataFrame, most: int = TEXT_SECTIONS
+    asked: DataFrame, sections: DataFrame, hits: DataFrame, intent: str, scenario: DataFrame, most: int = TEXT_SECTIONS
 ) -> DataFrame:
-    """(answer_key, n_matches, text). The text is null for answers of more than `most` sections; those are
-    whole in `answer_headers` and `answer_sections`."""
-    headers = answer_headers(asked, sections, intent, scenario)
+    """(answer_key, n_matches, header, text). The text is null for answers of more than `most` sections;
+    those are read whole from `hits` and `sections`, in order of `position`."""
+    headers = answer_headers(asked, hits, intent, scenario)
     short = headers.where(F.col("n_matches") <= most).select("answer_key")
-    pieces = answer_sections(asked, sections, intent).join(short, "answer_key", "left_semi")
+    pieces = hits.join(short, "answer_key", "left_semi").join(sections.select("position", "section"), "position")
     # At most `most` rows per key are collected here.
     bodies = pieces.groupBy("answer_key").agg(F.array_sort(F.collect_list(F.struct("position", "section"))).alias("_parts"))
     body = F.array_join(F.transform("_parts", lambda p: p["section"]), "\n\n")
     text = F.when(F.col("n_matches") <= most, F.concat_ws("\n\n", "header", body))
-    return headers.join(bodies, "answer_key", "left").select("answer_key", "n_matches", text.alias("text"))
+    return headers.join(bodies, "answer_key", "left").select("answer_key", "n_matches", "header", text.alias("text"))
 
 
 def scenario_answer(scenario: DataFrame) -> DataFrame:
@@ -250,7 +249,7 @@ def entities(transfers: DataFrame, manufacturing: DataFrame) -> DataFrame:
     return named.where("id IS NOT NULL").distinct()
 
 
-def entity_answer(named: DataFrame, scenario: DataFrame, most: int = TEXT_SECTIONS) -> DataFrame:
+def entity_answer(named: DataFrame, scenario: DataFrame, most: int = LISTED_IDS) -> DataFrame:
     """(answer_key, n_products, n_stores, text): the ids as a list, or no text when there are too many."""
     counted = named.groupBy().agg(
         F.count_if(F.col("kind") == "product").alias("n_products"), F.count_if(F.col("kind") == "store").alias("n_stores")

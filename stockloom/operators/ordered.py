@@ -38,6 +38,8 @@ def running_total(
     `<name>_total` (sum of the group). `values` maps the new name to the summed column; `chunk` must
     rise with `order` inside a group."""
     keys, order = list(keys), list(order)
+    # Both reads below start from this exchange, so `df` is computed and shuffled once.
+    df = df.repartition(*keys, chunk)
     parts = df.groupBy(*keys, chunk).agg(*[F.sum(v).alias(f"_{n}_sum") for n, v in values.items()])
     over_chunks = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = over_chunks.orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
@@ -68,7 +70,7 @@ def carry_last(
 ) -> DataFrame:
     """Add the last non-null `value` among the rows before each row of its group."""
     keys, order = list(keys), list(order)
-    marked = df.withColumn("_value", value)
+    marked = df.withColumn("_value", value).repartition(*keys, chunk)  # shared by both reads below
     inside = Window.partitionBy(*keys, chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     position = F.struct(*order)
     tails = marked.groupBy(*keys, chunk).agg(

@@ -16,21 +16,18 @@ _STATE = "last_intent string"
 
 
 def _carry(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One conversation's turns of a micro-batch: four narrow columns, ordered by turn."""
-    turns = pd.concat(list(batches)).sort_values("turn")
-    before = state.get[0] if state.exists else None
-    intents = turns["intent"].astype("string")
-    in_scope = intents.where(~intents.isin(["out_of_scope", "greeting"]))
-    known = in_scope.ffill()
-    earlier = known.shift(1)
-    earlier = earlier.where(earlier.notna(), before)
-    follows = (intents == "out_of_scope") & turns["asks"] & earlier.notna()
-    last = known.iloc[-1] if pd.notna(known.iloc[-1]) else before
+    """One conversation's turns of a micro-batch: three narrow columns, taken in order of the turn."""
+    turns = sorted(row for b in batches for row in zip(b["turn"].tolist(), b["intent"].tolist(), b["asks"].tolist()))
+    last = state.get[0] if state.exists else None
+    shown = []
+    for _, intent, asks in turns:
+        if intent not in ("out_of_scope", "greeting"):
+            last = intent
+        follows = intent == "out_of_scope" and asks and last is not None
+        shown.append(last if follows else intent)
     if last is not None:
         state.update((last,))
-    yield pd.DataFrame(
-        {"conv_id": turns["conv_id"], "turn": turns["turn"], "intent": intents.where(~follows, earlier)}
-    )
+    yield pd.DataFrame({"conv_id": key[0], "turn": [t[0] for t in turns], "intent": shown})
 
 
 def carried_intents(questions: DataFrame, strict: bool = False) -> DataFrame:
