@@ -12,7 +12,7 @@ from stockloom.session import settle
 
 # The built-in `percentile` holds every distinct value of its input in the memory of a task. It is used
 # up to this many distinct values, over all groups together; beyond that the values are sorted across tasks.
-IN_MEMORY_VALUES = 2_000_000
+IN_MEMORY_VALUES = 200_000
 QUARTILES = (0.25, 0.5, 0.75)
 
 
