@@ -95,7 +95,7 @@ def _answers_sql(sections: str, intent: str, noun: str, nothing: str) -> str:
 
 
 def asked(spark, folder):
-    return an.requests(an.carry_over(an.classify(views.questions(spark, folder))))
+    return an.requests(an.carry_over(an.classify(views.questions(spark, folder)).drop("text")))
 
 
 def scenario_name(spark):

@@ -1,6 +1,7 @@
 """Choose transfers and production so that every store reaches its target stock.
 
-Quantities are decimals, so running sums are exact and do not depend on the order tasks finish in.
+Quantities have six decimal places. While planning they are counted in whole millionths, so running sums
+are exact, cheap, and do not depend on the order tasks finish in.
 
 A product's surpluses are laid end to end on one line and its deficits on another; where a surplus and
 a deficit overlap, that much moves. Nearby stores come first: the lines are built per product and city,
@@ -15,6 +16,7 @@ overlapping pair of chunks second, so no task sees more than two chunks of store
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +36,14 @@ def zero() -> Column:
     return F.lit(0).cast(QUANTITY)
 
 
+def _millionths(amount: Column) -> Column:
+    return (amount.cast(QUANTITY) * 1_000_000).cast("bigint")
+
+
+def _quantity(millionths: Column) -> Column:
+    return (millionths.cast("decimal(20,0)") * F.lit(Decimal("0.000001"))).cast(QUANTITY)
+
+
 def assemble(forecast: DataFrame, history: DataFrame, stores: DataFrame, horizon: int = 7) -> DataFrame:
     """Forecast joined with demand history and store risk, with defaults for what is missing.
 
@@ -74,21 +84,16 @@ def with_target(assembled: DataFrame, z: float = inv.SERVICE_Z) -> DataFrame:
 
 
 def balances(targets: DataFrame, width: int = IDS_PER_CHUNK) -> DataFrame:
-    """Stock, target, surplus and deficit per store and product, as decimals, with the store chunk."""
+    """Stock, target, surplus and deficit per store and product, in millionths, with the store chunk."""
     amounts = targets.select(
         *PAIR,
         "city_id",
         id_chunk("store_id", width).alias("chunk"),
-        F.col("current_inventory").cast(QUANTITY).alias("current"),
-        F.col("target_inventory").cast(QUANTITY).alias("target"),
-    )
-    gap = F.col("current") - F.col("target")
-    return amounts.withColumns(
-        {
-            "surplus": F.greatest(gap, zero()).cast(QUANTITY),
-            "deficit": F.greatest(-gap, zero()).cast(QUANTITY),
-        }
+        _millionths(F.col("current_inventory")).alias("current"),
+        _millionths(F.col("target_inventory")).alias("target"),
     )
+    gap, none = F.col("current") - F.col("target"), F.lit(0).cast("bigint")
+    return amounts.withColumns({"surplus": F.greatest(gap, none), "deficit": F.greatest(-gap, none)})
 
 
 def _lay_out(rows: DataFrame, keys: Sequence[str], surplus: str, deficit: str, tier: int) -> DataFrame:
@@ -99,12 +104,12 @@ def _lay_out(rows: DataFrame, keys: Sequence[str], surplus: str, deficit: str, t
     laid = running_total(rows, keys, ["store_id"], {"_s": surplus, "_d": deficit})
     shared = F.least("_s_total", "_d_total")
     ends = {
-        f"{line}{tier}_{end}": F.least(f"_{line}_{at}", shared).cast(QUANTITY)
+        f"{line}{tier}_{end}": F.least(f"_{line}_{at}", shared)
         for line in ("s", "d")
         for end, at in (("low", "start"), ("high", "end"))
     }
     lengths = {
-        f"{name}_{tier}": (F.col(f"{line}{tier}_high") - F.col(f"{line}{tier}_low")).cast(QUANTITY)
+        f"{name}_{tier}": F.col(f"{line}{tier}_high") - F.col(f"{line}{tier}_low")
         for line, name in (("s", "sent"), ("d", "got"))
     }
     scratch = [f"_{line}_{part}" for line in ("s", "d") for part in ("start", "end", "total")]
@@ -118,21 +123,19 @@ def plan_flows(balance: DataFrame) -> DataFrame:
     """
     near = _lay_out(balance, ["product_id", "city_id"], "surplus", "deficit", 1)
     left_over = near.withColumns(
-        {
-            "surplus_2": (F.col("surplus") - F.col("sent_1")).cast(QUANTITY),
-            "deficit_2": (F.col("deficit") - F.col("got_1")).cast(QUANTITY),
-        }
+        {"surplus_2": F.col("surplus") - F.col("sent_1"), "deficit_2": F.col("deficit") - F.col("got_1")}
     )
     far = _lay_out(left_over, ["product_id"], "surplus_2", "deficit_2", 2)
     planned = far.withColumns(
         {
-            "sent": (F.col("sent_1") + F.col("sent_2")).cast(QUANTITY),
-            "got": (F.col("got_1") + F.col("got_2")).cast(QUANTITY),
-            "made": (F.col("deficit_2") - F.col("got_2")).cast(QUANTITY),
+            "sent": F.col("sent_1") + F.col("sent_2"),
+            "got": F.col("got_1") + F.col("got_2"),
+            "made": F.col("deficit_2") - F.col("got_2"),
         }
-    )
-    final = F.col("current") + F.col("made") + F.col("got") - F.col("sent")
-    return settle(planned.withColumn("final", final.cast(QUANTITY)))
+    ).withColumn("final", F.col("current") + F.col("made") + F.col("got") - F.col("sent"))
+    shown = ["current", "target", "surplus", "deficit", "sent", "got", "made", "final"]
+    lines = [f"{line}{tier}_{end}" for tier in (1, 2) for line in ("s", "d") for end in ("low", "high")]
+    return settle(planned.select(*PAIR, "city_id", "chunk", *lines, *[_quantity(F.col(c)).alias(c) for c in shown]))
 
 
 def _pieces(ends: DataFrame, keys: Sequence[str], begin: Column) -> DataFrame:
@@ -160,18 +163,18 @@ def _moves(plan: DataFrame, keys: Sequence[str], tier: int) -> DataFrame:
     """
     keys = list(keys)
 
-    def stretches(line: str, amount: str) -> DataFrame:
-        ends = [F.col(f"{line}{tier}_{end}").alias(f"own_{end}") for end in ("low", "high")]
-        return plan.where(F.col(f"{amount}_{tier}") > 0).select(*keys, "chunk", "store_id", *ends)
+    def stretches(line: str) -> DataFrame:
+        low, high = F.col(f"{line}{tier}_low"), F.col(f"{line}{tier}_high")
+        return plan.where(high > low).select(*keys, "chunk", "store_id", low.alias("own_low"), high.alias("own_high"))
 
-    sides = [stretches("s", "sent"), stretches("d", "got")]
+    sides = [stretches("s"), stretches("d")]
     chunk_ends = [
         rows.groupBy(*keys, "chunk")
         .agg(F.max("own_high").alias("at"))
         .select(*keys, "at", F.lit(side).alias("side"), F.col("chunk").alias("id"))
         for side, rows in enumerate(sides)
     ]
-    blocks = _pieces(chunk_ends[0].unionByName(chunk_ends[1]), keys, zero()).select(
+    blocks = _pieces(chunk_ends[0].unionByName(chunk_ends[1]), keys, F.lit(0).cast("bigint")).select(
         *keys, F.col("low").alias("block_low"), F.col("high").alias("block_high"), "sender", "receiver"
     )
     inside = [*keys, "block_low"]
@@ -184,7 +187,7 @@ def _moves(plan: DataFrame, keys: Sequence[str], tier: int) -> DataFrame:
     pieces = _pieces(store_ends[0].unionByName(store_ends[1]), inside, F.col("block_low"))
     return pieces.select(
         F.col("sender").alias("from_store"), F.col("receiver").alias("to_store"), "product_id",
-        (F.col("high") - F.col("low")).cast(QUANTITY).alias("qty"), F.lit(tier).alias("tier"),
+        _quantity(F.col("high") - F.col("low")).alias("qty"), F.lit(tier).alias("tier"),
     )
 
 

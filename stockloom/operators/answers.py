@@ -17,7 +17,8 @@ from stockloom.operators.ordered import carry_last, id_chunk
 ID_LISTS = ["transfer_id", "manufacturing_id", "product_id", "store_id"]
 # Longest answer that is put into one text; longer ones are read section by section.
 TEXT_SECTIONS = 100
-LISTED_IDS = 10_000
+# At most 1000, the largest rank Spark filters before it shuffles.
+LISTED_IDS = 1000
 
 
 def has_ids(*names: str) -> Column:

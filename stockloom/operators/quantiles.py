@@ -82,8 +82,10 @@ def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), appr
             F.sum("n").alias("count"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
             F.min("value").alias("min"), F.max("value").alias("max"),
         )
+        # Without groups there is one row per listed column; the number of groups is only known to Spark.
+        centre = basics.select(*keys, "mean", "count")
         spread = (
-            counts.join(basics.select(*keys, "mean", "count"), keys)
+            counts.join(centre if by else F.broadcast(centre), keys)
             .groupBy(*keys)
             .agg(
                 F.sqrt(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stockloom.operators import demand as dm
 from stockloom.operators import lanes as ln
@@ -45,6 +46,7 @@ def prepare(demand: DataFrame, logistics: DataFrame, seed: int = 42, starts: int
 
 def save(prepared: Prepared, folder: str) -> None:
     """Write the prepared tables: the large daily table as date-partitioned parquet, the others as CSV."""
-    prepared.series_day.repartition("date").write.mode("overwrite").partitionBy("date").parquet(f"{folder}/series_day")
+    spread = F.pmod(F.xxhash64("store_id", "product_id"), F.lit(16))  # several tasks write one date
+    prepared.series_day.repartition("date", spread).write.mode("overwrite").partitionBy("date").parquet(f"{folder}/series_day")
     for name in ("series_params", "city_params", "store_params", "city_lanes", "lane_blocks"):
         sinks.write_table(getattr(prepared, name), f"{folder}/{name}")

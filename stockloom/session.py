@@ -38,7 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
     one machine, so a missing setting is an error there.
     """
     context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")

@@ -11,7 +11,7 @@ def write_table(df: DataFrame, path: str) -> None:
     """CSV with a header. Arrays and structs are written as JSON text."""
     nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
     flat = df.withColumns({c: F.to_json(c) for c in nested}) if nested else df
-    flat.write.mode("overwrite").option("header", True).csv(path)
+    flat.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
 def land_demand(spark: SparkSession, source: str, target: str, partition: str = "dt") -> None:

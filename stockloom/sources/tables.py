@@ -12,7 +12,7 @@ from stockloom.functions.values import lenient_date, lenient_timestamp, nan_to_n
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header line and declared types (no inference pass)."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 
 def read_demand(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:

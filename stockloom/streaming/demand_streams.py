@@ -20,11 +20,12 @@ def kept_stores(stream: DataFrame, top: DataFrame) -> DataFrame:
 def daily_demand(stream: DataFrame, moment: str = "dt", lateness: str = "2 days") -> DataFrame:
     """Demand per store, product and day.
 
-    State of a day is dropped once the newest row is `lateness` past its end; rows for it that come
-    even later are not counted. Until then every update of a day is sent out.
+    A day is closed once a day more than `lateness` after it has been seen: its state is dropped, and rows
+    for it that come even later are not counted. Until then every update of a day is sent out. Days are
+    those of the session time zone.
     """
-    timed = stream.withColumn("_at", F.col(moment).cast("timestamp")).withWatermark("_at", lateness)
-    days = timed.groupBy("store_id", "product_id", F.window("_at", "1 day").alias("_day")).agg(
+    timed = stream.withColumn("_day", F.date_trunc("day", F.col(moment).cast("timestamp"))).withWatermark("_day", lateness)
+    days = timed.groupBy("store_id", "product_id", "_day").agg(
         F.sum("sale_amount").alias("demand"), F.max("holiday_flag").alias("is_holiday")
     )
-    return days.select("store_id", "product_id", F.col("_day.start").cast("date").alias("date"), "demand", "is_holiday")
+    return days.select("store_id", "product_id", F.col("_day").cast("date").alias("date"), "demand", "is_holiday")
