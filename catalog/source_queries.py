@@ -71,7 +71,7 @@ _record_columns = "transfer_id, from_store, to_store, product_id, quantity, reas
 @query("s03_s09_result_documents", TO_RECORDS + f"SELECT position::INTEGER AS position, {_record_columns}, transport_cost FROM transfer_records")
 def result_documents(spark, folder):
     path = scratch_path(spark, "documents")
-    records = run(spark, folder).transfer_records(SCENARIO).drop("scenario", "position")
+    records = run(spark, folder).transfer_records(SCENARIO).drop("scenario")
     sinks.write_single_document(records, path, "transfers", SCENARIO)
     return tables.read_transfers(spark, path).select(
         "position", "transfer_id", "from_store", "to_store", "product_id", "quantity", "reason_codes", "cost_impact.transport_cost"

@@ -10,6 +10,7 @@ from stockloom.operators import allocation as al
 from stockloom.operators import demand as dm
 from stockloom.operators import lanes as ln
 from stockloom.plans.allocation import allocate
+from stockloom.session import settle
 from stockloom.sources import domain_views as views
 
 SCENARIO = "weekly_plan"
@@ -133,12 +134,14 @@ def city_lanes(spark, folder):
     return ln.city_lanes(regions(spark, folder))
 
 
-def assembled(spark, folder):
+def assembled(spark, folder, made=None, cities=None):
+    made = regions(spark, folder) if made is None else made
+    cities = store_city(spark, folder) if cities is None else cities
     history = params(spark, folder)
     forecast = history.select("store_id", "product_id", (F.col("avg_daily_demand") * 7).alias("total_demand_7d"))
     cover = 0.4 + ((F.col("store_id") * 7 + F.col("product_id") * 13) % 20).cast("double") / 10
     stocked = history.withColumn("current_inventory", F.col("avg_daily_demand") * 7 * cover)
-    stores = ln.store_supply(store_city(spark, folder), regions(spark, folder))
+    stores = ln.store_supply(cities, made)
     return al.assemble(forecast, stocked, stores)
 
 
@@ -147,12 +150,13 @@ def targets(spark, folder):
 
 
 def run(spark, folder, capacity=5000.0):
-    return allocate(assembled(spark, folder), store_city(spark, folder), city_lanes(spark, folder), capacity)
+    made, cities = settle(regions(spark, folder)), settle(store_city(spark, folder))
+    return allocate(assembled(spark, folder, made, cities), cities, settle(ln.city_lanes(made)), capacity)
 
 
 def plan(spark, folder):
     """Flows only: nothing is priced, so no lanes are built."""
-    return al.plan_flows(al.balances(targets(spark, folder)))
+    return al.plan_flows(al.balances(settle(targets(spark, folder))))
 
 
 # ---- Regions and lanes ----

@@ -69,8 +69,9 @@ def allocate(
     """Set targets and plan the flows.
 
     The targets (one row per store and product) are stored before planning: the plan, the reasons and
-    the costs all read them, and the demand history behind them is far larger.
+    the costs all read them, and the demand history behind them is far larger. Store cities and lanes are
+    read by several results too, so pass stored tables.
     """
     targets = settle(al.with_target(assembled))
     plan = al.plan_flows(al.balances(targets, width))
-    return Allocation(targets, plan, settle(store_city), settle(lanes), capacity)
+    return Allocation(targets, plan, store_city, lanes, capacity)

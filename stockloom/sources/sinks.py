@@ -38,8 +38,10 @@ def write_documents(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
-def write_single_document(rows: DataFrame, path: str, list_name: str, scenario: str, most: int = 100_000) -> None:
-    """One JSON document holding all records in a list, the form the page layer loads whole.
+def write_single_document(
+    rows: DataFrame, path: str, list_name: str, scenario: str, order: str = "position", most: int = 100_000
+) -> None:
+    """One JSON document holding all records in a list by `order`, the form the page layer loads whole.
 
     The list sits in one row, so this is for results of a checked size; larger ones are refused here and
     written by `write_documents`.
@@ -47,6 +49,7 @@ def write_single_document(rows: DataFrame, path: str, list_name: str, scenario:
     found = rows.limit(most + 1).count()
     if found > most:
         raise ValueError(f"more than {most} records: use write_documents")
-    record = F.struct(*rows.columns)
-    document = rows.groupBy().agg(F.sort_array(F.collect_list(record)).alias(list_name))
-    document.select(F.lit(scenario).alias("scenario"), list_name).coalesce(1).write.mode("overwrite").json(path)
+    record = F.struct(*[c for c in rows.columns if c != order])
+    document = rows.groupBy().agg(F.sort_array(F.collect_list(F.struct(order, record.alias("_record")))).alias("_all"))
+    listed = F.transform("_all", lambda x: x["_record"]).alias(list_name)
+    document.select(F.lit(scenario).alias("scenario"), listed).coalesce(1).write.mode("overwrite").json(path)

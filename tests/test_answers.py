@@ -150,7 +150,7 @@ def test_required_fields(spark, records):
 
 
 def test_documents_round_trip(spark, records, tmp_path):
-    rows = records[0].drop("scenario", "position")
+    rows = records[0].drop("scenario")
     sinks.write_single_document(rows, str(tmp_path / "one"), "transfers", "High")
     back = tables.read_transfers(spark, str(tmp_path / "one")).orderBy("position").collect()
     assert [(r["scenario"], r["transfer_id"], r["quantity"]) for r in back] == [("High", "T001", 15), ("High", "T002", 4)]
