@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stockloom.operators import demand as dm
 from stockloom.operators import lanes as ln
+from stockloom.session import settle
 from stockloom.sources import sinks
 
 
@@ -25,14 +26,15 @@ class Prepared:
 def prepare(demand: DataFrame, logistics: DataFrame, seed: int = 42, starts: int = 10) -> Prepared:
     """Daily demand and its parameters, regions matched to cities from west to east, and lanes.
 
-    The number of regions is the number of cities, so every city gets one.
+    The number of regions is the number of cities, so every city gets one. The store and city tables are
+    stored: they are small, read by all that follows, and costly to derive.
     """
     daily = dm.series_day(demand)
-    stores = dm.store_city(demand)
+    stores = settle(dm.store_city(demand))
     cities = stores.select("city_id").distinct().where("city_id IS NOT NULL")
     model = ln.fit_regions(logistics, cities.count(), seed, starts)
     regions = ln.region_params(ln.assign_regions(logistics, model)).join(ln.centroids(model, logistics), "geo_cluster")
-    city_params = ln.zip_cities(cities, regions)
+    city_params = settle(ln.zip_cities(cities, regions))
     lanes = ln.city_lanes(city_params)
     return Prepared(
         series_day=daily,
