@@ -102,17 +102,29 @@ def complete_rows(spark, folder):
     return rows.dropna().groupBy(*rows.columns).agg(F.count("*").alias("n_rows"))
 
 
-@query("p06_columns_by_type")
+_texts = ["order_fulfillment_status", "cargo_condition_status", "risk_classification"]
+
+
+@query(
+    "p06_columns_by_type",
+    L + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {str(c not in _texts + ['timestamp', 'date']).lower()} AS is_numeric,
+        count("{c}") AS n_present FROM logistics""" for c in views.LOGISTICS_NAMES
+    ),
+)
 def columns_by_type(spark, folder):
+    """Numeric and other columns, with the number of values each has."""
     rows = views.logistics(spark, folder)
-    numeric = values.numeric_columns(rows)
-    listing = profile.schema_listing(rows)
-    return listing.withColumn("is_numeric", F.col("column").isin(numeric))
+    present = rows.agg(*[F.count(c).alias(c) for c in rows.columns]).unpivot([], rows.columns, "column", "n_present")
+    return present.withColumn("is_numeric", F.col("column").isin(values.numeric_columns(rows)))
 
 
 @query("p23_schema_listing")
 def schema_listing(spark, folder):
-    return profile.schema_listing(views.demand(spark, folder))
+    """Columns and types with the number of values each has."""
+    rows = views.demand(spark, folder)
+    present = rows.agg(*[F.count(c).alias(c) for c in rows.columns]).unpivot([], rows.columns, "column", "n_present")
+    return profile.schema_listing(rows).join(F.broadcast(present), "column")  # one row per column
 
 
 @query(
