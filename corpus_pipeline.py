@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockloom.llm import bpe, quality_rules, simhash
+from stockloom.llm import bpe, mixing, pii, quality_rules, simhash
 from stockloom.llm.common import stored
 from stockloom.llm.queries import table, vocabulary_path
 
@@ -23,13 +23,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.first_of_each(docs)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and secrets give way to surrogates."""
+    return pii.replace_entities(docs).select(*docs.columns)
+
+
+def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources repeat or thin out to the square root of their sizes; rows are shuffled."""
+    return mixing.mix(docs).select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row."""
     carried = [c for c in docs.columns if c.lower() not in ("text", "token_ids")]
     return bpe.encode(docs, vocabulary_path(), carry=carried)
 
 
-STAGES = [("quality_rules", quality), ("near_duplicates", near_duplicates), ("encode", encode)]
+STAGES = [
+    ("quality_rules", quality), ("near_duplicates", near_duplicates), ("pii_surrogates", personal_data),
+    ("poisson_mix", source_weights), ("encode", encode),
+]
 
 # The fingerprints, surrogates and token ids of the later stages have no counterpart in SQL.
 ORACLE_SQL = None

@@ -38,6 +38,7 @@ def stored(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Dat
     """
     path = scratch_path(df.sparkSession, label)
     writer = df.write.mode("overwrite")
+    writer = writer.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

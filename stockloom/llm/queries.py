@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import bpe, quality_rules, simhash
+from stockloom.llm import bpe, mixing, pii, quality_rules, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,11 +38,59 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_poisson_mix", f"""
+WITH sizes AS (
+  SELECT source, sum(coalesce(length(text), 0) + 1) AS size FROM documents GROUP BY source
+), weights AS (
+  SELECT source, pow(CAST(size AS DOUBLE), 0.5) AS weight FROM sizes
+), rates AS (
+  SELECT sizes.source, (SELECT sum(size) FROM sizes) * weight / (SELECT sum(weight) FROM weights) / size AS rate
+  FROM sizes JOIN weights ON sizes.source IS NOT DISTINCT FROM weights.source
+), parts AS (
+  SELECT source, rate, greatest(ceil(rate / 16), 1) AS parts FROM rates
+), inverse AS (
+  SELECT source, rate, parts, list(upto ORDER BY k) AS inverse FROM (
+    SELECT source, rate, parts, k, sum(exp(-rate / parts + k * ln(rate / parts) - lgamma(k + 1)))
+      OVER (PARTITION BY source ORDER BY k) AS upto
+    FROM (SELECT *, unnest(range(0, 1 + CAST(ceil(rate / parts + 10 * sqrt(rate / parts) + 20) AS BIGINT))) AS k FROM parts)
+  ) GROUP BY source, rate, parts
+), counted AS (
+  SELECT d.*, rate, list_sum(list_transform(range(1, CAST(parts AS BIGINT) + 1), lambda i: len(list_filter(inverse, lambda c:
+    c <= CAST(('0x' || substr(md5('{mixing.SEED}|count|' || i || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT)
+      / 4503599627370496.0)))) AS n
+  FROM documents d JOIN inverse ON d.source IS NOT DISTINCT FROM inverse.source
+), copies AS (
+  SELECT *, unnest(range(1, CAST(n AS BIGINT) + 1)) AS nth FROM counted
+)
+SELECT doc_id, text, lang, source, n_chars, CAST(nth AS INTEGER) AS "copy", round(rate, 6) AS rate,
+       CAST(('0x' || substr(md5('{mixing.SEED}|place|' || nth || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15)) AS BIGINT) AS mix_key
+FROM copies""")
+def op1_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources flattened by the square root of their sizes, one epoch in all."""
+    return mixing.mix(table(spark, folder, "documents")).withColumn("rate", F.round("rate", 6))
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op7_pii_surrogates")
+def op7_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, os.environ.get("SURROGATE_KEY", "key of this data set"))
+
+
+@query("op8_two_pass_shuffle")
+def op8_two_pass_shuffle(spark: SparkSession, folder: str) -> DataFrame:
+    """Forty shards by the law that row counts differ by at most one."""
+    rows = sharding.shard(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id", sharding.record_size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
