@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import bpe, mixing, pii, quality_rules, sharding, simhash
+from stockloom.llm import bpe, mixing, pii, quality_rules, sharding, simhash, warc
+from stockloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +71,28 @@ def op1_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).withColumn("rate", F.round("rate", 6))
 
 
+@query("op2_warc", """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS h,
+         min(page_id) OVER (PARTITION BY sha1(html), strlen(html)) AS first
+  FROM p
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+         ((((strpos('0123456789abcdef', substr(h, 1 + (5 * i) // 4, 1)) - 1) * 16
+            + strpos('0123456789abcdef', substr(h, 2 + (5 * i) // 4, 1)) - 1) >> (3 - (5 * i) % 4)) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to, true AS intact
+FROM d""")
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    place = scratch_path(spark, "packages")
+    warc.write_packages(table(spark, folder, "pages"), place)
+    rows = warc.read_packages(spark, place, payload=False)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
