@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import bpe, mixing, pii, quality_rules, sharding, simhash, warc
+from stockloom.llm import bpe, mixing, pii, quality_rules, sharding, simhash, topk, warc
 from stockloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,22 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
+@query("op3_topk", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, p.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(p.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v p ON q.vec_id % 50 = 0 AND q.vec_id <> p.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""")
+def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
