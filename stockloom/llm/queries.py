@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import bpe, mixing, pii, quality_rules, sharding, simhash, topk, warc
+from stockloom.llm import bpe, ctw, mixing, pii, quality_rules, sharding, simhash, topk, warc
 from stockloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,6 +114,11 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op6_context_tree")
+def op6_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return ctw.score(table(spark, folder, "documents"))
+
+
 @query("op7_pii_surrogates")
 def op7_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
