@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import bpe, ctw, mixing, pii, quality_rules, sharding, simhash, topk, warc
+from stockloom.llm import bpe, ctw, mixing, pii, quality_rules, sharding, simhash, suffix_dedup, topk, warc
 from stockloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +109,37 @@ def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
 
 
+@query("op4_suffix_dedup", """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), s AS (
+  SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS p FROM d
+), w AS (
+  SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS win FROM s
+), bad AS (
+  SELECT w.doc_id, w.p FROM w JOIN (SELECT win, min(doc_id) AS first FROM w GROUP BY win) f ON w.win = f.win AND w.doc_id > f.first
+), starts AS (
+  SELECT doc_id, p, p > 50 + coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -100) AS fresh FROM bad
+), islands AS (
+  SELECT doc_id, p, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM starts
+), spans AS (
+  SELECT doc_id, k, min(p) AS b, max(p) + 50 AS e FROM islands GROUP BY doc_id, k
+), pieces AS (
+  SELECT doc_id, b, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS done, e FROM spans
+), kept AS (
+  SELECT d.doc_id, count(b) AS n_spans, coalesce(sum(e - b), 0) AS n_removed,
+         coalesce(string_agg(substr(h, 2 * done + 1, 2 * (b - done)), '' ORDER BY b), '')
+           || substr(any_value(h), 2 * coalesce(max(e), 0) + 1) AS left_hex, any_value(h) AS h
+  FROM d LEFT JOIN pieces USING (doc_id) GROUP BY d.doc_id
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans,
+       sha256(unhex(left_hex)) AS kept_sha256
+FROM kept""")
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, folder, "documents"), with_kept=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
