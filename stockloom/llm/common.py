@@ -96,14 +96,17 @@ def arrow_map(
 ) -> DataFrame:
     """Run `per_batch` over Arrow batches; the result has the columns `carry` and then the `added` ones."""
     names = {n.lower() for n, _ in added}
+    own = df.columns
     carried = [c for c in carry if c.lower() not in names]
     schema = T.StructType([df.schema[c] for c in carried] + [T.StructField(n, t) for n, t in added])
+    places = [own.index(c) for c in carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = pa.RecordBatch.from_arrays(batch.columns, own)
             made = per_batch(batch)
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in carried]
-            yield pa.RecordBatch.from_arrays(columns + [made[n] for n, _ in added], carried + [n for n, _ in added])
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in places] + [made[n] for n, _ in added], schema.names)
 
+    numbered = df.select(*[col(c).alias(f"c{i}") for i, c in enumerate(own)])  # any name is allowed outside
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return numbered.mapInArrow(run, schema)
