@@ -77,7 +77,8 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     for i in range(1, 8):
         below = below + np.log(x + i)
     y = x + 8
-    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - below
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7) + 1 / (1188 * y**9)
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - below
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -277,7 +278,7 @@ def _roots(asked: DataFrame, depth: int) -> DataFrame:
         named, where = np.unique(parents, return_inverse=True)
 
         def total(values: list[np.ndarray]) -> np.ndarray:
-            return np.bincount(where, weights=np.concatenate(values), minlength=len(named))
+            return np.bincount(where, weights=np.concatenate(values), minlength=len(named)).astype(float)
 
         return pa.table({
             "node": pa.array(named.astype(np.int64)),

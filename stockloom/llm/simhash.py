@@ -22,7 +22,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,24 +185,24 @@ def _classes(docs: DataFrame, id: str, text: str, shingle: int, distance: int) -
 def first_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """The documents, one of each group of near-duplicates: the one with the smallest id.
 
-    Of rows that repeat that id, and of the rows of a group in which none has an id, one stays. Only ids and
-    fingerprints are grouped; the texts are moved once, to meet the ids that stay.
+    Of rows of a group that repeat that id, and of the rows of a group in which none has an id, one stays. Only
+    ids and fingerprints are grouped; the texts are moved once, to meet the ids that stay. Rows whose id is
+    null or repeated are told apart by their fingerprints, taken once more.
     """
     prints, classes = _classes(docs, id, text, shingle, distance)
     classes = stored(classes, "classes")
-    stays = prints.join(classes, "fingerprint").filter("id = component_id").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    stays = stored(stays, "stays")
+    met = prints.join(classes, "fingerprint")
+    first = F.max((F.col("id") == F.col("component_id")).cast("int"))
+    ids = stored(met.groupBy("id").agg(F.count(F.lit(1)).alias("n"), first.alias("first")), "ids")
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # no clash with the columns used here
     rows, own = docs.withColumnsRenamed(names), list(names.values())
     row_id = F.col(names[id]).cast("long")
-
-    def one_per(found: DataFrame, key: Column) -> DataFrame:
-        return found.groupBy(key).agg(F.min_by(F.struct(*own), F.xxhash64(*own)).alias("row")).select("row.*")
-
-    out = rows.join(stays.filter("n = 1"), row_id == F.col("id")).select(*own)
-    if not stays.filter("n > 1").isEmpty():
-        out = out.unionByName(one_per(rows.join(stays.filter("n > 1"), row_id == F.col("id")), F.col("id")))
-    if not prints.filter("id is null").isEmpty():
-        lone = fingerprints(rows.filter(row_id.isNull()), names[text], shingle=shingle)
-        out = out.unionByName(one_per(lone.join(classes.filter("component_id is null"), "fingerprint"), F.col("component")))
+    out = rows.join(ids.filter("n = 1 and first = 1"), row_id == F.col("id")).select(*own)
+    unclear = ids.filter("n > 1 or id is null")
+    if not unclear.isEmpty():
+        again = rows.join(unclear.select("id"), row_id.eqNullSafe(F.col("id")), "left_semi")
+        again = fingerprints(again, names[text], shingle=shingle).join(classes, "fingerprint")
+        again = again.filter(row_id.eqNullSafe(F.col("component_id")))
+        one = F.min_by(F.struct(*own), F.xxhash64(*own)).alias("row")
+        out = out.unionByName(again.groupBy("component").agg(one).select("row.*"))
     return out.withColumnsRenamed({v: k for k, v in names.items()})

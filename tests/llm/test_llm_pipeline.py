@@ -10,7 +10,7 @@ import corpus_pipeline
 from oracle import compare, connect
 from stockloom.llm import pii, queries
 from test_llm_quality_rules import plainly
-from test_llm_simhash import plain_components
+from test_llm_simhash import plain_survivors
 
 FOLDER = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -55,7 +55,7 @@ def test_near_duplicate_stage(spark, docs):
     kept = stage["near_duplicates"](spark, docs, FOLDER)
     assert kept.columns == COLUMNS
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted({c for *_, c in plain_components(rows)})
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == plain_survivors(rows)
 
 
 def test_personal_data_stage(spark, docs):
