@@ -8,6 +8,7 @@ from catalog.views import QUESTIONS, with_views
 from stockloom import schemas
 from stockloom.functions import text as tx
 from stockloom.operators import answers as an
+from stockloom.plans.answering import answer_rows
 from stockloom.session import settle
 from stockloom.sources import domain_views as views
 
@@ -22,8 +23,8 @@ _groups = [
     ("impact_analysis", tx.IMPACT_WORDS),
 ]
 CLASSIFIED = f"""
-params_of AS (SELECT *, list_transform(regexp_extract_all(joined, '\\bt_?\\d{{3}}\\b'), lambda x: upper(replace(x, '_', ''))) AS transfer_id,
-  list_transform(regexp_extract_all(joined, '\\bm_?\\d{{3}}\\b'), lambda x: upper(replace(x, '_', ''))) AS manufacturing_id,
+params_of AS (SELECT *, list_transform(regexp_extract_all(joined, '\\bt_?\\d{{3,}}\\b'), lambda x: upper(replace(x, '_', ''))) AS transfer_id,
+  list_transform(regexp_extract_all(joined, '\\bm_?\\d{{3,}}\\b'), lambda x: upper(replace(x, '_', ''))) AS manufacturing_id,
   regexp_extract_all(joined, '\\bproduct_\\d+\\b') AS product_id, regexp_extract_all(joined, '\\bstore_\\d+\\b') AS store_id,
   regexp_matches(lower("text"), '{_any(tx.ALL_WORDS)}') AS is_all
   FROM (SELECT *, regexp_replace(lower("text"), '\\b(store|product)\\s+(\\d+)\\b', '\\1_\\2', 'g') AS joined FROM questions)),
@@ -86,12 +87,18 @@ def _hits_sql(sections: str, intent: str) -> str:
     hits AS (SELECT answer_key, position, section FROM wanted, {sections} WHERE len(tokens) = 0 OR list_has_any(tokens, ids))"""
 
 
-def _answers_sql(sections: str, intent: str, noun: str, nothing: str) -> str:
-    return _hits_sql(sections, intent) + f""", bodies AS (SELECT answer_key, count(*) AS n,
-    string_agg(section, chr(10) || chr(10) ORDER BY position) AS body FROM hits GROUP BY 1)
-    SELECT answer_key, coalesce(n, 0) AS n_matches, CASE WHEN n > 100 THEN NULL WHEN n > 0 THEN '**Scenario:** {SCENARIO}  ' || chr(10)
-    || '**Matching {noun}:** ' || n || chr(10) || chr(10) || body ELSE '{nothing}' END AS "text"
-    FROM wanted LEFT JOIN bodies USING (answer_key)"""
+def _rows_sql(sections: str, intent: str, noun: str, nothing: str) -> str:
+    """The answers as rows: the header at place 0, records after it."""
+    return f"""wanted_{intent} AS (SELECT DISTINCT answer_key, tokens FROM asked WHERE intent = '{intent}'),
+    hits_{intent} AS (SELECT answer_key, position, section FROM wanted_{intent}, {sections} WHERE len(tokens) = 0 OR list_has_any(tokens, ids)),
+    counts_{intent} AS (SELECT answer_key, count(*) AS n FROM hits_{intent} GROUP BY 1),
+    rows_{intent} AS (SELECT answer_key, CAST(0 AS BIGINT) AS place, CASE WHEN n > 0 THEN '**Scenario:** {SCENARIO}  ' || chr(10)
+      || '**Matching {noun}:** ' || n ELSE '{nothing}' END AS section FROM wanted_{intent} LEFT JOIN counts_{intent} USING (answer_key)
+      UNION ALL SELECT answer_key, CAST(position + 1 AS BIGINT), section FROM hits_{intent})"""
+
+
+TRANSFER_ROWS = _rows_sql("transfer_sections", "explain_transfer", "transfers", tx.NO_TRANSFERS)
+MANUFACTURING_ROWS = _rows_sql("manufacturing_sections", "explain_manufacturing", "manufacturing actions", tx.NO_MANUFACTURING)
 
 
 def asked(spark, folder):
@@ -179,8 +186,7 @@ def manufacturing_records(spark, folder):
 
 def _record_answers(spark, folder, sections, intent):
     questions, kept = settle(asked(spark, folder)), settle(sections)
-    hits = settle(an.matches(questions, kept, intent))
-    return an.record_answers(questions, kept, hits, intent, scenario_name(spark)).drop("header")
+    return an.record_answers(questions, kept, an.matches(questions, kept, intent), intent, scenario_name(spark))
 
 
 @query("n06_transfer_sections", TO_ANSWERS + " SELECT CAST(position AS BIGINT) AS position, section FROM transfer_sections")
@@ -194,31 +200,33 @@ def transfer_matches(spark, folder):
     return an.matches(settle(asked(spark, folder)), settle(sections), "explain_transfer")
 
 
-@query("n06_j12_transfer_answers", TO_ANSWERS + _answers_sql("transfer_sections", "explain_transfer", "transfers", tx.NO_TRANSFERS))
+@query("n06_j12_transfer_answers", TO_ANSWERS + ", " + TRANSFER_ROWS + " SELECT * FROM rows_explain_transfer")
 def transfer_answers(spark, folder):
     sections = an.transfer_sections(run(spark, folder).transfer_records(SCENARIO))
     return _record_answers(spark, folder, sections, "explain_transfer")
 
 
-@query("n07_manufacturing_answers", TO_ANSWERS + _answers_sql(
-    "manufacturing_sections", "explain_manufacturing", "manufacturing actions", tx.NO_MANUFACTURING))
+@query("n07_manufacturing_answers", TO_ANSWERS + ", " + MANUFACTURING_ROWS + " SELECT * FROM rows_explain_manufacturing")
 def manufacturing_answers(spark, folder):
     sections = an.manufacturing_sections(run(spark, folder).manufacturing_records(SCENARIO))
     return _record_answers(spark, folder, sections, "explain_manufacturing")
 
 
-@query("n08_scenario_answer", TO_COSTS.rstrip() + "," + COSTS + """, state AS (SELECT
+SCENARIO_ROWS = COSTS + """, state AS (SELECT
     CAST(sum(greatest(need - current, 0)) AS DOUBLE) AS before, CAST(sum(greatest(need - final, 0)) AS DOUBLE) AS after,
     CAST(sum(current) AS DOUBLE) AS stock FROM (SELECT *, CAST(total_demand_7d AS DECIMAL(24,6)) AS need FROM plan
     JOIN (SELECT store_id, product_id, total_demand_7d FROM targets) USING (store_id, product_id))),
     v AS (SELECT round_even(stock + 25 * before, 2) AS c0, round_even(total_cost + 25 * after, 2) AS c1,
-    CAST(round_even(before, 0) AS BIGINT) AS s0, CAST(round_even(after, 0) AS BIGINT) AS s1 FROM state, costs)
-    SELECT 'scenario|' AS answer_key, '**Scenario:** weekly_plan' || chr(10) || chr(10) || '| | Baseline | Optimized |' || chr(10) || '|---|---|---|' || chr(10)
+    CAST(round_even(before, 0) AS BIGINT) AS s0, CAST(round_even(after, 0) AS BIGINT) AS s1 FROM state, costs),
+    scenario_answers AS (SELECT 'scenario|' AS answer_key, '**Scenario:** weekly_plan' || chr(10) || chr(10) || '| | Baseline | Optimized |' || chr(10) || '|---|---|---|' || chr(10)
     || '| Total cost | $' || format('{:,.0f}', c0) || ' | $' || format('{:,.0f}', c1) || ' |' || chr(10)
     || '| Total stockouts | ' || s0 || ' units | ' || s1 || ' units |' || chr(10) || chr(10) || '**Improvement after optimization:**' || chr(10) || chr(10)
     || '| Metric | Value |' || chr(10) || '|--------|-------|' || chr(10) || '| Cost change | $' || format('{:,.0f}', c1 - c0) || ' |' || chr(10)
     || '| Stockout units reduced | ' || (s0 - s1) || ' |' || chr(10)
-    || '| Stockout reduction | ' || format('{:.1f}', CAST(s0 - s1 AS DOUBLE) / s0 * 100) || '% |' AS "text" FROM v""")
+    || '| Stockout reduction | ' || format('{:.1f}', CAST(s0 - s1 AS DOUBLE) / s0 * 100) || '% |' AS "text" FROM v)"""
+
+
+@query("n08_scenario_answer", TO_COSTS.rstrip() + "," + SCENARIO_ROWS + " SELECT * FROM scenario_answers")
 def scenario_answer(spark, folder):
     return an.scenario_answer(run(spark, folder).scenario_record(SCENARIO))
 
@@ -234,27 +242,54 @@ def entities(spark, folder):
     return an.entities(made.transfer_records(SCENARIO), made.manufacturing_records(SCENARIO))
 
 
-@query("n09_entity_answer", TO_RECORDS + NAMED + """ SELECT 'list_entities|' AS answer_key, count(*) FILTER (kind = 'product') AS n_products,
-    count(*) FILTER (kind = 'store') AS n_stores, '**Scenario:** weekly_plan' || chr(10) || chr(10) || '**Products involved/at risk**:' || chr(10)
-    || string_agg('- ' || id, chr(10) ORDER BY id) FILTER (kind = 'product') || chr(10) || chr(10) || '**Stores involved**:' || chr(10)
-    || string_agg('- ' || id, chr(10) ORDER BY id) FILTER (kind = 'store') AS "text" FROM named""")
+ENTITY_ROWS = """numbered AS (SELECT kind, id, row_number() OVER (ORDER BY kind, id) AS n FROM named),
+    entity_rows AS (SELECT 'list_entities|' AS answer_key, CAST(0 AS BIGINT) AS place, '**Scenario:** weekly_plan' || chr(10) || chr(10)
+      || '**Products involved/at risk**:' AS section
+    UNION ALL SELECT 'list_entities|', count(*) FILTER (kind = 'product') + 1, chr(10) || '**Stores involved**:' FROM named
+    UNION ALL SELECT 'list_entities|', n + CASE WHEN kind = 'store' THEN 1 ELSE 0 END, '- ' || id FROM numbered)"""
+
+
+@query("n09_entity_answer", TO_RECORDS + NAMED + ", " + ENTITY_ROWS + " SELECT * FROM entity_rows")
 def entity_answer(spark, folder):
     made = run(spark, folder)
     named = an.entities(made.transfer_records(SCENARIO), made.manufacturing_records(SCENARIO))
-    return an.entity_answer(settle(named), scenario_name(spark))
+    return an.entity_answer(named, scenario_name(spark))
 
 
-@query("n10_a37_count_answer", TO_RECORDS + """SELECT 'total_counts|' AS answer_key, '**Scenario:** weekly_plan' || chr(10) || chr(10)
+COUNT_ROWS = """count_answers AS (SELECT 'total_counts|' AS answer_key, '**Scenario:** weekly_plan' || chr(10) || chr(10)
     || '**Overall Summary Metrics:**' || chr(10) || '- Total Transfer Recommendations: **' || (SELECT count(*) FROM transfer_records) || '**' || chr(10)
     || '- Total Manufacturing Decisions: **' || (SELECT count(*) FROM manufacturing_records) || '**' || chr(10) || '- Unique Products Affected: **'
-    || (SELECT count(*) FROM (SELECT product_id FROM transfer_records UNION SELECT product_id FROM manufacturing_records)) || '**' AS "text" """)
+    || (SELECT count(*) FROM (SELECT product_id FROM transfer_records UNION SELECT product_id FROM manufacturing_records)) || '**' AS "text")"""
+
+
+@query("n10_a37_count_answer", TO_RECORDS + ", " + COUNT_ROWS + " SELECT * FROM count_answers")
 def count_answer(spark, folder):
     made = run(spark, folder)
     counts = an.result_counts(made.transfer_records(SCENARIO), made.manufacturing_records(SCENARIO))
     return an.count_answer(counts, scenario_name(spark))
 
 
-@query("n14_records_missing_fields")
+FIXED_ROWS = f"""fixed_answers AS (SELECT 'greeting|' AS answer_key, '{tx.GREETING_REPLY.replace("'", "''")}' AS "text"
+    UNION ALL SELECT 'out_of_scope|', '{tx.OUT_OF_SCOPE_REPLY.replace("'", "''")}')"""
+_at_once = "UNION ALL SELECT answer_key, CAST(0 AS BIGINT), \"text\" FROM {}"
+
+
+@query("n11_n12_all_answers", TO_ANSWERS + ", " + ", ".join(
+    [TRANSFER_ROWS, MANUFACTURING_ROWS, SCENARIO_ROWS, NAMED.lstrip(", "), ENTITY_ROWS, COUNT_ROWS, FIXED_ROWS]) + f""",
+    every AS (SELECT * FROM rows_explain_transfer UNION ALL SELECT * FROM rows_explain_manufacturing UNION ALL SELECT * FROM entity_rows
+    {' '.join(_at_once.format(t) for t in ('scenario_answers', 'count_answers', 'fixed_answers'))})
+    SELECT *, answer_key IN ('list_entities|', 'total_counts|') OR section IN ('{tx.NO_TRANSFERS}', '{tx.NO_MANUFACTURING}') AS as_is FROM every""")
+def all_answers(spark, folder):
+    """Every answer there is, of any length, as rows, with the flag of those that are shown as they are."""
+    made = run(spark, folder)
+    moved, produced = settle(made.transfer_records(SCENARIO)), settle(made.manufacturing_records(SCENARIO))
+    questions = settle(asked(spark, folder))
+    return answer_rows(
+        questions, an.transfer_sections(moved), an.manufacturing_sections(produced), moved, produced, made.scenario_record(SCENARIO)
+    )
+
+
+@query("n14_records_missing_fields", TO_RECORDS + """SELECT transfer_id, ['cost_impact'] AS missing FROM transfer_records WHERE baseline_stockout_units <= 0""")
 def records_missing_fields(spark, folder):
     """Records lacking a required field, after dropping the cost of every record without a stock-out."""
     records = run(spark, folder).transfer_records(SCENARIO)

@@ -63,15 +63,23 @@ def calendar_and_status(spark, folder):
 
 @query(
     "p02_lenient_parsing",
-    """SELECT doc_id, TRY_CAST(substr("text", 1, 10) AS DATE) AS as_date,
-       TRY_CAST(regexp_extract("text", '[0-9]+') AS DOUBLE) AS as_number
-       FROM documents WHERE TRY_CAST(regexp_extract("text", '[0-9]+') AS DOUBLE) IS NOT NULL""",
+    """SELECT doc_id, TRY_CAST(regexp_extract("text", '[0-9]+') AS DOUBLE) AS as_number FROM documents""",
 )
 def lenient_parsing(spark, folder):
     docs = views.table(spark, folder, "documents")
-    number = values.lenient_number(F.regexp_extract("text", "[0-9]+", 0))
-    day = values.lenient_date(F.substring("text", 1, 10))
-    return docs.select("doc_id", day.alias("as_date"), number.alias("as_number")).dropna(subset=["as_number"])
+    return docs.select("doc_id", values.lenient_number(F.regexp_extract("text", "[0-9]+", 0)).alias("as_number"))
+
+
+@query(
+    "p02_lenient_dates",
+    """SELECT o_orderkey, TRY_CAST(CASE WHEN o_orderkey % 3 = 0 THEN '2024-13-01' WHEN o_orderkey % 5 = 0 THEN o_orderpriority
+       ELSE strftime(o_orderdate, '%Y-%m-%d') END AS DATE) AS as_date FROM orders""",
+)
+def lenient_dates(spark, folder):
+    """Dates in text, some with a month 13 and some with no date at all."""
+    key, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = F.when(key % 3 == 0, "2024-13-01").when(key % 5 == 0, F.col("o_orderpriority")).otherwise(day)
+    return views.table(spark, folder, "orders").select("o_orderkey", values.lenient_date(text).alias("as_date"))
 
 
 @query(
@@ -119,7 +127,13 @@ def columns_by_type(spark, folder):
     return present.withColumn("is_numeric", F.col("column").isin(values.numeric_columns(rows)))
 
 
-@query("p23_schema_listing")
+_types = {"store_id": "bigint", "dt": "date"} | dict.fromkeys(
+    ["city_id", "product_id", "stock_hour6_22_cnt", "holiday_flag", "activity_flag"], "int")
+
+
+@query("p23_schema_listing", D + " UNION ALL ".join(
+    f"""SELECT CAST({i} AS INTEGER) AS position, '{c}' AS "column", '{_types.get(c, 'double')}' AS "type", count({c}) AS n_present FROM demand"""
+    for i, c in enumerate(views.DEMAND_NAMES)))
 def schema_listing(spark, folder):
     """Columns and types with the number of values each has."""
     rows = views.demand(spark, folder)
@@ -172,7 +186,8 @@ def winsorize(spark, folder):
     return rounded(clipped.drop("warehouse_inventory_level"))
 
 
-@query("p19_repeatable_sample")
+@query("p19_repeatable_sample", L + """ SELECT historical_demand, warehouse_inventory_level, risk_classification FROM logistics
+    ORDER BY md5(concat_ws('|', historical_demand, warehouse_inventory_level, risk_classification, 42)), 1, 2, 3 LIMIT 5000""")
 def repeatable_sample(spark, folder):
     rows = views.logistics(spark, folder, "historical_demand", "warehouse_inventory_level", "risk_classification")
     return values.repeatable_sample(rows, rows.columns, 5000)
@@ -195,11 +210,6 @@ def simulated_inventory(spark, folder):
     return dm.with_inventory(params(spark, folder)).select(*dm.SERIES, "current_inventory", "inventory_imbalance")
 
 
-@query("s05_first_rows")
-def first_rows(spark, folder):
-    return tables.discover(views.demand(spark, folder), 800_000)
-
-
 @query(
     "s06_rows_of_top_stores",
     D + """, top AS (SELECT store_id FROM demand GROUP BY 1 ORDER BY sum(sale_amount) DESC, store_id LIMIT 20)

@@ -22,8 +22,9 @@ sales AS (SELECT store_id, product_id, sum(sale_amount) AS total_sales FROM dema
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY store_id ORDER BY total_sales DESC, product_id) AS INTEGER) AS "rank"
   FROM sales)"""
 # Calendar, fills and features of the best-selling products of the top stores.
+PRODUCTS = 50
 DENSE = """
-chosen AS (SELECT store_id, product_id FROM ranked WHERE "rank" <= 3 AND store_id IN (SELECT store_id FROM top_stores)),
+chosen AS (SELECT store_id, product_id FROM ranked WHERE "rank" <= 50 AND store_id IN (SELECT store_id FROM top_stores)),
 kept AS (SELECT daily.* FROM daily JOIN chosen USING (store_id, product_id)),
 calendar AS (SELECT store_id, product_id, CAST(unnest(generate_series(min(dt), max(dt), INTERVAL 1 DAY)) AS DATE) AS dt
   FROM kept GROUP BY 1, 2),
@@ -59,10 +60,9 @@ counted AS (SELECT *, count(*) OVER (PARTITION BY store_id, product_id) AS n_row
 features AS (SELECT *, part <= floor(n_rows * 0.8::DOUBLE) AS is_train FROM counted WHERE n_rows >= 60)"""
 )
 ALL = with_views(DEMAND, DAILY, TOP_STORES, TOP_PRODUCTS, DENSE, FILLED, FEATURES)
-FEW = 3
 
 
-def chosen_rows(spark, folder, products: int = FEW):
+def chosen_rows(spark, folder, products: int = PRODUCTS):
     """Demand of the top stores' best-selling products."""
     rows = tables.keep_stores(views.demand(spark, folder), dm.top_stores(views.demand(spark, folder, "store_id", "sale_amount")))
     best = series.top_products(rows.select("store_id", "product_id", "sale_amount"), products)
@@ -76,9 +76,9 @@ def daily_with_context(spark, folder):
     return rounded(daily.withColumns({c: F.col(c).cast("double") for c in EXOGENOUS}))
 
 
-@query("w06_top_products", with_views(DEMAND, TOP_PRODUCTS) + 'SELECT * FROM ranked WHERE "rank" <= 5')
+@query("w06_top_products", with_views(DEMAND, TOP_PRODUCTS) + 'SELECT * FROM ranked WHERE "rank" <= 50')
 def top_products(spark, folder):
-    return series.top_products(views.demand(spark, folder, "store_id", "product_id", "sale_amount"), 5)
+    return series.top_products(views.demand(spark, folder, "store_id", "product_id", "sale_amount"), PRODUCTS)
 
 
 @query("w03_dense_calendar", with_views(DEMAND, DAILY, TOP_STORES, TOP_PRODUCTS, DENSE)
@@ -113,6 +113,12 @@ def last_rows(spark, folder):
     return series.last_rows(views.event_series(spark, folder), 7, ["series"])
 
 
+@query("p22_first_rows", E + """SELECT series, dt, demand FROM event_series
+    QUALIFY row_number() OVER (PARTITION BY series ORDER BY dt) <= 5""")
+def first_rows(spark, folder):
+    return series.first_rows(views.event_series(spark, folder), 5, ["series"])
+
+
 @query(
     "w07_w10_split_and_gate",
     ALL + """SELECT store_id, product_id, n_rows, count(*) FILTER (is_train) AS n_train,

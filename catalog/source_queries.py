@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.registry import query, r, rounded
-from catalog.supply_queries import SCENARIO, TO_COSTS, TO_LANES, city_lanes, run
+from catalog.supply_queries import COSTS, SCENARIO, TO_COSTS, TO_LANES, city_lanes, run
 from catalog.answer_queries import TO_RECORDS
 from catalog.views import DEMAND, LOGISTICS, with_views
 from stockloom import schemas
@@ -57,35 +57,77 @@ def logistics_csv(spark, folder):
 @query("s02_s08_lane_matrix", TO_LANES + f"""SELECT CAST(from_city AS BIGINT) AS from_id, CAST(to_city AS BIGINT) AS to_id, {r('cost')} FROM lanes
     UNION ALL SELECT city_id, city_id, CAST(0 AS DOUBLE) FROM regions""")
 def lane_matrix(spark, folder):
-    """City lanes as a labelled wide matrix (at most the checked number of cities) and back."""
+    """City lanes as a labelled wide matrix and back."""
     path = scratch_path(spark, "lanes")
     lanes = city_lanes(spark, folder).select(F.col("from_city").alias("from_id"), F.col("to_city").alias("to_id"), "cost")
-    ids = sorted(x[0] for x in lanes.select("to_id").distinct().collect())
-    sinks.write_lane_matrix(lanes, path, ids)
+    sinks.write_lane_matrix(lanes, path)
     return tables.read_lane_matrix(spark, path).select("from_id", "to_id", F.round(F.col("cost") + F.when(F.col("cost") > 0, 3e-8).otherwise(0.0), 6).alias("cost"))
 
 
 _record_columns = "transfer_id, from_store, to_store, product_id, quantity, reason_codes"
 
 
-@query("s03_s09_result_documents", TO_RECORDS + f"SELECT position::INTEGER AS position, {_record_columns}, transport_cost FROM transfer_records")
+@query("s03_s09_result_documents", TO_RECORDS + f"SELECT {_record_columns}, transport_cost FROM transfer_records")
 def result_documents(spark, folder):
+    """One document, written line by line and read again."""
     path = scratch_path(spark, "documents")
-    records = run(spark, folder).transfer_records(SCENARIO).drop("scenario")
-    sinks.write_single_document(records, path, "transfers", SCENARIO)
-    return tables.read_transfers(spark, path).select(
-        "position", "transfer_id", "from_store", "to_store", "product_id", "quantity", "reason_codes", "cost_impact.transport_cost"
+    sinks.write_document(run(spark, folder).transfer_records(SCENARIO).drop("scenario"), path, "transfers", SCENARIO)
+    return tables.read_document(spark, path, schemas.TRANSFER_RECORD).select(
+        "transfer_id", "from_store", "to_store", "product_id", "quantity", "reason_codes", "cost_impact.transport_cost"
     )
 
 
-@query("n14_checked_documents", TO_RECORDS + """SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_incomplete FROM manufacturing_records""")
+@query("s03_manufacturing_documents", TO_RECORDS + """SELECT 'weekly_plan' AS scenario, manufacturing_id, product_id, quantity AS manufacture_quantity,
+    reason_codes, manufacturing_cost FROM manufacturing_records""")
+def manufacturing_documents(spark, folder):
+    path = scratch_path(spark, "documents")
+    sinks.write_document(run(spark, folder).manufacturing_records(SCENARIO).drop("scenario"), path, "manufacturing_actions", SCENARIO)
+    return tables.read_document(spark, path, schemas.MANUFACTURING_RECORD).select(
+        "scenario", "manufacturing_id", "product_id", "manufacture_quantity", "reason_codes", "cost_impact.manufacturing_cost"
+    )
+
+
+@query("s03_scenario_document", TO_COSTS.rstrip() + "," + COSTS + """ SELECT 'weekly_plan' AS scenario, round(total_cost, 1) AS total_cost,
+    total_transfers FROM costs""")
+def scenario_document(spark, folder):
+    """The scenario record and the run summary as documents of one row, written and read again."""
+    made, path = run(spark, folder), scratch_path(spark, "documents")
+    sinks.write_documents(made.scenario_record(SCENARIO), f"{path}/scenario")
+    sinks.write_documents(made.summary(SCENARIO), f"{path}/summary")
+    named = tables.read_scenario(spark, f"{path}/scenario").select("scenario")
+    summary = spark.read.json(f"{path}/summary")
+    return named.join(summary, "scenario").select(
+        "scenario", F.round("optimized.total_cost", 1).alias("total_cost"), F.col("optimized.total_transfers").alias("total_transfers")
+    )
+
+
+@query("s09_run_summary", TO_COSTS.rstrip() + "," + COSTS + """ SELECT 'weekly_plan' AS scenario, round(total_cost, 1) AS total_cost, total_transfers,
+    round_even(manufacturing_units, 1) AS manufacturing_units, round_even(transfer_units, 1) AS transfer_units,
+    round(manufacturing_cost, 1) AS manufacturing_cost, round(transfer_cost, 1) AS transfer_cost, round(holding_cost, 1) AS holding_cost FROM costs""")
+def run_summary(spark, folder):
+    made = run(spark, folder).summary(SCENARIO)
+    return made.select(
+        "scenario", F.round("optimized.total_cost", 1).alias("total_cost"), "optimized.total_transfers", "optimized.manufacturing_units",
+        "optimized.transfer_units", *[F.round(f"cost_breakdown.{p}_cost", 1).alias(f"{p}_cost") for p in ("manufacturing", "transfer", "holding")]
+    )
+
+
+@query("n14_checked_documents", TO_RECORDS + """SELECT count(*) AS n_rows, count(*) FILTER (baseline_stockout_units <= 0 AND quantity < 100) AS n_incomplete,
+    count(*) FILTER (quantity >= 100) AS n_broken FROM transfer_records""")
 def checked_documents(spark, folder):
-    """Records written one per line, read with the declared types, and checked for required fields."""
+    """Records written one per line, some without a cost and some cut short, read with the declared types and
+    checked for broken lines and missing fields."""
     path = scratch_path(spark, "records")
-    sinks.write_documents(run(spark, folder).manufacturing_records(SCENARIO), path)
-    back = spark.read.schema(schemas.MANUFACTURING_RECORD).json(path)
-    lacking = an.missing_fields(back, schemas.REQUIRED["manufacturing"])
-    return back.agg(F.count("*").alias("n_rows")).join(F.broadcast(lacking.agg(F.count("*").alias("n_incomplete"))))
+    records = run(spark, folder).transfer_records(SCENARIO).drop("scenario", "position")
+    some = F.col("service_level_impact.baseline_stockout_units") > 0
+    text = F.to_json(F.struct(*records.withColumn("cost_impact", F.when(some, F.col("cost_impact"))).columns))
+    cut = records.withColumn("cost_impact", F.when(some, F.col("cost_impact"))).withColumn("_text", text)
+    line = F.when(F.col("quantity") >= 100, F.substring("_text", F.lit(1), F.length("_text") - 1)).otherwise(F.col("_text"))
+    cut.select(line.alias("value")).write.text(path)
+    good, bad = tables.read_records(spark, path, schemas.TRANSFER_RECORD)
+    lacking = an.missing_fields(good, schemas.REQUIRED["transfer"]).agg(F.count("*").alias("n_incomplete"))
+    counted = good.agg(F.count("*").alias("_good")).join(F.broadcast(bad.agg(F.count("*").alias("n_broken"))))
+    return counted.join(F.broadcast(lacking)).select((F.col("_good") + F.col("n_broken")).alias("n_rows"), "n_incomplete", "n_broken")
 
 
 @query("s04_landed_demand", """SELECT CAST(strftime(l_shipdate, '%Y') AS INTEGER) AS "year", count(*) AS n_rows, sum(l_quantity) AS quantity

@@ -83,8 +83,9 @@ def inventory_status(gap: Column) -> Column:
 
 
 def repeatable_sample(df: DataFrame, key: Sequence[str], n: int = 5000, seed: int = 42) -> DataFrame:
-    """At most n rows, the same on every run: the smallest hashes of the key."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+    """At most n rows, the same on every run and on any engine: the smallest MD5 of the key as text."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(str(seed)))
+    return df.orderBy(F.md5(text), *key).limit(n)
 
 
 def key_uniform(key: Sequence[str], seed: int = 42) -> Column:

@@ -1,24 +1,21 @@
 """Answer tables of questions about a plan.
 
 Questions with the same intent and the same named ids have the same answer, so an answer is made once
-per different request (`answer_key`) and questions refer to it. The text of a record is made once too:
-an answer about records is a header and the places of its records, and only short answers are put
-together into one text. A request without ids takes every record, without pairing questions and records.
+per different request (`answer_key`) and questions refer to it. An answer of any length is a set of rows
+(answer_key, place, section): place 0 opens it, the sections follow in order of their places. No answer is
+ever put together in one string, so none has a longest length. The text of a record is made once, and a
+request without ids takes every record, without pairing questions and records.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.functions import text as tx
-from stockloom.operators.ordered import carry_last, id_chunk
+from stockloom.operators.ordered import carry_last, id_chunk, row_numbers
 
 ID_LISTS = ["transfer_id", "manufacturing_id", "product_id", "store_id"]
-# Longest answer that is put into one text; longer ones are read section by section.
-TEXT_SECTIONS = 100
-# At most 1000, the largest rank Spark filters before it shuffles.
-LISTED_IDS = 1000
 
 
 def has_ids(*names: str) -> Column:
@@ -171,15 +168,18 @@ def _requested(asked: DataFrame, intent: str) -> DataFrame:
 def matches(asked: DataFrame, sections: DataFrame, intent: str) -> DataFrame:
     """(answer_key, position): the records each different request is about.
 
-    Ids are joined by equality, one row per id; a request without ids takes all records.
+    Ids are joined by equality, one row per id; a request without ids takes all records. Only requests with
+    several ids can find a record twice, so only their matches are made distinct.
     """
     wanted = _requested(asked, intent)
-    by_id = wanted.select("answer_key", F.explode("tokens").alias("token"))
     record_ids = sections.select("position", F.explode("tokens").alias("token"))
-    named = by_id.join(record_ids, "token").select("answer_key", "position").distinct()
+    found = wanted.select("answer_key", F.size("tokens").alias("_n"), F.explode("tokens").alias("token")).join(record_ids, "token")
+    one_id = found.where("_n = 1").select("answer_key", "position")
+    several = found.where("_n > 1").select("answer_key", "position").distinct()
     # All requests without ids share one key, so this side is one row at most.
     everything = wanted.where(F.size("tokens") == 0).select("answer_key").limit(1)
-    return named.unionByName(sections.select("position").join(F.broadcast(everything)).select("answer_key", "position"))
+    taken = sections.select("position").join(F.broadcast(everything)).select("answer_key", "position")
+    return one_id.unionByName(several).unionByName(taken)
 
 
 def answer_headers(asked: DataFrame, hits: DataFrame, intent: str, scenario: DataFrame) -> DataFrame:
@@ -198,19 +198,18 @@ def answer_headers(asked: DataFrame, hits: DataFrame, intent: str, scenario: Dat
     return all_keys.select("answer_key", n.alias("n_matches"), F.when(n > 0, header).otherwise(nothing).alias("header"))
 
 
-def record_answers(
-    asked: DataFrame, sections: DataFrame, hits: DataFrame, intent: str, scenario: DataFrame, most: int = TEXT_SECTIONS
-) -> DataFrame:
-    """(answer_key, n_matches, header, text). The text is null for answers of more than `most` sections;
-    those are read whole from `hits` and `sections`, in order of `position`."""
+def record_answers(asked: DataFrame, sections: DataFrame, hits: DataFrame, intent: str, scenario: DataFrame) -> DataFrame:
+    """(answer_key, place, section): the header at place 0, each matching record at its position plus one."""
     headers = answer_headers(asked, hits, intent, scenario)
-    short = headers.where(F.col("n_matches") <= most).select("answer_key")
-    pieces = hits.join(short, "answer_key", "left_semi").join(sections.select("position", "section"), "position")
-    # At most `most` rows per key are collected here.
-    bodies = pieces.groupBy("answer_key").agg(F.array_sort(F.collect_list(F.struct("position", "section"))).alias("_parts"))
-    body = F.array_join(F.transform("_parts", lambda p: p["section"]), "\n\n")
-    text = F.when(F.col("n_matches") <= most, F.concat_ws("\n\n", "header", body))
-    return headers.join(bodies, "answer_key", "left").select("answer_key", "n_matches", "header", text.alias("text"))
+    bodies = hits.join(sections.select("position", "section"), "position")
+    return headers.select("answer_key", F.lit(0).cast("bigint").alias("place"), F.col("header").alias("section")).unionByName(
+        bodies.select("answer_key", (F.col("position") + 1).cast("bigint").alias("place"), "section")
+    )
+
+
+def at_once(answers: DataFrame) -> DataFrame:
+    """Answers that are one text, (answer_key, text), as rows with the single place 0."""
+    return answers.select("answer_key", F.lit(0).cast("bigint").alias("place"), F.col("text").alias("section"))
 
 
 def scenario_answer(scenario: DataFrame) -> DataFrame:
@@ -250,30 +249,26 @@ def entities(transfers: DataFrame, manufacturing: DataFrame) -> DataFrame:
     return named.where("id IS NOT NULL").distinct()
 
 
-def entity_answer(named: DataFrame, scenario: DataFrame, most: int = LISTED_IDS) -> DataFrame:
-    """(answer_key, n_products, n_stores, text): the ids as a list, or no text when there are too many."""
+def entity_answer(named: DataFrame, scenario: DataFrame) -> DataFrame:
+    """(answer_key, place, section): products, then stores, one row per id under a heading each."""
+    numbered = row_numbers(named, ["kind", "id"], "_n")  # products come before stores
     counted = named.groupBy().agg(
         F.count_if(F.col("kind") == "product").alias("n_products"), F.count_if(F.col("kind") == "store").alias("n_stores")
     )
-    # Rank first, so that no more than `most` ids of a kind are ever collected.
-    ranked = named.withColumn("_rank", F.row_number().over(Window.partitionBy("kind").orderBy("id")))
-    kept = ranked.where(F.col("_rank") <= most).groupBy().agg(
-        *[F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("id")))).alias(f"_{k}s") for k in ("product", "store")]
-    )
-
-    def listed(ids: str) -> Column:
-        lines = F.array_join(F.transform(ids, lambda x: F.concat(F.lit("- "), x)), "\n")
-        return F.when(F.size(ids) > 0, lines).otherwise("- None")
-
-    text = _lines(
-        F.concat(F.lit("**Scenario:** "), F.coalesce("_scenario", F.lit("Unknown"))), "",
-        "**Products involved/at risk**:", listed("_products"), "", "**Stores involved**:", listed("_stores"),
-    )
-    short = F.greatest("n_products", "n_stores") <= most
     name = scenario.select(F.col("scenario").alias("_scenario")).limit(1)
-    return counted.join(F.broadcast(kept)).join(F.broadcast(name)).select(  # one row each
-        F.lit("list_entities|").alias("answer_key"), "n_products", "n_stores", F.when(short, text).alias("text")
-    )
+    known = counted.join(F.broadcast(name))  # one row each
+    none = lambda n: F.when(F.col(n) == 0, F.lit("\n- None")).otherwise("")
+    top = F.concat(_lines(
+        F.concat(F.lit("**Scenario:** "), F.coalesce("_scenario", F.lit("Unknown"))), "", "**Products involved/at risk**:"
+    ), none("n_products"))
+    middle = F.concat(F.lit("\n**Stores involved**:"), none("n_stores"))
+    headings = known.select(F.explode(F.array(
+        F.struct(F.lit(0).cast("bigint").alias("place"), top.alias("section")),
+        F.struct((F.col("n_products") + 1).alias("place"), middle.alias("section")),
+    )).alias("_h")).select("_h.*")
+    place = F.col("_n") + F.when(F.col("kind") == "store", 1).otherwise(0)
+    listed = numbered.select(place.alias("place"), F.concat(F.lit("- "), "id").alias("section"))
+    return headings.unionByName(listed).select(F.lit("list_entities|").alias("answer_key"), "place", "section")
 
 
 def result_counts(transfers: DataFrame, manufacturing: DataFrame) -> DataFrame:
@@ -307,11 +302,10 @@ def fixed_replies(any_frame: DataFrame) -> DataFrame:
     return any_frame.sparkSession.createDataFrame(rows, "answer_key string, text string")
 
 
-def needs_no_rewriting(answer_key: Column, text: Column) -> Column:
-    """Answers that are shown as they are: lists, counts and empty results."""
+def needs_no_rewriting(answer_key: Column, section: Column) -> Column:
+    """Rows of answers that are shown as they are: lists, counts and empty results."""
     listed = answer_key.isin("list_entities|", "total_counts|")
-    empty = F.coalesce(text.startswith("No transfers match") | text.startswith("No manufacturing actions match"), F.lit(False))
-    return listed | empty
+    return listed | F.coalesce(section.isin(tx.NO_TRANSFERS, tx.NO_MANUFACTURING), F.lit(False))
 
 
 def intent_distribution(answered: DataFrame) -> DataFrame:

@@ -141,6 +141,12 @@ def last_rows(df: DataFrame, n: int, keys: Sequence[str] = SERIES, day: str = "d
     return df.withColumn("_back", F.row_number().over(latest)).where(F.col("_back") <= n).drop("_back")
 
 
+def first_rows(df: DataFrame, n: int, keys: Sequence[str] = SERIES, day: str = "dt") -> DataFrame:
+    """The first n rows of each series."""
+    earliest = Window.partitionBy(*keys).orderBy(day)
+    return df.withColumn("_place", F.row_number().over(earliest)).where(F.col("_place") <= n).drop("_place")
+
+
 def history_tail(df: DataFrame, n: int = 14, keys: Sequence[str] = SERIES, day: str = "dt") -> DataFrame:
     """The last n demand values of each series as an array, oldest first, with the last day."""
     kept = last_rows(df.select(*keys, day, "demand"), n, keys, day)

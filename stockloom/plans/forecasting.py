@@ -27,4 +27,4 @@ def forecast_demand(
     daily = series.daily_with_context(chosen_demand(demand, stores, products))
     features = settle(fc.with_level(series.feature_table(daily, min_rows=min_rows)))
     model = fc.fit_forest(features, trees, depth)
-    return fc.Forecast(fc.forecast(features, model), fc.evaluate(features, model), model)
+    return fc.Forecast(fc.forecast(features, model), fc.evaluate(features, model), model, features)

@@ -13,6 +13,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockloom.session import scratch_path
+
 Spec = dict[str, tuple[Column, set[str]]]
 
 
@@ -104,10 +106,25 @@ def demand(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     return _lineitem_view(spark, folder, spec, columns or list(spec))
 
 
-def demand_stream(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+def demand_stream(
+    spark: SparkSession, folder: str, *columns: str, read: Callable[[SparkSession, str, str], DataFrame] | None = None
+) -> DataFrame:
     """Demand over arriving line items; dimensions are static."""
     spec = demand_columns()
-    return _lineitem_view(spark, folder, spec, columns or list(spec), stream_table(spark, folder, "lineitem"))
+    return _lineitem_view(spark, folder, spec, columns or list(spec), (read or stream_table)(spark, folder, "lineitem"))
+
+
+def arriving(files: int, *spread: str) -> Callable[[SparkSession, str, str], DataFrame]:
+    """A reader of a table as a stream of so many files, one per micro-batch. Rows are dealt to the files by
+    a hash of the columns `spread`, so every file holds a mix of all dates."""
+
+    def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+        rows = table(spark, folder, name)
+        landed = scratch_path(spark, f"arriving-{name}")
+        rows.repartition(files, *spread).write.parquet(landed)  # a file per task
+        return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+
+    return read
 
 
 def logistics(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -155,6 +172,10 @@ QUESTION_FORMS = [
     "list everything",
 ]
 
+DEMAND_NAMES = (
+    "store_id", "city_id", "product_id", "dt", "sale_amount", "stock_hour6_22_cnt", "discount", "holiday_flag",
+    "activity_flag", "precpt", "avg_temperature", "avg_humidity", "avg_wind_level",
+)
 LOGISTICS_NAMES = (
     "timestamp", "date", "region_id", "vehicle_gps_latitude", "vehicle_gps_longitude", "historical_demand",
     "warehouse_inventory_level", "shipping_costs", "lead_time_days", "delivery_time_deviation",

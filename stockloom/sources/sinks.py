@@ -15,22 +15,31 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def land_demand(spark: SparkSession, source: str, target: str, partition: str = "dt") -> None:
-    """Copy a bulk parquet set into date-partitioned parquet, one write pass per date and task.
+    """Copy a bulk parquet set into date-partitioned parquet.
 
-    Rows are spread by date and a hash of the store, so a day with most of the rows is written by many
-    tasks instead of one.
+    Rows go to their date; the rebalance hint then lets adaptive execution cut a large date into as many
+    tasks as its size needs and join small ones.
     """
     rows = spark.read.parquet(source)
-    spread = F.pmod(F.xxhash64("store_id", "product_id"), F.lit(16))
-    rows.repartition(partition, spread).write.mode("overwrite").partitionBy(partition).parquet(target)
+    rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(target)
 
 
-def write_lane_matrix(lanes: DataFrame, path: str, ids: list[int]) -> None:
-    """The labelled wide form of a (from_id, to_id, cost) table, for a short list of ids."""
-    wide = (
-        lanes.groupBy("from_id").pivot("to_id", ids).agg(F.max("cost")).na.fill(0.0).orderBy("from_id")
-    )
-    wide.write.mode("overwrite").option("header", True).csv(path)
+def write_lane_matrix(lanes: DataFrame, path: str) -> None:
+    """The labelled wide form of a (from_id, to_id, cost) table as CSV lines: a header of all ids, then a
+    line per origin. Pairs that are not in the table get 0.
+
+    A line has a value per id by its nature; lines are made and written by many tasks, and the ids reach them
+    as one broadcast row.
+    """
+    every = lanes.select(F.col("from_id").alias("id")).unionByName(lanes.select(F.col("to_id").alias("id")))
+    ids = every.agg(F.array_sort(F.collect_set("id")).alias("_ids"))
+    costs = lanes.groupBy("from_id").agg(F.map_from_entries(F.collect_list(F.struct("to_id", "cost"))).alias("_cost"))
+    cells = F.transform("_ids", lambda i: F.coalesce(F.try_element_at("_cost", i), F.lit(0.0)).cast("string"))
+    body = every.select(F.col("id").alias("from_id")).distinct().join(costs, "from_id", "left").join(F.broadcast(ids))
+    line = F.concat_ws(",", F.col("from_id").cast("string"), F.array_join(cells, ","))
+    header = ids.select(F.lit(-1).alias("_at"), F.concat_ws(",", F.lit("from_id"), F.array_join("_ids", ",")).alias("value"))
+    rows = body.select(F.lit(0).alias("_at"), line.alias("value"))
+    header.unionByName(rows).select("value").write.mode("overwrite").text(path)
 
 
 def write_documents(rows: DataFrame, path: str) -> None:
@@ -38,18 +47,19 @@ def write_documents(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
-def write_single_document(
-    rows: DataFrame, path: str, list_name: str, scenario: str, order: str = "position", most: int = 100_000
-) -> None:
+def write_document(rows: DataFrame, path: str, list_name: str, scenario: str, order: str = "position") -> None:
     """One JSON document holding all records in a list by `order`, the form the page layer loads whole.
 
-    The list sits in one row, so this is for results of a checked size; larger ones are refused here and
-    written by `write_documents`.
+    It is written as lines in order: an opening line, a line per record, a closing line. The part files one
+    after the other are the document, so many tasks write it and its length has no limit.
     """
-    found = rows.limit(most + 1).count()
-    if found > most:
-        raise ValueError(f"more than {most} records: use write_documents")
-    record = F.struct(*[c for c in rows.columns if c != order])
-    document = rows.groupBy().agg(F.sort_array(F.collect_list(F.struct(order, record.alias("_record")))).alias("_all"))
-    listed = F.transform("_all", lambda x: x["_record"]).alias(list_name)
-    document.select(F.lit(scenario).alias("scenario"), listed).coalesce(1).write.mode("overwrite").json(path)
+    first = rows.agg(F.min(order).alias("_first"))
+    record = F.to_json(F.struct(*[c for c in rows.columns if c != order]))
+    comma = F.when(F.col(order) == F.col("_first"), "").otherwise(",")
+    body = rows.join(F.broadcast(first)).select(F.lit(1).alias("_part"), F.col(order).alias("_at"), F.concat(comma, record).alias("value"))
+    name = F.to_json(F.struct(F.lit(scenario).alias("scenario")))
+    spark = rows.sparkSession
+    opening = spark.range(1).select(F.lit(0).alias("_part"), F.lit(0).alias("_at"), F.concat(F.rtrim(name, F.lit("}")), F.lit(f', "{list_name}": [')).alias("value"))
+    closing = spark.range(1).select(F.lit(2).alias("_part"), F.lit(0).alias("_at"), F.lit("]}").alias("value"))
+    lines = opening.unionByName(body).unionByName(closing).orderBy("_part", "_at")
+    lines.select("value").write.mode("overwrite").text(path)

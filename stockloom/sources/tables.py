@@ -49,14 +49,17 @@ def parse_hours(demand: DataFrame) -> DataFrame:
 
 
 def read_lane_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """A wide store × store matrix (first column is the row label) as (from_id, to_id, cost)."""
-    wide = spark.read.option("header", True).csv(path)
-    label, *targets = wide.columns
-    renamed = wide.withColumnRenamed(label, "from_id")
-    long = renamed.unpivot("from_id", targets, "to_id", "cost")
-    return long.select(
-        F.col("from_id").cast("bigint"), F.col("to_id").cast("bigint"), F.col("cost").cast("double")
-    )
+    """A wide store × store matrix (first column is the row label) as (from_id, to_id, cost).
+
+    Lines are cut as text: a matrix has as many columns as stores, which is no schema to plan with. The one
+    header line, which starts with a label that is no number, is matched to the cells by their place.
+    """
+    cells = spark.read.text(path).select(F.split("value", ",").alias("_cells"))
+    numbered = F.try_element_at("_cells", F.lit(1)).try_cast("bigint")
+    header = cells.where(numbered.isNull()).select(F.posexplode("_cells").alias("_place", "to_id")).where("_place > 0")
+    rows = cells.where(numbered.isNotNull()).select(numbered.alias("from_id"), F.posexplode("_cells").alias("_place", "cost"))
+    joined = rows.where("_place > 0").join(header, "_place")
+    return joined.select("from_id", F.col("to_id").cast("bigint").alias("to_id"), F.col("cost").cast("double").alias("cost"))
 
 
 def _read_document(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -79,6 +82,28 @@ def read_scenario(spark: SparkSession, path: str) -> DataFrame:
     return _read_document(spark, path, schemas.SCENARIO_DOCUMENT)
 
 
+def read_document(spark: SparkSession, path: str, record: T.StructType) -> DataFrame:
+    """(scenario, record fields…) of a document written line by line, read by as many tasks as it needs."""
+    lines = spark.read.text(path)
+    scenario = lines.where(F.col("value").endswith("[")).select(
+        F.get_json_object(F.concat("value", F.lit("]}")), "$.scenario").alias("scenario")
+    )
+    body = lines.where(F.col("value").endswith("}") & (F.col("value") != "]}"))
+    records = body.select(F.from_json(F.ltrim(F.col("value"), F.lit(",")), record).alias("_r"))
+    return records.join(F.broadcast(scenario)).select("scenario", "_r.*")  # one opening line
+
+
+def read_records(spark: SparkSession, path: str, record: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Records kept one per line: those that fit the declared types, and the lines of those that do not."""
+    parsed = spark.read.text(path).select(
+        F.col("value").alias("record"),
+        F.from_json("value", T.StructType([*record.fields, T.StructField("_broken", T.StringType())]), {"columnNameOfCorruptRecord": "_broken"}).alias("_r"),
+    )
+    fits = F.col("_r").isNotNull() & F.col("_r._broken").isNull()
+    good = parsed.where(fits).select(*[F.col(f"_r.{f}") for f in record.fieldNames()])
+    return good, parsed.where(~fits).select("record")
+
+
 def quoted_list(text: Column) -> Column:
     """A list written with single quotes, as an array."""
     return F.from_json(F.translate(text, "'", '"'), "array<string>")
@@ -89,11 +114,6 @@ def read_result_csv(spark: SparkSession, path: str, schema: T.StructType = schem
     return read_csv(spark, path, schema).withColumn("reason_codes", quoted_list(F.col("reason_codes")))
 
 
-def discover(df: DataFrame, n: int = 800_000) -> DataFrame:
-    """The first n rows of a scan, for a quick ranking. Which rows come first is up to the scan."""
-    return df.limit(n)
-
-
 def keep_stores(df: DataFrame, stores: DataFrame) -> DataFrame:
     """Rows of the chosen stores only."""
     return df.join(stores.select("store_id"), "store_id", "left_semi")

@@ -1,44 +1,41 @@
-"""Carry the last in-scope intent of a conversation to its follow-up turns, as turns arrive."""
+"""Carry the last in-scope intent of a conversation to its follow-up turns, as turns arrive.
 
-from __future__ import annotations
+Turns may arrive in any order. Each batch stores its turns with the intent their own words give, and then
+answers every conversation it touches again from all turns stored so far, so an earlier turn that comes late
+corrects the ones after it. Classification and carrying are those of the batch job.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from stockloom.operators.answers import ID_LISTS, classify, has_ids
-
-_OUTPUT = "conv_id bigint, turn bigint, intent string"
-_STATE = "last_intent string"
-
-
-def _carry(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One conversation's turns of a micro-batch: three narrow columns, taken in order of the turn."""
-    turns = sorted(row for b in batches for row in zip(b["turn"].tolist(), b["intent"].tolist(), b["asks"].tolist()))
-    last = state.get[0] if state.exists else None
-    shown = []
-    for _, intent, asks in turns:
-        if intent not in ("out_of_scope", "greeting"):
-            last = intent
-        follows = intent == "out_of_scope" and asks and last is not None
-        shown.append(last if follows else intent)
-    if last is not None:
-        state.update((last,))
-    yield pd.DataFrame({"conv_id": key[0], "turn": [t[0] for t in turns], "intent": shown})
-
-
-def carried_intents(questions: DataFrame, strict: bool = False) -> DataFrame:
-    """(conv_id, turn, intent) for a stream of questions; the state is one intent per conversation.
-
-    Turns are classified by column expressions; only ids and intents reach the keyed step. What one
-    conversation can hand it at once is bounded by what a micro-batch reads (`files_per_batch`).
-    """
-    narrow = classify(questions, strict).select(
-        "conv_id", "turn", "intent", (F.col("is_all") | has_ids(*ID_LISTS)).alias("asks")
-    )
-    return narrow.groupBy("conv_id").applyInPandasWithState(
-        _carry, _OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout
-    )
+
+from stockloom.operators.answers import carry_over, classify
+from stockloom.session import scratch_path
+from stockloom.streaming.runs import each_batch, latest
+
+TURN = ["conv_id", "turn"]
+
+
+def carried_intents(questions: DataFrame, path: str, strict: bool = False) -> None:
+    """Read a stream of questions to its end. `path/turns` gets the classified turns, `path/intents` the
+    intents of the touched conversations, both by batch; a batch run again replaces its own folders."""
+    spark = questions.sparkSession
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        classify(batch, strict).drop("text").write.mode("overwrite").parquet(f"{path}/turns/batch_id={batch_id}")
+        turns = spark.read.parquet(f"{path}/turns")
+        touched = turns.where(F.col("batch_id") == batch_id).select("conv_id").distinct()
+        known = turns.where(F.col("batch_id") <= batch_id).drop("batch_id").join(touched, "conv_id", "left_semi")
+        carry_over(known).select(*TURN, "intent").write.mode("overwrite").parquet(f"{path}/intents/batch_id={batch_id}")
+
+    each_batch(questions, take, f"{path}/state")
+
+
+def run_carried(questions: DataFrame, label: str = "carried") -> DataFrame:
+    """(conv_id, turn, intent) of everything that has arrived: the newest row of each turn."""
+    path = scratch_path(questions.sparkSession, label)
+    carried_intents(questions, path)
+    return latest(questions.sparkSession, f"{path}/intents", TURN)
+
+

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,22 +22,52 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return query
 
 
+def each_batch(stream: DataFrame, take: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Hand every micro-batch to `take`. A batch may be handed over again after a failure, under its number."""
+    query = (
+        stream.writeStream.foreachBatch(take).outputMode(mode)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return query
+
+
 def log_updates(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write the rows that changed in each micro-batch to `path/batch_id=…`.
 
     A batch that is run again after a failure overwrites its own folder. Only changed rows are written,
     so a batch costs what it changes and not the size of the whole result.
     """
+    return each_batch(stream, lambda b, n: b.write.mode("overwrite").parquet(f"{path}/batch_id={n}"), checkpoint, "update")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    query = (
-        stream.writeStream.foreachBatch(write).outputMode("update")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def log_parts(stream: DataFrame, make: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
+    """Write what `make` sums up of each micro-batch to `path/batch_id=…`."""
+    return each_batch(stream, lambda b, n: make(b).write.mode("overwrite").parquet(f"{path}/batch_id={n}"), checkpoint)
+
+
+def log_progress(stream: DataFrame, keep: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows `keep` lets through to `path/rows`, by batch, and a line per batch to `path/progress`:
+    rows read, rows kept and rows per second. Every batch has its line, however many there are."""
+
+    def take(batch: DataFrame, number: int) -> None:
+        spark, start = batch.sparkSession, time.perf_counter()
+        keep(batch).write.mode("overwrite").parquet(f"{path}/rows/batch_id={number}")
+        seconds = time.perf_counter() - start
+        line = [(batch.count(), spark.read.parquet(f"{path}/rows/batch_id={number}").count(), seconds)]
+        told = spark.createDataFrame(line, "rows_read bigint, rows_kept bigint, seconds double")
+        told.coalesce(1).write.mode("overwrite").parquet(f"{path}/progress/batch_id={number}")
+
+    return each_batch(stream, take, checkpoint)
+
+
+def progress(spark: SparkSession, path: str) -> DataFrame:
+    """(batch_id, rows_read, rows_kept, rows_per_second) of all batches of `log_progress`."""
+    told = spark.read.parquet(f"{path}/progress")
+    return told.select(
+        F.col("batch_id").cast("bigint").alias("batch_id"), "rows_read", "rows_kept",
+        F.try_divide("rows_read", "seconds").alias("rows_per_second"),
     )
-    query.awaitTermination()
-    return query
 
 
 def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
@@ -62,16 +93,9 @@ def run_updates(stream: DataFrame, label: str, keys: Sequence[str]) -> DataFrame
     return latest(spark, path, keys)
 
 
-def progress(query: StreamingQuery, spark: SparkSession) -> DataFrame:
-    """(batch_id, rows_read, rows_per_second, rows_kept) of the latest batches; `rows_kept` is the
-    observed count of rows that passed the stream's filter."""
-    rows = []
-    for batch in query.recentProgress:
-        observed = batch.observedMetrics.get("kept")
-        rows.append(
-            (
-                batch.batchId, batch.numInputRows, float(batch.processedRowsPerSecond or 0.0),
-                observed["rows_kept"] if observed is not None else 0,
-            )
-        )
-    return spark.createDataFrame(rows, "batch_id bigint, rows_read bigint, rows_per_second double, rows_kept bigint")
+def run_parts(stream: DataFrame, make: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """Sum up every batch by `make` and merge the parts of all batches by `merge`."""
+    spark = stream.sparkSession
+    path = scratch_path(spark, label)
+    log_parts(stream, make, path, f"{path}-state")
+    return merge(spark.read.parquet(path).drop("batch_id"))

@@ -1,5 +1,7 @@
 """Question rules and answer texts on invented records."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,7 +43,7 @@ def ask(spark, *texts):
     ("what is the weather today?", "out_of_scope"),
     ("  Hello there", "greeting"), ("your stores", "greeting"), ("\tsupply", "greeting"),
     ("tell me about Store 7", "explain_transfer"), ("and m_123", "explain_manufacturing"),
-    ("and product 9", "explain_transfer"), ("t1234", "out_of_scope"), ("", "out_of_scope"),
+    ("and product 9", "explain_transfer"), ("t1234", "explain_transfer"), ("t12", "out_of_scope"), ("", "out_of_scope"),
 ])
 def test_intents(spark, text, intent):
     assert an.classify(ask(spark, text)).first()["intent"] == intent
@@ -101,13 +103,23 @@ Reasons: rebalance inventory
 | Stockout reduction | 0.0% |"""
 
 
+def shown(made):
+    """Each answer as the text its rows make when read in order."""
+    texts = {}
+    for r in made.rows.orderBy("place").collect():
+        texts.setdefault(r["answer_key"], []).append(r)
+    return {k: ("\n\n" if k.startswith("explain") else "\n").join(r["section"] for r in v) for k, v in texts.items()}, {
+        k: {r["as_is"] for r in v} for k, v in texts.items()
+    }
+
+
 def test_answers(spark, records):
     texts = ["why transfer", "transfer for store 3", "transfer t_001 and product 9", "transfer of store 99", "manufacture",
              "manufacture product 8", "scenario", "how many", "hello", "weather", "transfer for STORE_3 and product 9"]
     made = answer(ask(spark, *texts), *records)
-    by_key = {r["answer_key"]: r for r in made.texts.collect()}
+    by_key, as_is = shown(made)
     keys = [r["answer_key"] for r in made.questions.orderBy("turn").collect()]
-    got = [by_key[k]["text"] for k in keys]
+    got = [by_key[k] for k in keys]
     head = "**Scenario:** High  \n**Matching transfers:** {}\n\n"
     assert got[0] == got[2] == head.format(2) + FIRST + "\n\n" + SECOND
     assert got[1] == got[10] == head.format(1) + SECOND
@@ -121,24 +133,34 @@ def test_answers(spark, records):
     assert got[6].endswith("| Cost change | $-200 |\n| Stockout units reduced | 45 |\n| Stockout reduction | 90.0% |")
     assert got[7].endswith("- Total Transfer Recommendations: **2**\n- Total Manufacturing Decisions: **1**\n- Unique Products Affected: **2**")
     assert got[8].startswith("Hello. I am") and got[9].startswith("This query appears")
-    assert [by_key[k]["as_is"] for k in keys] == [False, False, False, True, False, True, False, True, False, False, False]
-    assert by_key["list_entities|"]["text"] == (
+    assert [as_is[k] for k in keys] == [{x} for x in (False, False, False, True, False, True, False, True, False, False, False)]
+    assert as_is["list_entities|"] == {True}
+    assert by_key["list_entities|"] == (
         "**Scenario:** High\n\n**Products involved/at risk**:\n- product_7\n- product_9\n\n**Stores involved**:\n- store_1\n- store_2\n- store_3")
     flags = [r["filter_applied"] for r in made.questions.orderBy("turn").collect()]
     assert flags == [False, True, True, True, False, True, False, False, False, False, True]
 
 
-def test_long_answers_stay_whole_as_sections(spark, records):
-    made = answer(ask(spark, "why transfer"), *records, most=1)
-    assert made.texts.where("answer_key = 'explain_transfer|'").first()["text"] is None
-    hits = made.transfer_hits.join(made.transfer_sections, "position").orderBy("position").collect()
-    assert [h["section"] for h in hits] == [FIRST, SECOND]
+def test_answers_have_no_longest_length(spark, records):
+    """A product with 1,500 transfers, asked for by itself, with a second id, and with everything else."""
+    transfers, manufacturing, scenario = records
+    many = spark.range(1500).select(
+        F.lit("High").alias("scenario"), F.col("id").alias("position"), F.format_string("T%03d", F.col("id") + 1).alias("transfer_id"),
+        F.format_string("store_%d", F.col("id") % 1200).alias("from_store"), F.lit("store_9999").alias("to_store"),
+        F.lit("product_7").alias("product_id"), F.col("id").alias("quantity"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in transfers.schema.fields[7:]])
+    made = answer(ask(spark, "transfers for product 7", "transfers for product 7 and store 3", "explain all transfers", "explain T1234"), many, manufacturing, scenario)
+    keys = [r["answer_key"] for r in made.questions.orderBy("turn").collect()]
+    found = {k: made.rows.where(F.col("answer_key") == k).orderBy("place").collect() for k in keys}
+    assert [len(found[k]) for k in keys] == [1501, 1501, 1501, 2]
+    assert [r["place"] for r in found[keys[0]]] == list(range(1501))
+    assert found[keys[0]][0]["section"].endswith("**Matching transfers:** 1500")
+    assert "**T1234 — product_7**" in found[keys[3]][1]["section"]
+    assert made.rows.where("answer_key = 'list_entities|'").count() == 2 + 1 + 1201
 
 
 def test_no_results(spark, records):
     transfers, manufacturing, scenario = records
-    made = answer(ask(spark, "why transfer"), transfers.limit(0), manufacturing.limit(0), scenario)
-    texts = {r["answer_key"]: r["text"] for r in made.texts.collect()}
+    texts, _ = shown(answer(ask(spark, "why transfer"), transfers.limit(0), manufacturing.limit(0), scenario))
     assert texts["explain_transfer|"].startswith("No transfers match")
     assert texts["list_entities|"].endswith("- None\n\n**Stores involved**:\n- None")
 
@@ -151,9 +173,23 @@ def test_required_fields(spark, records):
 
 def test_documents_round_trip(spark, records, tmp_path):
     rows = records[0].drop("scenario")
-    sinks.write_single_document(rows, str(tmp_path / "one"), "transfers", "High")
-    back = tables.read_transfers(spark, str(tmp_path / "one")).orderBy("position").collect()
+    sinks.write_document(rows, str(tmp_path / "one"), "transfers", "High")
+    whole = "".join(p.read_text() for p in sorted((tmp_path / "one").glob("part-*")))
+    parsed = json.loads(whole)
+    assert (parsed["scenario"], [t["transfer_id"] for t in parsed["transfers"]]) == ("High", ["T001", "T002"])
+    back = tables.read_document(spark, str(tmp_path / "one"), schemas.TRANSFER_RECORD).orderBy("transfer_id").collect()
     assert [(r["scenario"], r["transfer_id"], r["quantity"]) for r in back] == [("High", "T001", 15), ("High", "T002", 4)]
     assert back[1]["cost_impact"] is None
-    with pytest.raises(ValueError, match="write_documents"):
-        sinks.write_single_document(rows, str(tmp_path / "two"), "transfers", "High", most=1)
+    (tmp_path / "file.json").write_text(whole)
+    again = tables.read_transfers(spark, str(tmp_path / "file.json")).orderBy("position").collect()
+    assert [(r["position"], r["transfer_id"]) for r in again] == [(0, "T001"), (1, "T002")]
+    sinks.write_document(rows.limit(0), str(tmp_path / "none"), "transfers", "High")
+    assert json.loads("".join(p.read_text() for p in sorted((tmp_path / "none").glob("part-*"))))["transfers"] == []
+    assert tables.read_document(spark, str(tmp_path / "none"), schemas.TRANSFER_RECORD).count() == 0
+
+
+def test_broken_records_are_kept_and_named(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"product_id": "p", "manufacture_quantity": 3, "reason_codes": []}\n{"product_id": \n[1]\n{"product_id": "q", "manufacture_quantity": "many"}\n')
+    good, bad = tables.read_records(spark, str(tmp_path / "r.json"), schemas.MANUFACTURING_RECORD)
+    assert [r["product_id"] for r in good.collect()] == ["p"]
+    assert sorted(r["record"] for r in bad.collect()) == ['[1]', '{"product_id": ', '{"product_id": "q", "manufacture_quantity": "many"}']

@@ -35,7 +35,7 @@ def test_bad_dates(spark, tmp_path):
 
 def test_lane_matrix_round_trip(spark, tmp_path):
     lanes = spark.createDataFrame([(3, 10, 2.5), (10, 3, 4.0)], "from_id int, to_id int, cost double")
-    sinks.write_lane_matrix(lanes, str(tmp_path / "m"), [3, 10])
+    sinks.write_lane_matrix(lanes, str(tmp_path / "m"))
     got = {(r[0], r[1]): r[2] for r in tables.read_lane_matrix(spark, str(tmp_path / "m")).collect()}
     assert got == {(3, 3): 0.0, (3, 10): 2.5, (10, 3): 4.0, (10, 10): 0.0}
 

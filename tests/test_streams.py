@@ -46,11 +46,10 @@ def test_running_totals_over_batches(spark, demand):
 
 def test_kept_stores_and_progress(spark, demand, tmp_path):
     top = spark.createDataFrame([(1,)], "store_id int")
-    kept = demand_streams.kept_stores(stream(spark, demand, SCHEMA), top)
-    query = runs.append_to(kept, str(tmp_path / "out"), str(tmp_path / "state"))
-    assert spark.read.parquet(str(tmp_path / "out")).agg(F.sum("sale_amount")).first()[0] == 7.0
-    reported = runs.progress(query, spark).agg(F.sum("rows_read"), F.sum("rows_kept")).first()
-    assert tuple(reported) == (6, 3)
+    out = str(tmp_path / "out")
+    runs.log_progress(stream(spark, demand, SCHEMA), lambda b: demand_streams.kept_stores(b, top), out, str(tmp_path / "state"))
+    assert spark.read.parquet(f"{out}/rows").agg(F.sum("sale_amount")).first()[0] == 7.0
+    assert sorted((r["batch_id"], r["rows_read"], r["rows_kept"]) for r in runs.progress(spark, out).collect()) == [(0, 2, 1), (1, 2, 2), (2, 2, 0)]
 
 
 def test_restart_does_not_repeat_rows(spark, demand, tmp_path):
@@ -62,18 +61,21 @@ def test_restart_does_not_repeat_rows(spark, demand, tmp_path):
     assert rows(spark.read.parquet(out).select("sale_amount")) == [(1.0,), (2.0,), (4.0,), (10.0,)]
 
 
-def test_daily_demand_equals_batch_and_bounds_lateness(spark, demand):
+def test_daily_demand_in_any_order(spark, demand):
     def run(label):
-        made = runs.run_updates(demand_streams.daily_demand(stream(spark, demand, SCHEMA)), label, ["store_id", "product_id", "date"])
+        made = runs.run_parts(stream(spark, demand, SCHEMA), demand_streams.daily_parts, demand_streams.merged_days, label)
         return {(r["store_id"], r["date"]): (r["demand"], r["is_holiday"]) for r in made.collect()}
 
     want = {(1, day(0)): (3.0, 1), (1, day(1)): (4.0, 0), (2, day(0)): (5.0, 1), (2, day(1)): (7.0, 0), (3, day(1)): (1.0, 0)}
     assert run("t3") == want
-    # Ten days on, day 0 is closed; a row for it that arrives afterwards is not counted.
-    land(spark, demand, [[(9, 1, day(10), 1.0, 0)]], SCHEMA)
-    land(spark, demand, [[(9, 1, day(10), 1.0, 0)]], SCHEMA)
-    land(spark, demand, [[(1, 1, day(0), 100.0, 0)]], SCHEMA)
-    assert run("t3-late") == {**want, (9, day(10)): (2.0, 0)}
+    # Ten days on, a row for day 0 still counts.
+    land(spark, demand, [[(9, 1, day(10), 1.0, 0)], [(9, 1, day(10), 1.0, 0)], [(1, 1, day(0), 100.0, 0)]], SCHEMA)
+    assert run("t3-late") == {**want, (1, day(0)): (103.0, 1), (9, day(10)): (2.0, 0)}
+
+
+def test_merging_parts_changes_nothing(spark, demand):
+    parts = demand_streams.daily_parts(spark.read.schema(SCHEMA).parquet(str(demand)).repartition(3))
+    assert rows(demand_streams.merged_days(parts)) == rows(demand_streams.merged_days(demand_streams.merged_days(parts)))
 
 
 def test_carried_intents_equal_batch(spark, tmp_path):
@@ -84,7 +86,15 @@ def test_carried_intents_equal_batch(spark, tmp_path):
         [(1, 4, "list everything"), (2, 4, "weather")],
     ]
     land(spark, tmp_path / "q", batches, schema)
-    got = runs.run_append(conversations.carried_intents(stream(spark, tmp_path / "q", schema)), "t4")
+    got = conversations.run_carried(stream(spark, tmp_path / "q", schema))
     batch = an.carry_over(an.classify(spark.read.schema(schema).parquet(str(tmp_path / "q"))))
     assert rows(got) == rows(batch.select("conv_id", "turn", "intent"))
     assert (1, 4, "impact_analysis") in rows(got) and (2, 1, "out_of_scope") in rows(got)
+
+
+def test_a_late_turn_corrects_the_ones_after_it(spark, tmp_path):
+    schema = "conv_id bigint, turn bigint, text string"
+    batches = [[(1, 5, "show all"), (1, 9, "everything")], [(1, 7, "why transfer")], [(1, 2, "what was the cost impact?"), (2, 1, "hello")]]
+    land(spark, tmp_path / "q", batches, schema)
+    got = conversations.run_carried(stream(spark, tmp_path / "q", schema))
+    assert rows(got) == [(1, 2, "impact_analysis"), (1, 5, "impact_analysis"), (1, 7, "explain_transfer"), (1, 9, "explain_transfer"), (2, 1, "greeting")]
