@@ -32,6 +32,11 @@ distances AS (SELECT a.city_id AS from_city, b.city_id AS to_city, {_km} AS dist
 directed AS (SELECT *, base_cost * (0.5::DOUBLE + 0.5::DOUBLE * distance / (SELECT max(distance) FROM distances)) AS cost FROM distances),
 lanes AS (SELECT x.from_city, x.to_city, x.distance, (x.cost + y.cost) / 2 AS cost
   FROM directed x JOIN directed y ON x.from_city = y.to_city AND x.to_city = y.from_city)"""
+# Pairs of cities that occur: where line items come from and go to.
+SEEN = """
+city_pairs AS (SELECT DISTINCT s_nationkey AS from_city, c_nationkey AS to_city FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+  JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE s_nationkey <> c_nationkey),
+seen AS (SELECT lanes.* FROM lanes JOIN city_pairs USING (from_city, to_city))"""
 TARGETS = """
 assembled AS (SELECT store_id, product_id, total_demand_7d, total_demand_7d / 7 AS avg_daily_demand,
   coalesce(demand_std, total_demand_7d / 7 * 0.5::DOUBLE) AS demand_std, coalesce(city_id, 0) AS city_id,
@@ -106,7 +111,7 @@ reasoned_made AS (SELECT x.*, {_codes([
   FROM (SELECT *, sum(qty) OVER (PARTITION BY store_id) AS store_total FROM production) x
   LEFT JOIN targets d USING (store_id, product_id))"""
 TO_REGIONS = with_views(LOGISTICS, REGIONS)
-TO_LANES = with_views(LOGISTICS, REGIONS, LANES)
+TO_LANES = with_views(LOGISTICS, REGIONS, LANES, SEEN)
 TO_TARGETS = with_views(DEMAND, SERIES_DAY, PARAMS, LOGISTICS, REGIONS, STORES, TARGETS)
 TO_PLAN = with_views(DEMAND, SERIES_DAY, PARAMS, LOGISTICS, REGIONS, STORES, TARGETS, PLAN)
 TO_COSTS = with_views(DEMAND, SERIES_DAY, PARAMS, LOGISTICS, REGIONS, STORES, TARGETS, PLAN, LANES, PRICED, REASONED)
@@ -130,8 +135,17 @@ def store_city(spark, folder):
     return dm.store_city(views.demand(spark, folder, "store_id", "city_id")).drop("n_cities")
 
 
+def seen_pairs(spark, folder):
+    """Pairs of cities that line items connect: the supplier's and the customer's."""
+    t = lambda name: views.table(spark, folder, name)
+    items = t("lineitem").select("l_suppkey", "l_orderkey").join(t("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    bought = t("orders").select("o_orderkey", "o_custkey").join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    both = items.join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
+    return both.select(F.col("s_nationkey").alias("from_city"), F.col("c_nationkey").alias("to_city")).distinct()
+
+
 def city_lanes(spark, folder):
-    return ln.city_lanes(regions(spark, folder))
+    return ln.city_lanes(seen_pairs(spark, folder), settle(regions(spark, folder)))
 
 
 def assembled(spark, folder, made=None, cities=None):
@@ -151,7 +165,7 @@ def targets(spark, folder):
 
 def run(spark, folder, capacity=5000.0):
     made, cities = settle(regions(spark, folder)), settle(store_city(spark, folder))
-    return allocate(assembled(spark, folder, made, cities), cities, settle(ln.city_lanes(made)), capacity)
+    return allocate(assembled(spark, folder, made, cities), cities, made, ln.longest_distance(made), capacity)
 
 
 def plan(spark, folder):
@@ -186,9 +200,10 @@ def store_supply(spark, folder):
     return rounded(joined.select("store_id", "city_id", "lead_time_days_mean", "shipping_costs_std", "n_records"))
 
 
-@query("j04_f01_city_distances", TO_LANES + f"SELECT from_city, to_city, {r('distance')} FROM distances")
+@query("j04_f01_city_distances", TO_LANES + f"SELECT from_city, to_city, {r('distance')} FROM seen")
 def city_distances(spark, folder):
-    return rounded(ln.city_distances(regions(spark, folder)).drop("base_cost"))
+    found = ln.city_distances(seen_pairs(spark, folder), settle(regions(spark, folder)))
+    return rounded(found.drop("base_cost", "back_cost"))
 
 
 @query("f01_shipment_distance", with_views(DEMAND, LOGISTICS, REGIONS) + f"""SELECT b.region_id,
@@ -206,58 +221,60 @@ def shipment_distance(spark, folder):
     return away.agg(F.round(F.sum(km) / 1000 + 3e-8, 4).alias("thousand_km"), F.count("*").alias("n_rows"))
 
 
-@query("f02_directed_lanes", TO_LANES + f"SELECT from_city, to_city, {r('distance')}, {r('cost')} FROM directed")
+@query("f02_directed_lanes", TO_LANES + f"SELECT from_city, to_city, {r('distance')}, {r('cost')} FROM directed JOIN city_pairs USING (from_city, to_city)")
 def directed_lanes(spark, folder):
-    return rounded(ln.directed_lanes(ln.city_distances(regions(spark, folder))))
+    made = settle(regions(spark, folder))
+    return rounded(ln.directed_lanes(ln.city_distances(seen_pairs(spark, folder), made), ln.longest_distance(made)))
 
 
-@query("j11_symmetric_lanes", TO_LANES + f"SELECT from_city, to_city, {r('distance')}, {r('cost')} FROM lanes")
+@query("j11_symmetric_lanes", TO_LANES + f"SELECT from_city, to_city, {r('distance')}, {r('cost')} FROM seen")
 def symmetric_lanes(spark, folder):
     return rounded(city_lanes(spark, folder))
 
 
 @query("a35_lane_summary", TO_LANES + " UNION ALL ".join(
     f"SELECT '{c}' AS measure, {r(f'min({c}) FILTER ({c} > 0)', 'lowest')}, {r(f'avg({c}) FILTER ({c} > 0)', 'mean_value')}, "
-    f"{r(f'max({c})', 'highest')} FROM lanes" for c in ("distance", "cost")))
+    f"{r(f'max({c})', 'highest')} FROM seen" for c in ("distance", "cost")))
 def lane_summary(spark, folder):
     made = city_lanes(spark, folder)
     rows = [ln.weighted_summary(made, c).select(F.lit(c).alias("measure"), "*") for c in ("distance", "cost")]
     return rounded(rows[0].unionByName(rows[1]))
 
 
-@query("j05_store_lane_blocks", with_views(DEMAND, LOGISTICS, REGIONS, STORES, LANES) + f"""
-    SELECT a.city_id AS from_city, b.city_id AS to_city, count(*) AS n_pairs,
-    {r('max(CASE WHEN a.city_id = b.city_id THEN 20.0::DOUBLE ELSE cost END)', 'cost')}
+BLOCKS = """
+pairs AS (SELECT a.city_id AS from_city, b.city_id AS to_city, CASE WHEN a.city_id = b.city_id THEN 20.0::DOUBLE ELSE cost END AS c
     FROM store_city a JOIN store_city b ON a.store_id <> b.store_id
-    LEFT JOIN lanes ON from_city = a.city_id AND to_city = b.city_id GROUP BY 1, 2""")
+    LEFT JOIN seen ON from_city = a.city_id AND to_city = b.city_id WHERE a.city_id = b.city_id OR cost IS NOT NULL)"""
+TO_BLOCKS = with_views(DEMAND, LOGISTICS, REGIONS, STORES, LANES, SEEN, BLOCKS)
+
+
+@query("j05_store_lane_blocks", TO_BLOCKS + f"SELECT from_city, to_city, count(*) AS n_pairs, {r('max(c)', 'cost')} FROM pairs GROUP BY 1, 2")
 def store_lane_blocks(spark, folder):
     return rounded(ln.store_lane_blocks(store_city(spark, folder), city_lanes(spark, folder)))
 
 
-@query("a35_store_lane_summary", with_views(DEMAND, LOGISTICS, REGIONS, STORES, LANES) + f""",
-    pairs AS (SELECT CASE WHEN a.city_id = b.city_id THEN 20.0::DOUBLE ELSE cost END AS c
-    FROM store_city a JOIN store_city b ON a.store_id <> b.store_id
-    LEFT JOIN lanes ON from_city = a.city_id AND to_city = b.city_id)
-    SELECT {r('min(c)', 'lowest')}, {r('avg(c)', 'mean_value')}, {r('max(c)', 'highest')} FROM pairs""")
+@query("a35_store_lane_summary", TO_BLOCKS + f"SELECT {r('min(c)', 'lowest')}, {r('avg(c)', 'mean_value')}, {r('max(c)', 'highest')} FROM pairs")
 def store_lane_summary(spark, folder):
     blocks = ln.store_lane_blocks(store_city(spark, folder), city_lanes(spark, folder))
     return rounded(ln.weighted_summary(blocks, "cost", F.col("n_pairs")))
 
 
 @query("j06_order_lane_costs", with_views(DEMAND, LOGISTICS, REGIONS, STORES, LANES) + f""",
-    pairs AS (SELECT l_suppkey AS from_store, l_partkey % 100 AS to_store, count(*) AS n_rows FROM lineitem GROUP BY 1, 2),
+    pairs AS (SELECT l_suppkey AS from_store, 1 + l_partkey % (SELECT count(*) FROM supplier) AS to_store, count(*) AS n_rows FROM lineitem GROUP BY 1, 2),
     c AS (SELECT pairs.*, CASE WHEN from_store = to_store THEN 0.0::DOUBLE WHEN f.city_id = t.city_id THEN 20.0::DOUBLE ELSE cost END AS lane_cost
     FROM pairs LEFT JOIN store_city f ON from_store = f.store_id LEFT JOIN store_city t ON to_store = t.store_id
     LEFT JOIN lanes ON from_city = f.city_id AND to_city = t.city_id)
     SELECT from_store, to_store, n_rows, {r('lane_cost')},
     {r('CASE WHEN from_store = to_store THEN 0.0::DOUBLE ELSE coalesce(lane_cost * 0.1::DOUBLE, 5.0::DOUBLE) END', 'unit_cost')} FROM c""")
 def order_lane_costs(spark, folder):
-    """Lane costs of store pairs that occur in the line items (part number modulo 100 as the other store)."""
+    """Lane costs of store pairs that occur in the line items (the part number, over all stores, as the other store)."""
     rows = views.table(spark, folder, "lineitem")
-    pairs = rows.groupBy(F.col("l_suppkey").alias("from_store"), (F.col("l_partkey") % 100).alias("to_store")).agg(
-        F.count("*").alias("n_rows")
-    )
-    costs = ln.store_lane_costs(pairs, store_city(spark, folder), city_lanes(spark, folder))
+    n = views.table(spark, folder, "supplier").agg(F.count("*").alias("_n"))
+    other = (1 + F.col("l_partkey") % F.col("_n")).alias("to_store")
+    pairs = settle(rows.join(F.broadcast(n)).groupBy(F.col("l_suppkey").alias("from_store"), other).agg(F.count("*").alias("n_rows")))
+    stores = settle(store_city(spark, folder))
+    lanes = ln.city_lanes(ln.city_pairs(pairs, stores), settle(regions(spark, folder)))
+    costs = ln.store_lane_costs(pairs, stores, lanes)
     return rounded(costs.select("from_store", "to_store", "n_rows", "lane_cost", "unit_cost"))
 
 
@@ -270,12 +287,21 @@ def zip_cities(spark, folder):
     return ln.zip_cities(made.select("city_id"), clusters).select("city_id", "geo_cluster")
 
 
-@query("m01_fitted_regions")
+@query("m01_fitted_regions", TO_REGIONS + """SELECT count(*) AS n_regions, CAST(sum(n_records) AS BIGINT) AS n_records, true AS fits FROM regions""")
 def fitted_regions(spark, folder):
-    rows = views.logistics(spark, folder, "vehicle_gps_latitude", "vehicle_gps_longitude", *ln.MEAN_AND_STD, *ln.MEAN_ONLY)
-    model = ln.fit_regions(rows, 18)
-    made = ln.region_params(ln.assign_regions(rows, model))
-    return made.join(ln.centroids(model, rows), "geo_cluster")
+    """As many clusters as there are cities. SQL states their number and that they hold every record; `fits`: the
+    points lie closer to their centres than to the one centre of all."""
+    rows = views.logistics(
+        spark, folder, "region_id", "vehicle_gps_latitude", "vehicle_gps_longitude", *ln.MEAN_AND_STD, *ln.MEAN_ONLY
+    ).where("region_id IS NOT NULL")
+    k = rows.agg(F.count_distinct("region_id")).first()[0]
+    model = ln.fit_regions(rows, k)
+    made = ln.region_params(ln.assign_regions(rows, model)).join(ln.centroids(model, rows), "geo_cluster")
+    at = rows.select("vehicle_gps_latitude", "vehicle_gps_longitude")
+    spread = at.agg((F.var_pop("vehicle_gps_latitude") + F.var_pop("vehicle_gps_longitude")) * F.count("*")).first()[0]
+    return made.agg(
+        F.count("*").alias("n_regions"), F.sum("n_records").alias("n_records"), F.lit(model.summary.trainingCost < spread).alias("fits")
+    )
 
 
 # ---- Targets and allocation ----
@@ -332,7 +358,12 @@ def stock_totals(spark, folder):
     return plan(spark, folder).agg(*[F.sum(c).cast("double").alias(c) for c in names])
 
 
-@query("l08_audit", TO_PLAN + """SELECT rule, count(*) AS n_rows FROM (
+@query("l08_audit", TO_PLAN + """, flows AS (SELECT store_id, product_id, sum(o) AS o, sum(i) AS i FROM (
+      SELECT from_store AS store_id, product_id, qty AS o, 0 AS i FROM moves UNION ALL SELECT to_store, product_id, 0, qty FROM moves) GROUP BY 1, 2),
+    state AS (SELECT plan.*, coalesce(o, 0) AS o, coalesce(i, 0) AS i FROM plan LEFT JOIN flows USING (store_id, product_id))
+    SELECT rule, count(*) AS n_rows FROM (
+    SELECT 'balance' AS rule FROM state WHERE final <> current + made + i - o
+    UNION ALL SELECT 'negative' FROM state WHERE made < 0 OR o < 0 OR i < 0 UNION ALL 
     SELECT 'capacity' AS rule FROM plan GROUP BY store_id HAVING sum(made) > 400
     UNION ALL SELECT 'target' FROM plan WHERE final < target
     UNION ALL SELECT 'transfer_limit' FROM plan WHERE sent > current) GROUP BY 1""")
@@ -400,12 +431,19 @@ def cost_summary(spark, folder):
     return costs.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
-@query("l13_cost_and_bound")
+@query("l13_cost_and_bound", TO_COSTS.rstrip() + "," + COSTS + """,
+    cheapest AS (SELECT least(2.0::DOUBLE, 5.0::DOUBLE, min(shipping_costs_mean) / 2 * 0.1::DOUBLE) AS lane FROM regions),
+    per_product AS (SELECT product_id, CAST(sum(current) AS DOUBLE) AS stock, CAST(sum(surplus) AS DOUBLE) AS s, CAST(sum(deficit) AS DOUBLE) AS d,
+      min(mfg_unit_cost) + 1 AS keep FROM plan JOIN (SELECT store_id, product_id, mfg_unit_cost FROM targets) USING (store_id, product_id) GROUP BY 1),
+    bound AS (SELECT sum(stock + keep * greatest(d - s, 0) + least(lane, keep) * (d - greatest(d - s, 0))) AS lower_bound FROM per_product, cheapest)
+    SELECT round(total_cost, 2) AS total_cost, round(lower_bound, 2) AS lower_bound,
+    round(100 * (total_cost - lower_bound) / total_cost, 6) AS gap_pct FROM costs, bound""")
 def cost_and_bound(spark, folder):
     """Cost of the plan next to the cost no plan can undercut."""
     made = run(spark, folder)
     both = made.costs().select("total_cost").join(F.broadcast(made.lower_bound()))
-    return both.withColumn("gap_pct", 100 * (F.col("total_cost") - F.col("lower_bound")) / F.col("total_cost"))
+    gap = F.round(100 * (F.col("total_cost") - F.col("lower_bound")) / F.col("total_cost"), 6)
+    return both.select(F.round("total_cost", 2).alias("total_cost"), F.round("lower_bound", 2).alias("lower_bound"), gap.alias("gap_pct"))
 
 
 @query("l14_scenario_delta", TO_COSTS.rstrip() + "," + COSTS + """, state AS (SELECT

@@ -356,13 +356,14 @@ def cost_summary(transfers: DataFrame, made: DataFrame, plan: DataFrame, holding
     )
 
 
-def lower_bound(plan: DataFrame, targets: DataFrame, lanes: DataFrame, holding: float = inv.HOLDING_COST) -> DataFrame:
+def lower_bound(plan: DataFrame, targets: DataFrame, cities: DataFrame, holding: float = inv.HOLDING_COST) -> DataFrame:
     """One row: a cost no valid plan can undercut.
 
     Per product, what total surplus cannot cover has to be made at the cheapest store, and every other
-    missing unit is at best moved over the cheapest lane or made there.
+    missing unit is at best moved over the cheapest lane there could be (half the lowest shipping cost) or
+    made there.
     """
-    cheapest = lanes.agg(F.min("cost").alias("_lane"))
+    cheapest = cities.agg((F.min("shipping_costs_mean") / 2).alias("_lane"))
     lane = F.least(
         F.lit(LOCAL_LANE_COST * TRANSPORT_SCALE), F.lit(MISSING_UNIT_LANE_COST), F.col("_lane") * TRANSPORT_SCALE
     )

@@ -2,27 +2,38 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockloom.functions.geo import LOCAL_LANE_COST, great_circle_km, lane_cost, unit_lane_cost
+from stockloom.functions.geo import EARTH_RADIUS_KM, LOCAL_LANE_COST, great_circle_km, lane_cost, unit_lane_cost
+from stockloom.session import settle
 
 MEAN_AND_STD = ["shipping_costs", "lead_time_days", "delay_probability", "delivery_time_deviation"]
 MEAN_ONLY = [
     "route_risk_level", "disruption_likelihood_score", "supplier_reliability_score",
     "traffic_congestion_level", "weather_condition_severity", "warehouse_inventory_level",
 ]
-# A table of all city pairs is only built for this many cities; costs of single pairs need no such table.
-MOST_CITIES = 2000
+# Points whose distances are compared in one piece when the longest is looked for.
+AT_ONCE = 4000
 
 
 def fit_regions(logistics: DataFrame, k: int, seed: int = 42, starts: int = 10) -> KMeansModel:
-    """K-means on the raw coordinates: the best of several starts by total squared distance."""
-    points = _points(logistics).cache()
+    """K-means on the raw coordinates: the best of several starts by total squared distance.
+
+    Equal points are counted first and weigh by their number, so what is kept for the repeated passes is
+    three columns of the different points and not the rows.
+    """
+    at = ["vehicle_gps_latitude", "vehicle_gps_longitude"]
+    counted = logistics.select(*at).dropna().groupBy(*at).agg(F.count("*").cast("double").alias("_times"))
+    points = _points(counted).select("_point", "_times").persist()
     try:
-        fits = [KMeans(k=k, seed=seed + i, featuresCol="_point", predictionCol="geo_cluster").fit(points) for i in range(starts)]
+        fits = [
+            KMeans(k=k, seed=seed + i, featuresCol="_point", predictionCol="geo_cluster", weightCol="_times").fit(points)
+            for i in range(starts)
+        ]
         return min(fits, key=lambda m: m.summary.trainingCost)
     finally:
         points.unpersist()
@@ -70,44 +81,89 @@ def store_supply(store_city: DataFrame, city_params: DataFrame) -> DataFrame:
     return store_city.select("store_id", "city_id").join(city_params, "city_id", "left")
 
 
-def city_distances(cities: DataFrame, most: int = MOST_CITIES) -> DataFrame:
-    """Great-circle distance of all ordered pairs of different cities.
+def _km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+    """Great-circle distance of all pairs of two lists of points, in rows and columns."""
+    a, b = np.radians(lat1)[:, None], np.radians(lat2)[None, :]
+    north = np.sin((b - a) / 2) ** 2
+    east = np.sin((np.radians(lon2)[None, :] - np.radians(lon1)[:, None]) / 2) ** 2
+    return 2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(1.0, north + np.cos(a) * np.cos(b) * east)))
+
+
+def longest_distance(cities: DataFrame, at_once: int = AT_ONCE) -> float:
+    """The greatest distance of any two cities, without forming all pairs.
 
-    The pairs are the result itself, so the number of cities is checked first.
+    The map is cut into cells. Two cells cannot hold the farthest pair if their centres and radii keep all
+    their cities closer than some pair already known. What is left is cut finer until few cities remain;
+    the driver sees one row per cell that is left, and at most `at_once` cities in the end.
     """
-    n = cities.limit(most + 1).count()
-    if n > most:
-        raise ValueError(f"more than {most} cities: price the pairs you need with store_lane_costs instead")
-    here = cities.select(
-        F.col("city_id").alias("from_city"), F.col("centroid_lat").alias("_lat1"), F.col("centroid_lon").alias("_lon1"),
-        F.col("shipping_costs_mean").alias("base_cost"),
-    )
-    there = cities.select(
-        F.col("city_id").alias("to_city"), F.col("centroid_lat").alias("_lat2"), F.col("centroid_lon").alias("_lon2")
-    )
+    points = settle(cities.select(F.col("centroid_lat").alias("lat"), F.col("centroid_lon").alias("lon")).dropna().distinct())
+    size = 8.0
+    while True:
+        few = points.limit(at_once + 1).collect()
+        if len(few) <= at_once or size < 1e-6:
+            lat, lon = np.array([r["lat"] for r in few], float), np.array([r["lon"] for r in few], float)
+            rows = [_km(lat[i : i + 500], lon[i : i + 500], lat, lon).max(initial=0.0) for i in range(0, len(few), 500)]
+            return float(max(rows, default=0.0))
+        cell = [F.floor(F.col(c) / size).alias(f"_{c}") for c in ("lat", "lon")]
+        ends = [f(c).alias(f"{n}_{c}") for c in ("lat", "lon") for f, n in ((F.min, "low"), (F.max, "high"))]
+        cells = points.groupBy(*cell).agg(*ends, F.min(F.struct("lat", "lon")).alias("one")).collect()
+        get = lambda name: np.array([r[name] for r in cells], float)
+        low_lat, high_lat, low_lon, high_lon = (get(n) for n in ("low_lat", "high_lat", "low_lon", "high_lon"))
+        lat, lon = (low_lat + high_lat) / 2, (low_lon + high_lon) / 2
+        # The farthest corner of a box from its centre; on a sphere the edges in between are no farther.
+        radius = np.max([np.diag(_km(lat, lon, y, x)) for y in (low_lat, high_lat) for x in (low_lon, high_lon)], axis=0)
+        one_lat, one_lon = np.array([r["one"]["lat"] for r in cells], float), np.array([r["one"]["lon"] for r in cells], float)
+        known = max(_km(one_lat[i : i + 500], one_lon[i : i + 500], one_lat, one_lon).max() for i in range(0, len(cells), 500))
+        far = np.zeros(len(cells), bool)
+        for i in range(0, len(cells), 500):
+            reach = _km(lat[i : i + 500], lon[i : i + 500], lat, lon) + radius[i : i + 500, None] + radius[None, :] + 1e-6
+            far[i : i + 500] |= (reach >= known).any(axis=1)
+        kept = [(int(np.floor(y / size)), int(np.floor(x / size))) for y, x, f in zip(low_lat, low_lon, far) if f]
+        chosen = points.sparkSession.createDataFrame(kept, "_lat long, _lon long")
+        named = points.select("*", *cell)
+        points = settle(named.join(F.broadcast(chosen), ["_lat", "_lon"], "left_semi").select("lat", "lon"))
+        size /= 4
+
+
+def city_distances(pairs: DataFrame, cities: DataFrame) -> DataFrame:
+    """(from_city, to_city, distance, base_cost, back_cost) of the given pairs of cities, by two lookups.
+
+    Only pairs that are asked for are priced, so the number of rows is theirs and not the square of the
+    cities. Pairs of a city with itself, and of cities without coordinates, are left out.
+    """
+    end = [("1", "from_city", "base_cost"), ("2", "to_city", "back_cost")]
+    known = pairs.select("from_city", "to_city").where("from_city <> to_city").distinct()
+    for n, name, cost in end:
+        side = cities.select(
+            F.col("city_id").alias(name), F.col("centroid_lat").alias(f"_lat{n}"), F.col("centroid_lon").alias(f"_lon{n}"),
+            F.col("shipping_costs_mean").alias(cost),
+        )
+        known = known.join(side, name)
     distance = great_circle_km(F.col("_lat1"), F.col("_lon1"), F.col("_lat2"), F.col("_lon2"))
-    pairs = here.join(F.broadcast(there), F.col("from_city") != F.col("to_city"))
-    return pairs.select("from_city", "to_city", distance.alias("distance"), "base_cost")
+    return known.select("from_city", "to_city", distance.alias("distance"), "base_cost", "back_cost")
 
 
-def directed_lanes(distances: DataFrame) -> DataFrame:
+def directed_lanes(distances: DataFrame, longest: float) -> DataFrame:
     """Cost of each direction: origin's mean shipping cost scaled by the relative distance."""
-    longest = distances.agg(F.max("distance").alias("_longest"))
-    priced = distances.join(F.broadcast(longest))
-    return priced.select(
-        "from_city", "to_city", "distance", lane_cost(F.col("base_cost"), F.col("distance"), F.col("_longest")).alias("cost")
-    )
+    cost = lane_cost(F.col("base_cost"), F.col("distance"), F.lit(longest))
+    return distances.select("from_city", "to_city", "distance", cost.alias("cost"))
 
 
-def symmetric_lanes(directed: DataFrame) -> DataFrame:
-    """The mean of both directions, kept for both."""
-    back = directed.select(F.col("from_city").alias("to_city"), F.col("to_city").alias("from_city"), F.col("cost").alias("_back"))
-    both = directed.join(back, ["from_city", "to_city"])
-    return both.select("from_city", "to_city", "distance", ((F.col("cost") + F.col("_back")) / 2).alias("cost"))
+def city_lanes(pairs: DataFrame, cities: DataFrame, longest: float | None = None) -> DataFrame:
+    """(from_city, to_city, distance, cost) of the given pairs: the mean cost of both directions."""
+    longest = longest_distance(cities) if longest is None else longest
+    base = (F.col("base_cost") + F.col("back_cost")) / 2
+    priced = city_distances(pairs, cities).withColumn("cost", lane_cost(base, F.col("distance"), F.lit(longest)))
+    return priced.select("from_city", "to_city", "distance", "cost")
 
 
-def city_lanes(cities: DataFrame, most: int = MOST_CITIES) -> DataFrame:
-    return symmetric_lanes(directed_lanes(city_distances(cities, most)))
+def city_pairs(pairs: DataFrame, store_city: DataFrame) -> DataFrame:
+    """The pairs of cities that occur among pairs of stores (from_store, to_store)."""
+    known = pairs.select("from_store", "to_store").distinct()
+    for end in ("from", "to"):
+        side = store_city.select(F.col("store_id").alias(f"{end}_store"), F.col("city_id").alias(f"{end}_city"))
+        known = known.join(side, f"{end}_store")
+    return known.select("from_city", "to_city").distinct()
 
 
 def store_lane_costs(
@@ -130,9 +186,10 @@ def store_lane_costs(
 
 
 def store_lane_blocks(store_city: DataFrame, lanes: DataFrame, local: float = LOCAL_LANE_COST) -> DataFrame:
-    """All ordered store pairs, one row per pair of cities: its cost and how many store pairs share it.
+    """Ordered store pairs of the given lanes and within cities, one row per pair of cities: its cost and how
+    many store pairs share it.
 
-    This holds what the dense store matrix holds, because a lane's cost depends on the cities only.
+    This holds what the dense store matrix holds for those cities, because a lane's cost depends on the cities only.
     """
     sizes = store_city.groupBy("city_id").agg(F.count("*").alias("n"))
     start = sizes.select(F.col("city_id").alias("from_city"), F.col("n").alias("_a"))

@@ -2,33 +2,44 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
 from stockloom.functions import inventory as inv
 from stockloom.operators import allocation as al
+from stockloom.operators import lanes as ln
 from stockloom.operators import results as rs
 from stockloom.operators.ordered import IDS_PER_CHUNK
 from stockloom.session import settle
 
 
-@dataclass(frozen=True)
+@dataclass
 class Allocation:
-    """The tables of one run. `targets` and `plan` are stored; the others are computed from them on use."""
+    """The tables of one run. `targets`, `plan` and the priced moves are stored, the last when first asked for;
+    the others are computed from them on use."""
 
     targets: DataFrame
     plan: DataFrame
     store_city: DataFrame
-    lanes: DataFrame
+    cities: DataFrame
+    longest_km: float
     capacity: float = inv.STORE_CAPACITY
+    _priced: DataFrame | None = field(default=None, repr=False)
 
     def moves(self) -> DataFrame:
         return al.moves(self.plan)
 
+    def priced(self) -> DataFrame:
+        """The moves above the smallest quantity with their costs. Only lanes that occur are priced."""
+        if self._priced is None:
+            kept = settle(self.moves())
+            lanes = ln.city_lanes(ln.city_pairs(kept, self.store_city), self.cities, self.longest_km)
+            self._priced = settle(al.priced_transfers(kept, self.store_city, lanes))
+        return self._priced
+
     def transfers(self) -> DataFrame:
-        priced = al.priced_transfers(self.moves(), self.store_city, self.lanes)
-        return al.transfer_reasons(priced, self.targets)
+        return al.transfer_reasons(self.priced(), self.targets)
 
     def production(self) -> DataFrame:
         return al.production_reasons(al.production(self.plan, self.targets), self.targets, self.capacity)
@@ -40,11 +51,10 @@ class Allocation:
         return al.audit(self.plan, self.moves(), self.capacity)
 
     def costs(self) -> DataFrame:
-        priced = al.priced_transfers(self.moves(), self.store_city, self.lanes)
-        return al.cost_summary(priced, al.production(self.plan, self.targets), self.plan)
+        return al.cost_summary(self.priced(), al.production(self.plan, self.targets), self.plan)
 
     def lower_bound(self) -> DataFrame:
-        return al.lower_bound(self.plan, self.targets, self.lanes)
+        return al.lower_bound(self.plan, self.targets, self.cities)
 
     def transfer_records(self, scenario: str) -> DataFrame:
         return rs.transfer_records(self.transfers(), self.targets, scenario)
@@ -62,16 +72,17 @@ class Allocation:
 def allocate(
     assembled: DataFrame,
     store_city: DataFrame,
-    lanes: DataFrame,
+    cities: DataFrame,
+    longest_km: float,
     capacity: float = inv.STORE_CAPACITY,
     width: int = IDS_PER_CHUNK,
 ) -> Allocation:
     """Set targets and plan the flows.
 
     The targets (one row per store and product) are stored before planning: the plan, the reasons and
-    the costs all read them, and the demand history behind them is far larger. Store cities and lanes are
-    read by several results too, so pass stored tables.
+    the costs all read them, and the demand history behind them is far larger. Store cities and city parameters
+    are read by several results too, so pass stored tables.
     """
     targets = settle(al.with_target(assembled))
     plan = al.plan_flows(al.balances(targets, width))
-    return Allocation(targets, plan, store_city, lanes, capacity)
+    return Allocation(targets, plan, store_city, cities, longest_km, capacity)

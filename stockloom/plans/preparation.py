@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stockloom.operators import demand as dm
 from stockloom.operators import lanes as ln
@@ -19,12 +18,15 @@ class Prepared:
     series_params: DataFrame
     city_params: DataFrame
     store_params: DataFrame
-    city_lanes: DataFrame
-    lane_blocks: DataFrame
+    longest_km: float
+
+    def city_lanes(self, pairs: DataFrame) -> DataFrame:
+        """Lanes of the pairs of cities that are needed."""
+        return ln.city_lanes(pairs, self.city_params, self.longest_km)
 
 
 def prepare(demand: DataFrame, logistics: DataFrame, seed: int = 42, starts: int = 10) -> Prepared:
-    """Daily demand and its parameters, regions matched to cities from west to east, and lanes.
+    """Daily demand and its parameters, regions matched to cities from west to east.
 
     The number of regions is the number of cities, so every city gets one. The store and city tables are
     stored: they are small, read by all that follows, and costly to derive.
@@ -35,20 +37,17 @@ def prepare(demand: DataFrame, logistics: DataFrame, seed: int = 42, starts: int
     model = ln.fit_regions(logistics, cities.count(), seed, starts)
     regions = ln.region_params(ln.assign_regions(logistics, model)).join(ln.centroids(model, logistics), "geo_cluster")
     city_params = settle(ln.zip_cities(cities, regions))
-    lanes = ln.city_lanes(city_params)
     return Prepared(
         series_day=daily,
         series_params=dm.with_inventory(dm.series_params(daily)),
         city_params=city_params,
         store_params=ln.store_supply(stores, city_params),
-        city_lanes=lanes,
-        lane_blocks=ln.store_lane_blocks(stores, lanes),
+        longest_km=ln.longest_distance(city_params),
     )
 
 
 def save(prepared: Prepared, folder: str) -> None:
     """Write the prepared tables: the large daily table as date-partitioned parquet, the others as CSV."""
-    spread = F.pmod(F.xxhash64("store_id", "product_id"), F.lit(16))  # several tasks write one date
-    prepared.series_day.repartition("date", spread).write.mode("overwrite").partitionBy("date").parquet(f"{folder}/series_day")
-    for name in ("series_params", "city_params", "store_params", "city_lanes", "lane_blocks"):
+    prepared.series_day.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(f"{folder}/series_day")
+    for name in ("series_params", "city_params", "store_params"):
         sinks.write_table(getattr(prepared, name), f"{folder}/{name}")

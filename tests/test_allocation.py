@@ -3,11 +3,13 @@
 import random
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from stockloom.functions import inventory as inv
 from stockloom.operators import allocation as al
+from stockloom.operators.lanes import _km, city_lanes, longest_distance
 from stockloom.operators import results as rs
 from stockloom.plans.allocation import allocate
 
@@ -156,12 +158,41 @@ def test_lane_costs_and_defaults(spark):
     assert weighted_summary(blocks, "cost", F.col("n_pairs")).first()[:] == (20.0, (2 * 20 + 4 * 300) / 6, 300.0)
 
 
+@pytest.mark.parametrize("n, at_once", [(3, 4000), (2000, 50), (10_000, 300)])
+def test_longest_distance_without_all_pairs(spark, n, at_once):
+    pick = np.random.default_rng(n)
+    lat, lon = pick.normal(40, 5, n), pick.normal(-100, 15, n)
+    cities = spark.createDataFrame(list(zip(lat.tolist(), lon.tolist())), "centroid_lat double, centroid_lon double")
+    want = max(_km(lat[i : i + 500], lon[i : i + 500], lat, lon).max() for i in range(0, n, 500))
+    assert longest_distance(cities, at_once) == pytest.approx(want, abs=1e-6)
+
+
+def test_longest_distance_of_one_city_and_none(spark):
+    one = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0), (None, 1.0)], "centroid_lat double, centroid_lon double")
+    assert longest_distance(one) == 0.0 == longest_distance(one.limit(0))
+
+
+def test_only_pairs_that_occur_are_priced(spark, capsys):
+    n = 10_000
+    cities = spark.range(n).select(
+        F.col("id").cast("int").alias("city_id"), (20 + F.col("id") % 400 / 10).alias("centroid_lat"), (-120 + F.col("id") / 200).alias("centroid_lon"),
+        (400 + F.col("id") % 50).cast("double").alias("shipping_costs_mean"))
+    pairs = spark.createDataFrame([(1, 2), (2, 1), (5, 9999), (7, 7), (3, 123456)], "from_city int, to_city int")
+    lanes = city_lanes(pairs, cities, 5000.0)
+    rows = {(r["from_city"], r["to_city"]): r["cost"] for r in lanes.collect()}
+    assert set(rows) == {(1, 2), (2, 1), (5, 9999)} and rows[1, 2] == pytest.approx(rows[2, 1])
+    lanes.explain()
+    plan = capsys.readouterr().out
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_run_totals_records_and_bound(spark):
-    lanes, cities = lanes_and_cities(spark)
+    _, cities = lanes_and_cities(spark)
     rows = [(1, 1, 1, 10.0, 4.0), (2, 1, 1, 0.0, 2.0), (3, 1, 2, 0.0, 8.0), (3, 2, 2, 1.0, 3.0)]
     assembled = targets(spark, rows).drop("safety_stock", "target_inventory", "mfg_unit_cost").withColumns({
         "lead_time_days_mean": F.lit(4.0), "shipping_costs_mean": F.lit(400.0)})
-    run = allocate(assembled, cities, lanes, width=2)
+    places = spark.createDataFrame([(1, 40.0, -100.0, 400.0), (2, 42.0, -90.0, 500.0)], "city_id int, centroid_lat double, centroid_lon double, shipping_costs_mean double")
+    run = allocate(assembled, cities, places, longest_distance(places), width=2)
     assert run.audit().count() == 0
     costs, bound = run.costs().first(), run.lower_bound().first()[0]
     assert costs["total_cost"] == pytest.approx(costs["manufacturing_cost"] + costs["transfer_cost"] + costs["holding_cost"])

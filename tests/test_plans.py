@@ -26,12 +26,14 @@ def test_from_raw_tables_to_answers(spark, tmp_path):
     assert cities.count() == n and cities.agg(F.sum("n_records")).first()[0] == logistics.count()
     west_to_east = [r["centroid_lon"] for r in cities.orderBy("city_id").collect()]
     assert west_to_east == sorted(west_to_east)
-    assert ready.city_lanes.count() == n * (n - 1)
+    pairs = cities.select(F.col("city_id").alias("from_city")).join(cities.select(F.col("city_id").alias("to_city")), F.lit(True))
+    assert ready.city_lanes(pairs).count() == n * (n - 1)
+    assert ready.city_lanes(pairs).agg(F.max("distance")).first()[0] == pytest.approx(ready.longest_km)
 
     wide = settle(to_wide(forecast_demand(demand, products=2, trees=3, depth=4).long))
     assert wide.count() == 20
     stores = settle(ready.store_params)
-    run = allocate(assemble(wide, ready.series_params, stores), stores.select("store_id", "city_id"), settle(ready.city_lanes), width=4)
+    run = allocate(assemble(wide, ready.series_params, stores), stores.select("store_id", "city_id"), cities, ready.longest_km, width=4)
     assert run.audit().count() == 0
     assert run.final_inventory().where("final < target - 0.01").count() == 0
     costs = run.costs().first()["total_cost"]
@@ -40,8 +42,8 @@ def test_from_raw_tables_to_answers(spark, tmp_path):
     questions = spark.createDataFrame([(1, 1, "why transfer"), (1, 2, "show all")], "conv_id bigint, turn bigint, text string")
     made = answer(questions, settle(run.transfer_records("week")), settle(run.manufacturing_records("week")), settle(run.scenario_record("week")))
     assert {r["intent"] for r in made.questions.collect()} == {"explain_transfer"}
-    assert made.texts.where("answer_key = 'scenario|'").count() == 1
+    assert made.rows.where("answer_key = 'scenario|'").count() == 1
 
     save(ready, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out" / "series_day")).count() == ready.series_day.count()
-    assert spark.read.option("header", True).csv(str(tmp_path / "out" / "city_lanes")).count() == n * (n - 1)
+    assert spark.read.option("header", True).csv(str(tmp_path / "out" / "city_params")).count() == n
