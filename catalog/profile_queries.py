@@ -574,7 +574,14 @@ def sorted_ids(spark, folder):
     return views.demand(spark, folder, "city_id").distinct().orderBy("city_id")
 
 
-@query("a07_describe_sketch")
+@query("a07_describe_sketch", D + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS "count", {r(f'avg({c})', 'mean')}, {r(f'min({c})', '"min"')}, {r(f'max({c})', '"max"')},
+    true AS close FROM demand""" for c in ("sale_amount", "discount")))
 def describe_sketch(spark, folder):
-    columns = ["sale_amount", "discount"]
-    return quantiles.describe(views.demand(spark, folder, *columns), columns, approximate=True)
+    """The one-pass summary; `close`: its quartiles lie between the exact quantiles one percent to either side."""
+    columns, sides = ["sale_amount", "discount"], [p + s for p in quantiles.QUARTILES for s in (-0.01, 0.01)]
+    rows = views.demand(spark, folder, *columns)
+    exact = quantiles.column_quantiles(rows, columns, sides)
+    both = quantiles.describe(rows, columns, approximate=True).join(exact, "column")
+    close = [F.col(q).between(F.col("quantiles")[2 * i], F.col("quantiles")[2 * i + 1]) for i, q in enumerate(("q25", "q50", "q75"))]
+    return rounded(both.select("column", "count", "mean", "min", "max", (close[0] & close[1] & close[2]).alias("close")))

@@ -1,63 +1,124 @@
-"""Exact interpolated quantiles, and the column summaries and fences built on them."""
+"""Exact interpolated quantiles, and the column summaries and fences built on them.
+
+Two passes, and no shuffle of the values. The first takes count, mean, deviation, minimum, maximum and, per
+wanted quantile, a narrow band from a sketch whose error in rank is known. The second counts the values below
+each band and gathers those inside it, a share of some thousandths of the rows; equal values are counted
+before they are shuffled. The ranks inside the band then give the exact values. Where a group has few values
+the band is the whole group.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.operators.ordered import ordered_chunks, running_total
 from stockloom.session import settle
 
-# The built-in `percentile` holds every distinct value of its input in the memory of a task. It is used
-# up to this many distinct values, over all groups together; beyond that the values are sorted across tasks.
-IN_MEMORY_VALUES = 200_000
 QUARTILES = (0.25, 0.5, 0.75)
+#: The sketch is off by at most one in so many ranks; bands reach two such steps to either side.
+ACCURACY = 2_000
 
 
-def distinct_value_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by…, column, value, n): how often each value occurs in each column; nulls are left out.
+def _value(column: str) -> Column:
+    """The column as a double, NaN as null."""
+    return F.nanvl(F.col(column).cast("double"), F.lit(None))
 
-    Map-side combining shrinks hot values and groups before the shuffle. Kept as a checkpoint, since
-    its size decides how quantiles are found and several summaries read it.
-    """
-    by = list(by)
-    kept = df.select(*by, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+
+def _narrowed(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The groups, and the columns as `v0`, `v1`, …; rows without a group are left out."""
+    kept = df.select(*by, *[_value(c).alias(f"v{i}") for i, c in enumerate(columns)])
     for key in by:
         kept = kept.where(F.col(key).isNotNull())
-    long = kept.unpivot(by, list(columns), "column", "value").where("value IS NOT NULL")
-    return settle(long.groupBy(*by, "column", "value").agg(F.count("*").alias("n")))
-
-
-def quantiles_of_counts(
-    counts: DataFrame, probabilities: Sequence[float], by: Sequence[str] = (), in_memory: int = IN_MEMORY_VALUES
+    return kept
+
+
+def _first_pass(rows: DataFrame, n: int, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """One row per group with a struct `s0`, `s1`, … per column: count, mean, std, min, max and the `low` and
+    `high` ends of the band of each quantile."""
+    step = 2.0 / ACCURACY
+    points = [min(1.0, max(0.0, p + side * step)) for p in probabilities for side in (-1, 1)]
+    sums = []
+    for i in range(n):
+        v = f"v{i}"
+        sums += [
+            F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"), F.min(v).alias(f"min{i}"),
+            F.max(v).alias(f"max{i}"),
+            F.percentile_approx(v, points, ACCURACY).alias(f"sketch{i}") if points else F.lit(None).alias(f"sketch{i}"),
+        ]
+    found = rows.groupBy(*by).agg(*sums)
+
+    def ends(i: int, side: int, whole: str) -> Column:
+        few = F.col(f"n{i}") <= 4 * ACCURACY
+        each = [F.when(few, F.col(f"{whole}{i}")).otherwise(F.col(f"sketch{i}")[2 * j + side]) for j in range(len(probabilities))]
+        return F.array(*each).cast("array<double>")
+
+    return found.select(*by, *[
+        F.struct(
+            F.col(f"n{i}").alias("count"), F.col(f"mean{i}").alias("mean"), F.col(f"std{i}").alias("std"),
+            F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max"), ends(i, 0, "min").alias("low"), ends(i, 1, "max").alias("high"),
+        ).alias(f"s{i}")
+        for i in range(n)
+    ])
+
+
+def _met(rows: DataFrame, groups: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Each row with what is known of its group; without groups that is one row."""
+    return rows.join(groups, list(by)) if by else rows.join(F.broadcast(groups))
+
+
+def _summaries(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """(by…, column, quantiles array) with linear interpolation between neighbours."""
-    keys = [*by, "column"]
-    if counts.count() <= in_memory:
-        points = F.array(*[F.lit(float(p)) for p in probabilities])
-        return counts.groupBy(*keys).agg(F.percentile("value", points, F.col("n")).alias("quantiles"))
-    ranked = running_total(ordered_chunks(counts, [*keys, "value"]), keys, ["value"], {"rank": "n"})
-    picks = []
-    for i, p in enumerate(probabilities):
-        place = F.lit(float(p)) * (F.col("rank_total") - 1)
-        for side, at in (("low", F.floor(place)), ("high", F.ceil(place))):
-            hit = (F.col("rank_start") <= at) & (at < F.col("rank_end"))
-            picks.append(F.max(F.when(hit, F.col("value"))).alias(f"{side}{i}"))
-        picks.append(F.max(place - F.floor(place)).alias(f"part{i}"))
-    found = ranked.groupBy(*keys).agg(*picks)
-    between = [
-        (F.col(f"low{i}") + (F.col(f"high{i}") - F.col(f"low{i}")) * F.col(f"part{i}"))
-        for i in range(len(probabilities))
-    ]
-    return found.select(*keys, F.array(*between).alias("quantiles"))
+    """(by…, column, count, mean, std, min, max, quantiles), one row per group and column that has values."""
+    by, keys = list(by), [*by, "column"]
+    rows = _narrowed(df, columns, by)
+    groups = settle(_first_pass(rows, len(columns), probabilities, by))
+    met = _met(rows, groups, by)
+    below, inside = [], []
+    for i in range(len(columns)):
+        v = F.col(f"v{i}")
+        for j in range(len(probabilities)):
+            low, high = F.col(f"s{i}.low")[j], F.col(f"s{i}.high")[j]
+            below.append(F.count_if(v < low).alias(f"b{i}_{j}"))
+            inside.append(F.when(v.between(low, high), F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), v.alias("value"))))
+    banded = met.select(*by, F.explode(F.array_compact(F.array(*inside))).alias("_in")).select(*by, "_in.*")
+    counted = banded.groupBy(*by, "i", "j", "value").agg(F.count("*").alias("n"))
+    place = [*by, "i", "j"]
+    ranked = running_total(ordered_chunks(counted, [*place, "value"]), place, ["value"], {"rank": "n"})
+    under = met.groupBy(*by).agg(*below)
+    each = F.array(*[
+        F.struct(
+            F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(float(p)).alias("p"), F.col(f"s{i}.count").alias("_count"),
+            F.col(f"b{i}_{j}").alias("_below"),
+        )
+        for i in range(len(columns)) for j, p in enumerate(probabilities)
+    ])
+    both = under.join(groups, by) if by else under.join(F.broadcast(groups))
+    asked = both.select(*by, F.explode(each).alias("_a")).select(*by, "_a.*")
+    # The wanted place among all values of the column, then inside the band.
+    at = F.col("p") * (F.col("_count") - 1)
+    asked = asked.select(*place, "p", (at - F.floor(at)).alias("_part"), (F.floor(at) - F.col("_below")).alias("_first"), (F.ceil(at) - F.col("_below")).alias("_second"))
+    hits = ranked.join(asked, place)
+    pick = lambda name: F.max(F.when((F.col("rank_start") <= F.col(name)) & (F.col(name) < F.col("rank_end")), F.col("value")))
+    found = hits.groupBy(*place).agg(pick("_first").alias("_a"), pick("_second").alias("_b"), F.max("_part").alias("_part"))
+    value = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")
+    listed = found.groupBy(*by, "i").agg(F.array_sort(F.collect_list(F.struct("j", value.alias("q")))).alias("_q"))  # one per quantile
+    names = F.array(*[F.lit(c) for c in columns])
+    basics = groups.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), *[F.col(f"s{i}.{c}").alias(c) for c in ("count", "mean", "std", "min", "max")]) for i in range(len(columns))
+    ])).alias("_s")).select(*by, "_s.*")
+    out = basics.join(listed, [*by, "i"]).withColumn("column", F.element_at(names, F.col("i") + 1))
+    return out.select(*keys, "count", "mean", "std", "min", "max", F.transform("_q", lambda q: q["q"]).alias("quantiles"))
 
 
 def column_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    return quantiles_of_counts(distinct_value_counts(df, columns, by), probabilities, by)
+    """(by…, column, quantiles array) with linear interpolation between neighbours."""
+    return _summaries(df, columns, probabilities, by).select(*by, "column", "quantiles")
 
 
 def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), approximate: bool = False) -> DataFrame:
@@ -67,88 +128,65 @@ def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), appr
     """
     keys = [*by, "column"]
     if approximate:
-        kept = df.select(*by, *[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-        long = kept.unpivot(list(by), list(columns), "column", "value").where("value IS NOT NULL")
-        for key in by:
-            long = long.where(F.col(key).isNotNull())
+        long = _narrowed(df, columns, by).select(*by, *[F.col(f"v{i}").alias(c) for i, c in enumerate(columns)])
+        long = long.unpivot(list(by), list(columns), "column", "value").where("value IS NOT NULL")
         out = long.groupBy(*keys).agg(
             F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
             F.min("value").alias("min"), F.percentile_approx("value", list(QUARTILES)).alias("quantiles"),
             F.max("value").alias("max"),
         )
     else:
-        counts = distinct_value_counts(df, columns, by)
-        basics = counts.groupBy(*keys).agg(
-            F.sum("n").alias("count"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
-            F.min("value").alias("min"), F.max("value").alias("max"),
-        )
-        # Without groups there is one row per listed column; the number of groups is only known to Spark.
-        centre = basics.select(*keys, "mean", "count")
-        spread = (
-            counts.join(centre if by else F.broadcast(centre), keys)
-            .groupBy(*keys)
-            .agg(
-                F.sqrt(
-                    F.try_divide(F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)), F.max("count") - 1)
-                ).alias("std")
-            )
-        )
-        out = basics.join(spread, keys).join(quantiles_of_counts(counts, QUARTILES, by), keys)
+        out = _summaries(df, columns, QUARTILES, by)
     quartiles = [F.col("quantiles")[i].alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
     return out.select(*keys, "count", "mean", "std", "min", *quartiles, "max")
 
 
+def _wide(quantiles: DataFrame, columns: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """One row with a column `<name><i>` per listed column i and quantile."""
+    return quantiles.groupBy().agg(*[
+        F.max(F.when(F.col("column") == c, F.col("quantiles")[j])).alias(f"{name}{i}")
+        for i, c in enumerate(columns) for j, name in enumerate(names)
+    ])
+
+
 def outlier_fences(df: DataFrame, columns: Sequence[str], top: int | None = 15) -> DataFrame:
     """Quartiles, the fences 1.5 interquartile ranges out, and the percentage of values outside."""
-    counts = distinct_value_counts(df, columns)
-    q = quantiles_of_counts(counts, (0.25, 0.75)).select(
-        "column", F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("q3")
-    )
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    fences = q.select("*", (F.col("q1") - reach).alias("lo"), (F.col("q3") + reach).alias("hi"))
-    outside = (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
-    # One row per listed column, so the broadcast side is bounded by the length of `columns`.
-    shares = (
-        counts.join(F.broadcast(fences), "column")
-        .groupBy("column", "q1", "q3", "lo", "hi")
-        .agg(F.bround(100 * F.sum(F.when(outside, F.col("n")).otherwise(0)) / F.sum("n"), 2).alias("outlier_pct"))
-    )
+    quartiles = settle(_wide(column_quantiles(df, columns, (0.25, 0.75)), columns, ("q1_", "q3_")))
+    rows = _narrowed(df, columns, ()).join(F.broadcast(quartiles))  # one row
+    sums, shown = [], []
+    for i, c in enumerate(columns):
+        q1, q3 = F.col(f"q1_{i}"), F.col(f"q3_{i}")
+        reach = 1.5 * (q3 - q1)
+        v = F.col(f"v{i}")
+        sums += [F.count(v).alias(f"n{i}"), F.count_if((v < q1 - reach) | (v > q3 + reach)).alias(f"out{i}")]
+        shown.append(F.struct(
+            F.lit(c).alias("column"), q1.alias("q1"), q3.alias("q3"), (q1 - reach).alias("lo"), (q3 + reach).alias("hi"),
+            F.bround(100 * F.try_divide(F.col(f"out{i}"), F.col(f"n{i}")), 2).alias("outlier_pct"),
+        ))
+    counted = rows.agg(*sums).join(F.broadcast(quartiles))
+    shares = counted.select(F.explode(F.array(*shown)).alias("_s")).select("_s.*").where("q1 IS NOT NULL")
     ranked = shares.orderBy(F.desc("outlier_pct"), "column")
     return ranked if top is None else ranked.limit(top)
 
 
 def box_statistics(df: DataFrame, category: str, value: str) -> DataFrame:
     """Per category: quartiles, the most extreme values inside the fences, and the count outside."""
-    counts = distinct_value_counts(df, [value], [category])
-    q = quantiles_of_counts(counts, QUARTILES, [category]).select(
+    q = settle(column_quantiles(df, [value], QUARTILES, [category]).select(
         category, *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))]
-    )
+    ))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    return (
-        counts.join(q, category)
-        .groupBy(category, "q1", "median", "q3")
-        .agg(
-            F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("n_outliers"),
-        )
+    inside = F.col("v0").between(F.col("q1") - reach, F.col("q3") + reach)
+    rows = _narrowed(df, [value], [category]).where("v0 IS NOT NULL")
+    found = rows.join(q, category).groupBy(category).agg(
+        F.min(F.when(inside, F.col("v0"))).alias("whisker_low"), F.max(F.when(inside, F.col("v0"))).alias("whisker_high"),
+        F.count_if(~inside).alias("n_outliers"),
     )
+    return q.join(found, category)
 
 
 def winsorize(df: DataFrame, columns: Sequence[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Clip columns to their own quantiles. All rows stay, and columns derived earlier keep their values."""
-    bounds = (
-        column_quantiles(df, columns, (low, high))
-        .groupBy()
-        .agg(
-            *[
-                F.max(F.when(F.col("column") == c, F.col("quantiles")[i])).alias(f"_{side}_{c}")
-                for c in columns
-                for i, side in enumerate(("lo", "hi"))
-            ]
-        )
-    )
-    clipped = {c: F.least(F.greatest(F.col(c), F.col(f"_lo_{c}")), F.col(f"_hi_{c}")) for c in columns}
+    bounds = settle(_wide(column_quantiles(df, columns, (low, high)), columns, ("_lo_", "_hi_")))
+    clipped = {c: F.least(F.greatest(F.col(c), F.col(f"_lo_{i}")), F.col(f"_hi_{i}")) for i, c in enumerate(columns)}
     keep_null = {c: F.when(F.col(c).isNotNull(), e) for c, e in clipped.items()}
     return df.join(F.broadcast(bounds)).withColumns(keep_null).drop(*bounds.columns)

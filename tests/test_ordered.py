@@ -45,19 +45,27 @@ def test_row_numbers_are_dense_and_ordered(spark):
     assert [(n, g, i) for n, (g, i, _) in enumerate(sorted(rows), 1)] == got
 
 
-@pytest.mark.parametrize("in_memory", [0, 10**6])
-def test_quantiles_interpolate(spark, in_memory):
+@pytest.mark.parametrize("accuracy", [10, 2000])
+def test_quantiles_interpolate(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)  # with 10 the bands are narrower than the groups
     rng = random.Random(1)
     data = [(rng.choice("aab"), float(rng.choice([0, 0, 0, 1, 2.5, rng.random() * 10]))) for _ in range(301)]
     df = spark.createDataFrame([*data, ("a", None), ("b", float("nan")), (None, 3.0)], "c string, v double")
     probs = [0.01, 0.25, 0.5, 0.75, 0.99]
-    counts = quantiles.distinct_value_counts(df, ["v"], ["c"])
-    got = {r["c"]: r["quantiles"] for r in quantiles.quantiles_of_counts(counts, probs, ["c"], in_memory).collect()}
+    got = {r["c"]: r["quantiles"] for r in quantiles.column_quantiles(df, ["v"], probs, ["c"]).collect()}
     assert set(got) == {"a", "b"}
     for c in got:
         assert got[c] == pytest.approx(np.quantile([v for k, v in data if k == c], probs))
 
 
+def test_quantiles_of_many_rows_use_narrow_bands(spark):
+    df = spark.range(60_000).select(F.sin("id").alias("v"), (F.col("id") % 7).cast("double").alias("w"), F.lit(None).cast("double").alias("x"))
+    got = {r["column"]: r["quantiles"] for r in quantiles.column_quantiles(df, ["v", "w", "x"], [0.0, 0.1, 0.5, 1.0]).collect()}
+    assert set(got) == {"v", "w"}
+    assert got["v"] == pytest.approx(np.quantile(np.sin(np.arange(60_000)), [0.0, 0.1, 0.5, 1.0]), abs=1e-12)
+    assert got["w"] == [0.0, 0.0, 3.0, 6.0]
+
+
 def test_describe_matches_numpy_and_single_row(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 3.0), ("a", 10.0), ("b", 5.0)], "c string, v double")
     got = {r["c"]: r for r in quantiles.describe(df, ["v"], ["c"]).collect()}
