@@ -119,7 +119,7 @@ def _lay_out(rows: DataFrame, keys: Sequence[str], surplus: str, deficit: str, t
 def plan_flows(balance: DataFrame) -> DataFrame:
     """What every store sends and gets within its city (1) and across cities (2), and has to make.
 
-    Kept as a checkpoint: moves, production, final stock and the audit all read it.
+    Stored: moves, production, final stock and the audit all read it.
     """
     near = _lay_out(balance, ["product_id", "city_id"], "surplus", "deficit", 1)
     left_over = near.withColumns(

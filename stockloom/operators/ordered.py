@@ -26,7 +26,7 @@ def ordered_chunks(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Sort-partition the rows by `order` and tag each row with its partition number, `chunk`.
 
     Range bounds come from a sample of the rows, so a hot leading key is split like any other. The
-    checkpoint pins the numbers: both reads of the result see the same cut.
+    stored table pins the numbers: both reads of the result see the same cut.
     """
     return settle(df.repartitionByRange(*order).withColumn("chunk", F.spark_partition_id()))
 

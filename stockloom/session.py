@@ -54,7 +54,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+_kept: list[str] = []
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder: cuts the lineage and survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write `df` to the shared folder and read it back: cuts the lineage and survives the loss of executors.
+
+    Columnar, so each reader takes the columns it needs, and computed once. `discard` removes the files.
+    """
+    path = scratch_path(df.sparkSession, "kept")
+    df.write.option("compression", "zstd").parquet(path)
+    _kept.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete what `settle` has written in this process. Frames built on it cannot be read any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _kept:
+        place = jvm.org.apache.hadoop.fs.Path(_kept.pop())
+        place.getFileSystem(conf).delete(place, True)
