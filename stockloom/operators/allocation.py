@@ -25,7 +25,7 @@ from stockloom.functions import inventory as inv
 from stockloom.functions.geo import LOCAL_LANE_COST, MISSING_UNIT_LANE_COST, TRANSPORT_SCALE
 from stockloom.functions.values import half_even, horizontal_sum, key_uniform
 from stockloom.operators.lanes import store_lane_costs
-from stockloom.operators.ordered import IDS_PER_CHUNK, id_chunk, running_total
+from stockloom.operators.ordered import IDS_PER_CHUNK, id_chunks, running_total
 from stockloom.session import settle
 
 PAIR = ["store_id", "product_id"]
@@ -88,11 +88,11 @@ def balances(targets: DataFrame, width: int = IDS_PER_CHUNK) -> DataFrame:
     amounts = targets.select(
         *PAIR,
         "city_id",
-        id_chunk("store_id", width).alias("chunk"),
         _millionths(F.col("current_inventory")).alias("current"),
         _millionths(F.col("target_inventory")).alias("target"),
     )
     gap, none = F.col("current") - F.col("target"), F.lit(0).cast("bigint")
+    amounts = amounts.join(id_chunks(targets, "store_id", width), "store_id")
     return amounts.withColumns({"surplus": F.greatest(gap, none), "deficit": F.greatest(-gap, none)})
 
 
@@ -259,7 +259,8 @@ def audit(plan: DataFrame, all_moves: DataFrame, capacity: float = inv.STORE_CAP
 
 def capacity_overflow(plan: DataFrame, capacity: float = inv.STORE_CAPACITY, width: int = IDS_PER_CHUNK) -> DataFrame:
     """Production rows past a store's capacity, in product order, with the part that does not fit."""
-    made = plan.where("made > 0").select(*PAIR, "made", id_chunk("product_id", width).alias("chunk"))
+    made = plan.where("made > 0").select(*PAIR, "made")
+    made = made.join(id_chunks(made, "product_id", width), "product_id")
     laid = running_total(made, ["store_id"], ["product_id"], {"_m": "made"})
     limit = F.lit(capacity).cast(QUANTITY)
     over = F.col("_m_end") - F.greatest("_m_start", limit)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockloom.functions import text as tx
-from stockloom.operators.ordered import carry_last, id_chunk, row_numbers
+from stockloom.operators.ordered import carry_last, ordered_chunks, row_numbers
 
 ID_LISTS = ["transfer_id", "manufacturing_id", "product_id", "store_id"]
 
@@ -61,7 +61,8 @@ def carry_over(classified: DataFrame) -> DataFrame:
     Ids already decide the intent in `classify`, so carrying never changes which intent is the last one
     and a single ordered scan is exact.
     """
-    chunked = classified.withColumn("chunk", id_chunk("turn"))
+    # Ranges of rows, not of turn numbers: a conversation with most of the turns is cut like any other.
+    chunked = ordered_chunks(classified, ["conv_id", "turn"])
     last = F.when(in_scope(F.col("intent")), F.col("intent"))
     scanned = carry_last(chunked, ["conv_id"], ["turn"], last, "_last").drop("chunk")
     follows = (F.col("intent") == "out_of_scope") & F.col("_last").isNotNull() & (F.col("is_all") | has_ids(*ID_LISTS))

@@ -17,11 +17,6 @@ from stockloom.session import settle
 IDS_PER_CHUNK = 4096
 
 
-def id_chunk(column: str, width: int = IDS_PER_CHUNK) -> Column:
-    """Chunk number of an integer id: at most `width` different ids share one, in id order."""
-    return F.expr(f"cast({column} as bigint) div {width}")
-
-
 def ordered_chunks(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Sort-partition the rows by `order` and tag each row with its partition number, `chunk`.
 
@@ -65,6 +60,12 @@ def row_numbers(df: DataFrame, order: Sequence[str], name: str = "row_number") -
     return numbered.withColumnRenamed("_row_end", name).drop("_row_start", "_row_total", "_one", "chunk")
 
 
+def id_chunks(df: DataFrame, column: str, width: int = IDS_PER_CHUNK) -> DataFrame:
+    """(column, chunk): the different ids in order, `width` to a chunk, however far apart they lie."""
+    numbered = row_numbers(df.select(column).where(F.col(column).isNotNull()).distinct(), [column], "_n")
+    return settle(numbered.select(column, F.expr(f"(_n - 1) div {width}").alias("chunk")))
+
+
 def carry_last(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, chunk: str = "chunk"
 ) -> DataFrame:

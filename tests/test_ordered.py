@@ -19,7 +19,8 @@ def hot_rows(seed, n=240):
 @pytest.mark.parametrize("width", [1, 7, 1000])
 def test_running_total_equals_plain_sum(spark, width):
     rows = hot_rows(width)
-    df = spark.createDataFrame(rows, "g int, id int, v int").withColumn("chunk", ordered.id_chunk("id", width))
+    df = spark.createDataFrame(rows, "g int, id int, v int")
+    df = df.join(ordered.id_chunks(df, "id", width), "id")
     got = {r["id"]: (r["t_start"], r["t_end"], r["t_total"]) for r in ordered.running_total(df, ["g"], ["id"], {"t": "v"}).collect()}
     assert len(got) == len(rows)
     for g, i, v in rows:
@@ -31,13 +32,24 @@ def test_running_total_equals_plain_sum(spark, width):
 def test_carry_last_equals_plain_scan(spark, width):
     rng = random.Random(width)
     rows = [(g, i, rng.choice([None, None, "a", "b"])) for g, i, _ in hot_rows(3)]
-    df = spark.createDataFrame(rows, "g int, id int, x string").withColumn("chunk", ordered.id_chunk("id", width))
+    df = spark.createDataFrame(rows, "g int, id int, x string")
+    df = df.join(ordered.id_chunks(df, "id", width), "id")
     got = {r["id"]: r["last"] for r in ordered.carry_last(df, ["g"], ["id"], F.col("x"), "last").collect()}
     for g, i, _ in rows:
         earlier = [x[2] for x in rows if x[0] == g and x[1] < i and x[2] is not None]
         assert got[i] == (earlier[-1] if earlier else None)
 
 
+def test_chunks_of_ids_far_apart_are_full(spark):
+    """20,000 ids up to 10^15, all of one product: few chunks, none longer than the width."""
+    ids = spark.range(20_000).select((F.col("id") * 50_000_000_003).alias("store_id"), F.lit(1).alias("product_id"))
+    chunks = ordered.id_chunks(ids, "store_id", 1000)
+    sizes = {r["chunk"]: (r["count"], r["low"], r["high"]) for r in chunks.groupBy("chunk").agg(
+        F.count("*").alias("count"), F.min("store_id").alias("low"), F.max("store_id").alias("high")).collect()}
+    assert sorted(sizes) == list(range(20)) and {s[0] for s in sizes.values()} == {1000}
+    assert all(sizes[i][2] < sizes[i + 1][1] for i in range(19))
+
+
 def test_row_numbers_are_dense_and_ordered(spark):
     rows = hot_rows(5)
     numbered = ordered.row_numbers(spark.createDataFrame(rows, "g int, id int, v int").repartition(5), ["g", "id"])
