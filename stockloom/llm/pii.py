@@ -7,8 +7,8 @@ check digit, octets of an address, the script of a name, the gender its title te
 are checked against each other and against every entity found in the input; on a collision all but one
 entity draw again, until all differ (distinctness).
 
-Everything is column expressions and joins. Texts meet the surrogates of their own entities only; texts
-without entities are not moved at all. An entity or a text that makes up much of the table is an ordinary
+Everything is column expressions and joins. Texts with entities are stored once and meet the surrogates of
+their own entities only; texts without entities are not moved at all. An entity or a text that makes up much of the table is an ordinary
 skewed join key, which adaptive execution splits; surrogates are drawn once per different entity.
 
 Defined results: null and empty texts stay as they are. Texts are searched whole. Repeated rows are treated
@@ -19,6 +19,8 @@ takes the place of an input column of that name.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +41,10 @@ PHONE = r"\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]\d{1,4}|\d{2,4}){2,5}(?!\d)|(?<![\p
 TITLE_HE = r"Mr|Herr|Monsieur|Señor|Sr|Signor|господин|г-н"
 TITLE_SHE = r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Signora|госпожа|г-жа"
 NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{TITLE_HE}|{TITLE_SHE})\.?\s\p{{Lu}}\p{{Ll}}+(?:\s\p{{Lu}}\p{{Ll}}+)?"
-# A text without any of these has no entity; most texts need no more than this one look.
-SIGNS = rf"[@0-9=:]|AKIA|ASIA|(?<!\p{{L}})(?:{TITLE_HE}|{TITLE_SHE})\.?\s\p{{Lu}}"
+# A text with none of these signs has no entity; most texts need no more than this look.
+SIGNS = r"[@0-9=:]|AKIA|ASIA"
+# Beginnings of the titles.
+TITLE_SIGNS = ("Mr", "Ms", "Miss", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Sr", "Signor", "госп", "г-")
 # Syllables of made-up names, per script.
 LATIN = "ba be bi bo da de di do fa fe ga ge ka ke ki ko la le li lo ma me mi mo na ne no ra re ri ro sa se ta te to va ve vi za".split()
 CYRILLIC = "ба бе бо ва ве ви да де ди до жа за зе ка ки ко ла ле ли ло ма ме ми мо на не но па по ра ре ро са се та те то фа фе".split()
@@ -291,10 +295,12 @@ def replace_entities(docs: DataFrame, key: str = "key of this data set", text: s
     names = {c: f"c{i}" for i, c in enumerate(own)}
     rows = docs.select(*[col(c).alias(n) for c, n in names.items()])
     body = F.col(names[text])
-    found = F.when(body.rlike(SIGNS), F.regexp_extract_all(body, F.lit(ANY), F.lit(0)))
-    rows = rows.withColumn("found", F.coalesce(found, F.array().cast("array<string>")))
-    clean = rows.filter("size(found) = 0").withColumn("n_replaced", F.lit(0))
-    marked = rows.filter("size(found) > 0").withColumn("parts", F.transform("found", _parts)).withColumn("at", F.sha2(body, 256))
+    signs = reduce(or_, [body.contains(t) for t in TITLE_SIGNS], body.rlike(SIGNS))
+    found = F.regexp_extract_all(body, F.lit(ANY), F.lit(0))
+    clean = rows.filter(body.isNull() | ~signs | (F.size(found) == 0)).withColumn("n_replaced", F.lit(0))
+    # An explode, not a filter on the result: a filter would be moved below and search the text twice.
+    some = rows.filter(signs).withColumn("found", F.explode(F.filter(F.array(found), lambda x: F.size(x) > 0)))
+    marked = stored(some.withColumn("at", F.sha2(body, 256)), "marked").withColumn("parts", F.transform("found", _parts))
 
     each = marked.select("at", F.explode(F.array_distinct(F.flatten("parts"))).alias("p"))
     each = each.select("at", F.col("p.kind").alias("kind"), _canonical(F.col("p.kind"), F.col("p.value")).alias("value"))
