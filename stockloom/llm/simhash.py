@@ -197,7 +197,9 @@ def first_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", shing
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # no clash with the columns used here
     rows, own = docs.withColumnsRenamed(names), list(names.values())
     row_id = F.col(names[id]).cast("long")
-    out = rows.join(ids.filter("n = 1 and first = 1"), row_id == F.col("id")).select(*own)
+    # The ids that stay are a fixed share of the rows, so this is a join of two large sides; it is planned as
+    # one at every size, also where the ids would still fit a broadcast.
+    out = rows.join(ids.filter("n = 1 and first = 1").hint("merge"), row_id == F.col("id")).select(*own)
     unclear = ids.filter("n > 1 or id is null")
     if not unclear.isEmpty():
         again = rows.join(unclear.select("id"), row_id.eqNullSafe(F.col("id")), "left_semi")
