@@ -58,20 +58,41 @@ cut1 AS (SELECT *, least(s_end - surplus, s_all, d_all) AS s_lo, least(s_end, s_
   least(d_end - deficit, s_all, d_all) AS d_lo, least(d_end, s_all, d_all) AS d_hi FROM line1),
 left_over AS (SELECT store_id, product_id, city_id, current, target, surplus, deficit, s_hi - s_lo AS sent_1, d_hi - d_lo AS got_1,
   surplus - (s_hi - s_lo) AS surplus_2, deficit - (d_hi - d_lo) AS deficit_2 FROM cut1),
-line2 AS (SELECT *, sum(surplus_2) OVER w AS s_end, sum(deficit_2) OVER w AS d_end, sum(surplus_2) OVER g AS s_all, sum(deficit_2) OVER g AS d_all
-  FROM left_over WINDOW g AS (PARTITION BY product_id), w AS (PARTITION BY product_id ORDER BY store_id ROWS UNBOUNDED PRECEDING)),
-cut2 AS (SELECT *, least(s_end - surplus_2, s_all, d_all) AS s_lo, least(s_end, s_all, d_all) AS s_hi,
-  least(d_end - deficit_2, s_all, d_all) AS d_lo, least(d_end, s_all, d_all) AS d_hi FROM line2),
+makes AS (SELECT product_id, city_id, min(mfg_unit_cost) AS make FROM targets GROUP BY 1, 2),
+city_left AS (SELECT product_id, city_id, sum(surplus_2) AS s, sum(deficit_2) AS d FROM left_over GROUP BY 1, 2),
+priced_lanes AS (SELECT a.product_id, a.city_id AS from_city, b.city_id AS to_city, make, round(coalesce(cost * 0.1::DOUBLE, 5.0::DOUBLE), 6) AS unit
+  FROM city_left a JOIN city_left b ON a.product_id = b.product_id AND a.s > 0 AND b.d > 0
+  JOIN makes m ON m.product_id = b.product_id AND m.city_id = b.city_id
+  LEFT JOIN lanes ON lanes.from_city = a.city_id AND lanes.to_city = b.city_id),
+offers AS (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY unit, from_city, to_city) AS k FROM priced_lanes WHERE unit <= make + 1),
+greedy AS (SELECT product_id, CAST(0 AS BIGINT) AS k, map(list(city_id), list(CAST(s AS {_q}))) AS s, map(list(city_id), list(CAST(d AS {_q}))) AS d,
+    CAST(NULL AS INTEGER) AS from_city, CAST(NULL AS INTEGER) AS to_city, CAST(0 AS {_q}) AS flow FROM city_left GROUP BY 1
+  UNION ALL
+  SELECT g.product_id, o.k,
+    map_from_entries(list_transform(map_entries(g.s), lambda e: CAST(row(e.key, e.value - CASE WHEN e.key = o.from_city THEN least(g.s[o.from_city], g.d[o.to_city]) ELSE 0 END) AS STRUCT(k INTEGER, v {_q})))),
+    map_from_entries(list_transform(map_entries(g.d), lambda e: CAST(row(e.key, e.value - CASE WHEN e.key = o.to_city THEN least(g.s[o.from_city], g.d[o.to_city]) ELSE 0 END) AS STRUCT(k INTEGER, v {_q})))),
+    o.from_city, o.to_city, CAST(least(g.s[o.from_city], g.d[o.to_city]) AS {_q})
+  FROM greedy g JOIN offers o ON o.product_id = g.product_id AND o.k = g.k + 1),
+flows AS (SELECT product_id, from_city, to_city, flow, sum(flow) OVER (PARTITION BY product_id, from_city ORDER BY k) - flow AS s_at,
+  sum(flow) OVER (PARTITION BY product_id, to_city ORDER BY k) - flow AS d_at FROM greedy WHERE flow > 0),
+line2 AS (SELECT l.*, sum(surplus_2) OVER w AS s_end, sum(deficit_2) OVER w AS d_end, coalesce(o, 0) AS out_all, coalesce(i, 0) AS in_all
+  FROM left_over l LEFT JOIN (SELECT product_id, from_city AS city_id, sum(flow) AS o FROM flows GROUP BY 1, 2) USING (product_id, city_id)
+  LEFT JOIN (SELECT product_id, to_city AS city_id, sum(flow) AS i FROM flows GROUP BY 1, 2) USING (product_id, city_id)
+  WINDOW w AS (PARTITION BY product_id, city_id ORDER BY store_id ROWS UNBOUNDED PRECEDING)),
+cut2 AS (SELECT *, least(s_end - surplus_2, out_all) AS s_lo, least(s_end, out_all) AS s_hi,
+  least(d_end - deficit_2, in_all) AS d_lo, least(d_end, in_all) AS d_hi FROM line2),
 plan AS (SELECT *, sent_1 + (s_hi - s_lo) AS sent, got_1 + (d_hi - d_lo) AS got, deficit_2 - (d_hi - d_lo) AS made,
   current + deficit_2 - (d_hi - d_lo) + got_1 + (d_hi - d_lo) - sent_1 - (s_hi - s_lo) AS final FROM cut2),
+far_moves AS (SELECT a.store_id AS from_store, b.store_id AS to_store, f.product_id,
+  least(a.s_hi - s_at, b.d_hi - d_at, flow) - greatest(a.s_lo - s_at, b.d_lo - d_at, 0) AS qty
+  FROM flows f JOIN cut2 a ON a.product_id = f.product_id AND a.city_id = from_city AND a.s_hi > a.s_lo
+  JOIN cut2 b ON b.product_id = f.product_id AND b.city_id = to_city AND b.d_hi > b.d_lo),
 moves AS (
   SELECT a.store_id AS from_store, b.store_id AS to_store, a.product_id, least(a.s_hi, b.d_hi) - greatest(a.s_lo, b.d_lo) AS qty, 1 AS tier
   FROM cut1 a JOIN cut1 b ON a.product_id = b.product_id AND a.city_id = b.city_id AND a.s_lo < b.d_hi AND b.d_lo < a.s_hi
   WHERE a.s_hi > a.s_lo AND b.d_hi > b.d_lo
   UNION ALL
-  SELECT a.store_id, b.store_id, a.product_id, least(a.s_hi, b.d_hi) - greatest(a.s_lo, b.d_lo), 2
-  FROM cut2 a JOIN cut2 b ON a.product_id = b.product_id AND a.s_lo < b.d_hi AND b.d_lo < a.s_hi
-  WHERE a.s_hi > a.s_lo AND b.d_hi > b.d_lo)"""
+  SELECT from_store, to_store, product_id, qty, 2 FROM far_moves WHERE qty > 0)"""
 PRICED = """
 transfers AS (SELECT m.*, lane_cost, coalesce(lane_cost * 0.1::DOUBLE, 5.0::DOUBLE) AS unit_cost,
   CAST(qty AS DOUBLE) * coalesce(lane_cost * 0.1::DOUBLE, 5.0::DOUBLE) AS cost
@@ -113,8 +134,8 @@ reasoned_made AS (SELECT x.*, {_codes([
 TO_REGIONS = with_views(LOGISTICS, REGIONS)
 TO_LANES = with_views(LOGISTICS, REGIONS, LANES, SEEN)
 TO_TARGETS = with_views(DEMAND, SERIES_DAY, PARAMS, LOGISTICS, REGIONS, STORES, TARGETS)
-TO_PLAN = with_views(DEMAND, SERIES_DAY, PARAMS, LOGISTICS, REGIONS, STORES, TARGETS, PLAN)
-TO_COSTS = with_views(DEMAND, SERIES_DAY, PARAMS, LOGISTICS, REGIONS, STORES, TARGETS, PLAN, LANES, PRICED, REASONED)
+TO_PLAN = with_views(DEMAND, SERIES_DAY, PARAMS, LOGISTICS, REGIONS, STORES, TARGETS, LANES, PLAN)
+TO_COSTS = with_views(DEMAND, SERIES_DAY, PARAMS, LOGISTICS, REGIONS, STORES, TARGETS, LANES, PLAN, PRICED, REASONED)
 
 
 # ---- Spark side: the steps shared by the queries below ----
@@ -168,9 +189,15 @@ def run(spark, folder, capacity=5000.0):
     return allocate(assembled(spark, folder, made, cities), cities, made, ln.longest_distance(made), capacity)
 
 
+def planned(spark, folder):
+    """The plan and its flows between cities."""
+    made, cities = settle(regions(spark, folder)), settle(store_city(spark, folder))
+    balance = al.balances(settle(al.with_target(assembled(spark, folder, made, cities))))
+    return al.plan_flows(balance, made, ln.longest_distance(made))
+
+
 def plan(spark, folder):
-    """Flows only: nothing is priced, so no lanes are built."""
-    return al.plan_flows(al.balances(settle(targets(spark, folder))))
+    return planned(spark, folder)[0]
 
 
 # ---- Regions and lanes ----
@@ -335,7 +362,12 @@ def candidate_counts(spark, folder):
 
 @query("l05_moves", TO_PLAN + "SELECT from_store, to_store, product_id, CAST(qty AS DOUBLE) AS qty, tier FROM moves")
 def all_moves(spark, folder):
-    return al.moves(plan(spark, folder)).withColumn("qty", F.col("qty").cast("double"))
+    return al.moves(*planned(spark, folder)).withColumn("qty", F.col("qty").cast("double"))
+
+
+@query("l05_city_flows", TO_PLAN + "SELECT product_id, from_city, to_city, CAST(flow * 1000000 AS BIGINT) AS flow FROM flows")
+def city_flows(spark, folder):
+    return planned(spark, folder)[1].select("product_id", "from_city", "to_city", "flow")
 
 
 @query("l06_production", TO_COSTS + f"SELECT store_id, product_id, CAST(qty AS DOUBLE) AS qty, {r('cost')} FROM production")
@@ -358,9 +390,9 @@ def stock_totals(spark, folder):
     return plan(spark, folder).agg(*[F.sum(c).cast("double").alias(c) for c in names])
 
 
-@query("l08_audit", TO_PLAN + """, flows AS (SELECT store_id, product_id, sum(o) AS o, sum(i) AS i FROM (
+@query("l08_audit", TO_PLAN + """, summed AS (SELECT store_id, product_id, sum(o) AS o, sum(i) AS i FROM (
       SELECT from_store AS store_id, product_id, qty AS o, 0 AS i FROM moves UNION ALL SELECT to_store, product_id, 0, qty FROM moves) GROUP BY 1, 2),
-    state AS (SELECT plan.*, coalesce(o, 0) AS o, coalesce(i, 0) AS i FROM plan LEFT JOIN flows USING (store_id, product_id))
+    state AS (SELECT plan.*, coalesce(o, 0) AS o, coalesce(i, 0) AS i FROM plan LEFT JOIN summed USING (store_id, product_id))
     SELECT rule, count(*) AS n_rows FROM (
     SELECT 'balance' AS rule FROM state WHERE final <> current + made + i - o
     UNION ALL SELECT 'negative' FROM state WHERE made < 0 OR o < 0 OR i < 0 UNION ALL 
@@ -369,8 +401,8 @@ def stock_totals(spark, folder):
     UNION ALL SELECT 'transfer_limit' FROM plan WHERE sent > current) GROUP BY 1""")
 def audit(spark, folder):
     """Uses a small capacity, so that the audit has something to find; all other rules hold."""
-    planned = plan(spark, folder)
-    return al.audit(planned, al.moves(planned), capacity=400.0).groupBy("rule").agg(F.count("*").alias("n_rows"))
+    made, flows = planned(spark, folder)
+    return al.audit(made, al.moves(made, flows), capacity=400.0).groupBy("rule").agg(F.count("*").alias("n_rows"))
 
 
 @query("l09_capacity_overflow", TO_PLAN + """SELECT store_id, product_id, CAST(made AS DOUBLE) AS made,

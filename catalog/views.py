@@ -74,4 +74,4 @@ params AS (
 
 
 def with_views(*views: str) -> str:
-    return "WITH " + ",".join(views) + "\n"
+    return "WITH RECURSIVE " + ",".join(views) + "\n"

@@ -1,16 +1,20 @@
-"""Choose transfers and production so that every store reaches its target stock.
+"""Choose transfers and production so that every store reaches its target stock, at low cost.
 
 Quantities have six decimal places. While planning they are counted in whole millionths, so running sums
 are exact, cheap, and do not depend on the order tasks finish in.
 
-A product's surpluses are laid end to end on one line and its deficits on another; where a surplus and
-a deficit overlap, that much moves. Nearby stores come first: the lines are built per product and city,
-then per product for what is left. The amounts each store sends, receives and has to make follow from
-the running sums alone; only the list of moves needs the overlaps.
+What moving a unit costs depends on the two cities only. Within a city it is cheapest: the city's surpluses
+of a product are laid end to end on one line and its deficits on another, and where a surplus and a deficit
+overlap, that much moves. What is left is planned between cities, per product: the cheapest lane from a city
+with a surplus to one with a deficit is used first, as far as both last, and so on; lanes that cost more than
+making and holding the unit are not used. Each flow between two cities then takes its stretch of the lines of
+both, and stores overlap within it. The amounts each store sends, receives and has to make follow from running
+sums and flows alone; only the list of moves needs the overlaps.
 
 A product may be stocked by a large part of all stores. Running sums are therefore taken in chunks of
 stores (`ordered.running_total`), and overlaps are found between chunks first and inside each
-overlapping pair of chunks second, so no task sees more than two chunks of stores of one product.
+overlapping pair of chunks second, so no task sees more than two chunks of stores of one product. The choice
+of lanes sees one row per city with something left, never the stores.
 """
 
 from __future__ import annotations
@@ -18,13 +22,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom.functions import inventory as inv
 from stockloom.functions.geo import LOCAL_LANE_COST, MISSING_UNIT_LANE_COST, TRANSPORT_SCALE
 from stockloom.functions.values import half_even, horizontal_sum, key_uniform
-from stockloom.operators.lanes import store_lane_costs
+from stockloom.operators.lanes import all_km, store_lane_costs
 from stockloom.operators.ordered import IDS_PER_CHUNK, id_chunks, running_total
 from stockloom.session import settle
 
@@ -84,10 +90,12 @@ def with_target(assembled: DataFrame, z: float = inv.SERVICE_Z) -> DataFrame:
 
 
 def balances(targets: DataFrame, width: int = IDS_PER_CHUNK) -> DataFrame:
-    """Stock, target, surplus and deficit per store and product, in millionths, with the store chunk."""
+    """Stock, target, surplus and deficit per store and product, in millionths, with the store chunk and what
+    making a unit costs."""
     amounts = targets.select(
         *PAIR,
         "city_id",
+        F.col("mfg_unit_cost").alias("make_cost"),
         _millionths(F.col("current_inventory")).alias("current"),
         _millionths(F.col("target_inventory")).alias("target"),
     )
@@ -96,36 +104,93 @@ def balances(targets: DataFrame, width: int = IDS_PER_CHUNK) -> DataFrame:
     return amounts.withColumns({"surplus": F.greatest(gap, none), "deficit": F.greatest(-gap, none)})
 
 
-def _lay_out(rows: DataFrame, keys: Sequence[str], surplus: str, deficit: str, tier: int) -> DataFrame:
-    """Place the stores of each group on its surplus and deficit lines, cut at the end of the shorter one.
+def _lay_out(rows: DataFrame, surplus: str, deficit: str, tier: int, shared: DataFrame | None = None) -> DataFrame:
+    """Place the stores of each product and city on its surplus and deficit lines.
 
+    The lines are cut at the end of the shorter one, or where the city's flows (`_out`, `_in` of `shared`) end.
     Adds the store's stretch on either line and the lengths of both: what it sends and what it gets.
     """
+    keys = ["product_id", "city_id"]
     laid = running_total(rows, keys, ["store_id"], {"_s": surplus, "_d": deficit})
-    shared = F.least("_s_total", "_d_total")
+    if shared is None:
+        least = F.least("_s_total", "_d_total")
+        laid = laid.withColumns({"_out": least, "_in": least})
+    else:
+        laid = laid.join(shared, keys, "left").na.fill(0, ["_out", "_in"])
     ends = {
-        f"{line}{tier}_{end}": F.least(f"_{line}_{at}", shared)
-        for line in ("s", "d")
+        f"{line}{tier}_{end}": F.least(f"_{line}_{at}", cut)
+        for line, cut in (("s", "_out"), ("d", "_in"))
         for end, at in (("low", "start"), ("high", "end"))
     }
     lengths = {
         f"{name}_{tier}": F.col(f"{line}{tier}_high") - F.col(f"{line}{tier}_low")
         for line, name in (("s", "sent"), ("d", "got"))
     }
-    scratch = [f"_{line}_{part}" for line in ("s", "d") for part in ("start", "end", "total")]
+    scratch = ["_out", "_in", *[f"_{line}_{part}" for line in ("s", "d") for part in ("start", "end", "total")]]
     return laid.withColumns(ends).withColumns(lengths).drop(*scratch)
 
 
-def plan_flows(balance: DataFrame) -> DataFrame:
-    """What every store sends and gets within its city (1) and across cities (2), and has to make.
+def cheapest_flows(left: pa.Table, longest: float, holding: float) -> pa.Table:
+    """The flows of one product between cities, cheapest lane first.
+
+    `left` has a row per city with its surplus `s` and deficit `d`, coordinates, mean shipping cost and the
+    cost of making a unit there. Costs are compared to six digits; ties go by the ids of the cities.
+    """
+    columns = {c: left[c].to_numpy(zero_copy_only=False) for c in ("city_id", "s", "d", "lat", "lon", "base", "make")}
+    order = np.argsort(columns["city_id"])
+    city, s, d, lat, lon, base, make = (columns[c][order] for c in ("city_id", "s", "d", "lat", "lon", "base", "make"))
+    give, take = np.flatnonzero(s > 0), np.flatnonzero(d > 0)
+    lane = (base[give][:, None] + base[take][None, :]) / 2 * (0.5 + 0.5 * all_km(lat[give], lon[give], lat[take], lon[take]) / (longest or 1.0))
+    unit = np.round(np.nan_to_num(lane * TRANSPORT_SCALE, nan=MISSING_UNIT_LANE_COST), 6)
+    used = np.argwhere(unit <= (make[take] + holding)[None, :])
+    used = used[np.argsort(unit[used[:, 0], used[:, 1]], kind="stable")]  # rows and columns are in the order of ids
+    have, need, flows = s[give].copy(), d[take].copy(), []
+    for i, j in used.tolist():
+        quantity = min(have[i], need[j])
+        if quantity > 0:
+            flows.append((int(city[give[i]]), int(city[take[j]]), int(quantity), len(flows)))
+            have[i] -= quantity
+            need[j] -= quantity
+            if not need.any() or not have.any():
+                break
+    product = left["product_id"][0].as_py()
+    rows = [dict(zip(("product_id", "from_city", "to_city", "flow", "place"), (product, *f))) for f in flows]
+    return pa.Table.from_pylist(rows, pa.schema([("product_id", pa.int32()), ("from_city", pa.int32()), ("to_city", pa.int32()), ("flow", pa.int64()), ("place", pa.int32())]))
+
+
+def city_flows(left_over: DataFrame, cities: DataFrame, longest: float, holding: float = inv.HOLDING_COST) -> DataFrame:
+    """(product_id, from_city, to_city, flow, s_at, d_at): the flows between cities and where each begins on
+    the surplus line of the one and the deficit line of the other."""
+    sums = left_over.groupBy("product_id", "city_id").agg(
+        F.sum("surplus_2").alias("s"), F.sum("deficit_2").alias("d"), F.min("make_cost").alias("make")
+    ).where("s > 0 OR d > 0")
+    at = cities.select("city_id", F.col("centroid_lat").alias("lat"), F.col("centroid_lon").alias("lon"), F.col("shipping_costs_mean").alias("base"))
+    known = sums.join(at, "city_id", "left").select(F.col("product_id").cast("int").alias("product_id"), "city_id", "s", "d", "lat", "lon", "base", "make")
+    flows = known.groupBy("product_id").applyInArrow(
+        lambda rows: cheapest_flows(rows, longest, holding), "product_id int, from_city int, to_city int, flow bigint, place int"
+    )
+    begins = {
+        name: F.sum("flow").over(Window.partitionBy("product_id", city).orderBy("place")) - F.col("flow")
+        for name, city in (("s_at", "from_city"), ("d_at", "to_city"))
+    }
+    return settle(flows.withColumns(begins).drop("place"))
+
+
+def plan_flows(balance: DataFrame, cities: DataFrame, longest: float) -> tuple[DataFrame, DataFrame]:
+    """What every store sends and gets within its city (1) and across cities (2), and has to make; and the
+    flows between cities.
 
     Stored: moves, production, final stock and the audit all read it.
     """
-    near = _lay_out(balance, ["product_id", "city_id"], "surplus", "deficit", 1)
+    near = _lay_out(balance, "surplus", "deficit", 1)
     left_over = near.withColumns(
         {"surplus_2": F.col("surplus") - F.col("sent_1"), "deficit_2": F.col("deficit") - F.col("got_1")}
     )
-    far = _lay_out(left_over, ["product_id"], "surplus_2", "deficit_2", 2)
+    flows = city_flows(left_over, cities, longest)
+    out = flows.select("product_id", F.col("from_city").alias("city_id"), F.col("flow").alias("_out"), F.lit(0).cast("bigint").alias("_in"))
+    into = flows.select("product_id", F.col("to_city").alias("city_id"), F.lit(0).cast("bigint").alias("_out"), F.col("flow").alias("_in"))
+    shared = out.unionByName(into).groupBy("product_id", "city_id").agg(F.sum("_out").alias("_out"), F.sum("_in").alias("_in"))
+    far = _lay_out(left_over, "surplus_2", "deficit_2", 2, shared)
     planned = far.withColumns(
         {
             "sent": F.col("sent_1") + F.col("sent_2"),
@@ -135,7 +200,8 @@ def plan_flows(balance: DataFrame) -> DataFrame:
     ).withColumn("final", F.col("current") + F.col("made") + F.col("got") - F.col("sent"))
     shown = ["current", "target", "surplus", "deficit", "sent", "got", "made", "final"]
     lines = [f"{line}{tier}_{end}" for tier in (1, 2) for line in ("s", "d") for end in ("low", "high")]
-    return settle(planned.select(*PAIR, "city_id", "chunk", *lines, *[_quantity(F.col(c)).alias(c) for c in shown]))
+    plan = settle(planned.select(*PAIR, "city_id", "chunk", *lines, *[_quantity(F.col(c)).alias(c) for c in shown]))
+    return plan, flows
 
 
 def _pieces(ends: DataFrame, keys: Sequence[str], begin: Column) -> DataFrame:
@@ -156,18 +222,13 @@ def _pieces(ends: DataFrame, keys: Sequence[str], begin: Column) -> DataFrame:
     return cut.where("high > low")
 
 
-def _moves(plan: DataFrame, keys: Sequence[str], tier: int) -> DataFrame:
-    """The overlaps of the two lines of a tier as (from_store, to_store, product_id, qty, tier).
+def _overlaps(sides: list[DataFrame], keys: Sequence[str], tier: int) -> DataFrame:
+    """The overlaps of two lines as (from_store, to_store, product_id, qty, tier). A side has the rows (keys…,
+    chunk, store_id, own_low, own_high) of its line.
 
     First between chunks of stores, then inside each overlapping pair of chunks.
     """
     keys = list(keys)
-
-    def stretches(line: str) -> DataFrame:
-        low, high = F.col(f"{line}{tier}_low"), F.col(f"{line}{tier}_high")
-        return plan.where(high > low).select(*keys, "chunk", "store_id", low.alias("own_low"), high.alias("own_high"))
-
-    sides = [stretches("s"), stretches("d")]
     chunk_ends = [
         rows.groupBy(*keys, "chunk")
         .agg(F.max("own_high").alias("at"))
@@ -191,9 +252,26 @@ def _moves(plan: DataFrame, keys: Sequence[str], tier: int) -> DataFrame:
     )
 
 
-def moves(plan: DataFrame) -> DataFrame:
+def _stretches(plan: DataFrame, line: str, tier: int) -> DataFrame:
+    low, high = F.col(f"{line}{tier}_low"), F.col(f"{line}{tier}_high")
+    return plan.where(high > low).select("product_id", "city_id", "chunk", "store_id", low.alias("own_low"), high.alias("own_high"))
+
+
+def moves(plan: DataFrame, flows: DataFrame) -> DataFrame:
     """All transfers, unrounded: within cities first, then across them."""
-    return _moves(plan, ["product_id", "city_id"], 1).unionByName(_moves(plan, ["product_id"], 2))
+    near = _overlaps([_stretches(plan, "s", 1), _stretches(plan, "d", 1)], ["product_id", "city_id"], 1)
+    sides = []
+    for line, city in (("s", "from_city"), ("d", "to_city")):
+        # A city has few flows, so its stores meet each of them; a stretch counts from where the flow begins.
+        begin = F.col(f"{line}_at")
+        met = _stretches(plan, line, 2).join(flows.withColumn("city_id", F.col(city)), ["product_id", "city_id"])
+        met = met.where((F.col("own_low") < begin + F.col("flow")) & (F.col("own_high") > begin))
+        sides.append(met.select(
+            "product_id", "from_city", "to_city", "chunk", "store_id",
+            F.greatest(F.col("own_low") - begin, F.lit(0).cast("bigint")).alias("own_low"),
+            F.least(F.col("own_high") - begin, F.col("flow")).alias("own_high"),
+        ))
+    return near.unionByName(_overlaps(sides, ["product_id", "from_city", "to_city"], 2))
 
 
 def priced_transfers(all_moves: DataFrame, store_city: DataFrame, lanes: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def store_supply(store_city: DataFrame, city_params: DataFrame) -> DataFrame:
     return store_city.select("store_id", "city_id").join(city_params, "city_id", "left")
 
 
-def _km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
+def all_km(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray) -> np.ndarray:
     """Great-circle distance of all pairs of two lists of points, in rows and columns."""
     a, b = np.radians(lat1)[:, None], np.radians(lat2)[None, :]
     north = np.sin((b - a) / 2) ** 2
@@ -102,7 +102,7 @@ def longest_distance(cities: DataFrame, at_once: int = AT_ONCE) -> float:
         few = points.limit(at_once + 1).collect()
         if len(few) <= at_once or size < 1e-6:
             lat, lon = np.array([r["lat"] for r in few], float), np.array([r["lon"] for r in few], float)
-            rows = [_km(lat[i : i + 500], lon[i : i + 500], lat, lon).max(initial=0.0) for i in range(0, len(few), 500)]
+            rows = [all_km(lat[i : i + 500], lon[i : i + 500], lat, lon).max(initial=0.0) for i in range(0, len(few), 500)]
             return float(max(rows, default=0.0))
         cell = [F.floor(F.col(c) / size).alias(f"_{c}") for c in ("lat", "lon")]
         ends = [f(c).alias(f"{n}_{c}") for c in ("lat", "lon") for f, n in ((F.min, "low"), (F.max, "high"))]
@@ -111,12 +111,12 @@ def longest_distance(cities: DataFrame, at_once: int = AT_ONCE) -> float:
         low_lat, high_lat, low_lon, high_lon = (get(n) for n in ("low_lat", "high_lat", "low_lon", "high_lon"))
         lat, lon = (low_lat + high_lat) / 2, (low_lon + high_lon) / 2
         # The farthest corner of a box from its centre; on a sphere the edges in between are no farther.
-        radius = np.max([np.diag(_km(lat, lon, y, x)) for y in (low_lat, high_lat) for x in (low_lon, high_lon)], axis=0)
+        radius = np.max([np.diag(all_km(lat, lon, y, x)) for y in (low_lat, high_lat) for x in (low_lon, high_lon)], axis=0)
         one_lat, one_lon = np.array([r["one"]["lat"] for r in cells], float), np.array([r["one"]["lon"] for r in cells], float)
-        known = max(_km(one_lat[i : i + 500], one_lon[i : i + 500], one_lat, one_lon).max() for i in range(0, len(cells), 500))
+        known = max(all_km(one_lat[i : i + 500], one_lon[i : i + 500], one_lat, one_lon).max() for i in range(0, len(cells), 500))
         far = np.zeros(len(cells), bool)
         for i in range(0, len(cells), 500):
-            reach = _km(lat[i : i + 500], lon[i : i + 500], lat, lon) + radius[i : i + 500, None] + radius[None, :] + 1e-6
+            reach = all_km(lat[i : i + 500], lon[i : i + 500], lat, lon) + radius[i : i + 500, None] + radius[None, :] + 1e-6
             far[i : i + 500] |= (reach >= known).any(axis=1)
         kept = [(int(np.floor(y / size)), int(np.floor(x / size))) for y, x, f in zip(low_lat, low_lon, far) if f]
         chosen = points.sparkSession.createDataFrame(kept, "_lat long, _lon long")

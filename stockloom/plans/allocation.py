@@ -16,11 +16,12 @@ from stockloom.session import settle
 
 @dataclass
 class Allocation:
-    """The tables of one run. `targets`, `plan` and the priced moves are stored, the last when first asked for;
+    """The tables of one run. `targets`, `plan`, `flows` and the priced moves are stored, the last when first asked for;
     the others are computed from them on use."""
 
     targets: DataFrame
     plan: DataFrame
+    flows: DataFrame
     store_city: DataFrame
     cities: DataFrame
     longest_km: float
@@ -28,7 +29,7 @@ class Allocation:
     _priced: DataFrame | None = field(default=None, repr=False)
 
     def moves(self) -> DataFrame:
-        return al.moves(self.plan)
+        return al.moves(self.plan, self.flows)
 
     def priced(self) -> DataFrame:
         """The moves above the smallest quantity with their costs. Only lanes that occur are priced."""
@@ -84,5 +85,5 @@ def allocate(
     are read by several results too, so pass stored tables.
     """
     targets = settle(al.with_target(assembled))
-    plan = al.plan_flows(al.balances(targets, width))
-    return Allocation(targets, plan, store_city, cities, longest_km, capacity)
+    plan, flows = al.plan_flows(al.balances(targets, width), cities, longest_km)
+    return Allocation(targets, plan, flows, store_city, cities, longest_km, capacity)

@@ -1,5 +1,6 @@
 """The plan against a plain waterfall, with products stocked by most stores and tiny chunks."""
 
+import math
 import random
 from decimal import Decimal
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stockloom.functions import inventory as inv
 from stockloom.operators import allocation as al
-from stockloom.operators.lanes import _km, city_lanes, longest_distance
+from stockloom.operators.lanes import all_km, city_lanes, longest_distance
 from stockloom.operators import results as rs
 from stockloom.plans.allocation import allocate
 
@@ -38,26 +39,53 @@ def random_rows(seed):
     return rows
 
 
-def waterfall(rows):
-    """Plain version: fill deficits from surpluses in store order, in the city first, then anywhere."""
+PLACES = [(0, 40.0, -100.0, 400.0), (1, 41.0, -99.0, 500.0), (2, 30.0, -80.0, 300.0)]
+
+
+def places(spark, rows=PLACES):
+    return spark.createDataFrame(rows, "city_id int, centroid_lat double, centroid_lon double, shipping_costs_mean double")
+
+
+def planned(spark, rows, width=4096, at=PLACES, make=None):
+    t = targets(spark, rows)
+    t = t if make is None else t.withColumn("mfg_unit_cost", F.lit(make))
+    known = places(spark, at)
+    return al.plan_flows(al.balances(t, width), known, longest_distance(known))
+
+
+def unit_costs(at=PLACES):
+    """Cost of moving a unit between two cities, by the formulas."""
+    def km(a, b):
+        y1, x1, y2, x2 = (math.radians(v) for v in (a[1], a[2], b[1], b[2]))
+        h = math.sin((y2 - y1) / 2) ** 2 + math.cos(y1) * math.cos(y2) * math.sin((x2 - x1) / 2) ** 2
+        return 2 * 6371 * math.asin(math.sqrt(h))
+
+    longest = max(km(a, b) for a in at for b in at)
+    return {(a[0], b[0]): round(0.1 * (a[3] + b[3]) / 2 * (0.5 + 0.5 * km(a, b) / longest), 6) for a in at for b in at if a != b}
+
+
+def waterfall(rows, make=70.0):
+    """Plain version: fill deficits from surpluses in store order, in the city first, then over the cheapest lane
+    that is not dearer than making."""
     left = {(s, p): [Decimal(str(c)) - Decimal(str(t)), city] for s, p, city, c, t in rows}
-    out = {}
-    for tier in (1, 2):
-        for p in sorted({k[1] for k in left}):
-            for city in sorted({v[1] for v in left.values()}) if tier == 1 else [None]:
-                members = sorted(k for k in left if k[1] == p and (city is None or left[k][1] == city))
-                givers = [k for k in members if left[k][0] > 0]
-                takers = [k for k in members if left[k][0] < 0]
-                while givers and takers:
-                    a, b = givers[0], takers[0]
-                    q = min(left[a][0], -left[b][0])
-                    out[a[0], b[0], p, tier] = q
-                    left[a][0] -= q
-                    left[b][0] += q
-                    if left[a][0] == 0:
-                        givers.pop(0)
-                    if left[b][0] == 0:
-                        takers.pop(0)
+    cities, out = sorted({v[1] for v in left.values()}), {}
+    cost = unit_costs()
+    lanes = sorted((u, a, b) for (a, b), u in cost.items() if u <= make + 1)
+    steps = [(1, c, c) for c in cities] + [(2, a, b) for _, a, b in lanes]
+    for p in sorted({k[1] for k in left}):
+        for tier, a_city, b_city in steps:
+            givers = [k for k in sorted(left) if k[1] == p and left[k][1] == a_city and left[k][0] > 0]
+            takers = [k for k in sorted(left) if k[1] == p and left[k][1] == b_city and left[k][0] < 0]
+            while givers and takers:
+                a, b = givers[0], takers[0]
+                q = min(left[a][0], -left[b][0])
+                out[a[0], b[0], p, tier] = out.get((a[0], b[0], p, tier), 0) + q
+                left[a][0] -= q
+                left[b][0] += q
+                if left[a][0] == 0:
+                    givers.pop(0)
+                if left[b][0] == 0:
+                    takers.pop(0)
     return out, {k: -v[0] for k, v in left.items() if v[0] < 0}
 
 
@@ -65,26 +93,45 @@ def waterfall(rows):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_plan_equals_plain_waterfall(spark, seed, width):
     rows = random_rows(seed)
-    plan = al.plan_flows(al.balances(targets(spark, rows), width))
+    plan, flows = planned(spark, rows, width)
     moves, made = waterfall(rows)
-    got = {(r["from_store"], r["to_store"], r["product_id"], r["tier"]): r["qty"] for r in al.moves(plan).collect()}
+    got = {(r["from_store"], r["to_store"], r["product_id"], r["tier"]): r["qty"] for r in al.moves(plan, flows).collect()}
     assert got == {k: v.quantize(Q) for k, v in moves.items()}
     assert {(r["store_id"], r["product_id"]): r["made"] for r in plan.where("made > 0").collect()} == {
         k: v.quantize(Q) for k, v in made.items()
     }
-    assert al.audit(plan, al.moves(plan), capacity=1e9).count() == 0
+    assert al.audit(plan, al.moves(plan, flows), capacity=1e9).count() == 0
 
 
 def test_moved_units_are_the_most_possible(spark):
-    plan = al.plan_flows(al.balances(targets(spark, random_rows(7)), 4))
+    plan, _ = planned(spark, random_rows(7), 4)
     sums = plan.groupBy("product_id").agg(*[F.sum(c).alias(c) for c in ("surplus", "deficit", "sent", "got", "made")])
     for r in sums.collect():
         assert r["sent"] == r["got"] == min(r["surplus"], r["deficit"]) and r["made"] == r["deficit"] - r["got"]
 
 
+def test_dear_lanes_are_not_used(spark):
+    """Moving costs 200 a unit, making 50 and holding 1: nothing moves. At 300 it does."""
+    far = [(1, 0.0, 0.0, 2000.0), (2, 0.0, 90.0, 2000.0)]
+    rows = [(1, 1, 1, 60.0, 10.0), (2, 1, 2, 0.0, 50.0)]
+    plan, flows = planned(spark, rows, at=far, make=50.0)
+    assert flows.count() == 0 and al.moves(plan, flows).count() == 0
+    assert plan.agg(F.sum("made")).first()[0] == 50
+    plan, flows = planned(spark, rows, at=far, make=300.0)
+    assert [(r["from_store"], r["to_store"], float(r["qty"])) for r in al.moves(plan, flows).collect()] == [(1, 2, 50.0)]
+
+
+def test_the_cheaper_of_two_origins_is_taken(spark):
+    """Stores 1 and 2 both have the surplus; the lane from store 2 is the cheaper one."""
+    at = [(1, 0.0, 0.0, 700.0), (2, 0.0, 59.0, 20.0), (3, 0.0, 60.0, 20.0)]
+    plan, flows = planned(spark, [(1, 1, 1, 30.0, 0.0), (2, 1, 2, 30.0, 0.0), (3, 1, 3, 0.0, 40.0)], at=at)
+    got = {(r["from_store"], r["to_store"]): float(r["qty"]) for r in al.moves(plan, flows).collect()}
+    assert got == {(2, 3): 30.0, (1, 3): 10.0}
+
+
 def test_audit_finds_each_broken_rule(spark):
-    plan = al.plan_flows(al.balances(targets(spark, [(1, 1, 1, 10.0, 2.0), (2, 1, 1, 0.0, 5.0), (3, 1, 1, 0.0, 9.0)]), 4))
-    moves = al.moves(plan)
+    plan, flows = planned(spark, [(1, 1, 1, 10.0, 2.0), (2, 1, 1, 0.0, 5.0), (3, 1, 1, 0.0, 9.0)], 4)
+    moves = al.moves(plan, flows)
     assert al.audit(plan, moves).count() == 0
     assert {r["rule"] for r in al.audit(plan, moves.withColumn("qty", F.col("qty") * 4)).collect()} == {"balance", "transfer_limit"}
     low = plan.withColumn("final", F.lit(0).cast(al.QUANTITY))
@@ -93,7 +140,7 @@ def test_audit_finds_each_broken_rule(spark):
 
 
 def test_capacity_overflow_in_product_order(spark):
-    plan = al.plan_flows(al.balances(targets(spark, [(1, p, 1, 0.0, 4.0) for p in range(5)]), 2))
+    plan, _ = planned(spark, [(1, p, 1, 0.0, 4.0) for p in range(5)], 2)
     got = [(r["product_id"], float(r["overflow"])) for r in al.capacity_overflow(plan, capacity=10.0, width=2).orderBy("product_id").collect()]
     assert got == [(2, 2.0), (3, 4.0), (4, 4.0)]
 
@@ -101,7 +148,7 @@ def test_capacity_overflow_in_product_order(spark):
 def test_smallest_quantity_is_left_out(spark):
     rows = [(1, 1, 1, 0.0, 0.01), (1, 2, 1, 0.0, 0.011)]
     t = targets(spark, rows)
-    plan = al.plan_flows(al.balances(t))
+    plan, _ = planned(spark, rows)
     assert [r["product_id"] for r in al.production(plan, t).collect()] == [2]
 
 
@@ -163,7 +210,7 @@ def test_longest_distance_without_all_pairs(spark, n, at_once):
     pick = np.random.default_rng(n)
     lat, lon = pick.normal(40, 5, n), pick.normal(-100, 15, n)
     cities = spark.createDataFrame(list(zip(lat.tolist(), lon.tolist())), "centroid_lat double, centroid_lon double")
-    want = max(_km(lat[i : i + 500], lon[i : i + 500], lat, lon).max() for i in range(0, n, 500))
+    want = max(all_km(lat[i : i + 500], lon[i : i + 500], lat, lon).max() for i in range(0, n, 500))
     assert longest_distance(cities, at_once) == pytest.approx(want, abs=1e-6)
 
 
