@@ -30,8 +30,8 @@ every bit has probability 1/2. An empty table gives no rows. Texts are read whol
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,8 @@ from stockloom.llm.common import ascii_lower, partitions, stored, words_of
 DEPTH = 5
 END = b"\n"
 HELD_OUT = 10
+#: Runs per partition: a task holds the words and grams of one run at a time.
+RUNS_PER_PARTITION = 2
 #: Bytes whose grams are sorted at a time.
 STRETCH = 1 << 20
 WORDS = ["words", "word_counts"]
@@ -183,10 +185,10 @@ def _stretches(table: pa.Table) -> Iterator[list[tuple[int, bool, list[bytes]]]]
         yield part
 
 
-def _run_words(counts: Counter, buckets: int) -> dict[int, list[bytes]]:
-    """The words of a run by bucket, in order."""
+def _run_words(words: Iterable[bytes], buckets: int) -> dict[int, list[bytes]]:
+    """The different words of a run by bucket, in order."""
     by_bucket: dict[int, list[bytes]] = {}
-    for word in counts:
+    for word in words:
         by_bucket.setdefault(_bucket_of_word(word, buckets), []).append(word)
     for words in by_bucket.values():
         words.sort()
@@ -194,7 +196,11 @@ def _run_words(counts: Counter, buckets: int) -> dict[int, list[bytes]]:
 
 
 def _grams_of_run(parts: list[np.ndarray]) -> np.ndarray:
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    """All different grams of the parts, in order."""
+    if not parts:
+        return np.zeros(0, np.uint64)
+    every = np.sort(np.concatenate(parts))
+    return every[np.concatenate(([True], every[1:] != every[:-1]))]
 
 
 def _collect(depth: int, buckets: int):
@@ -314,7 +320,7 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", depth: int =
         raise ValueError("depth must be 2 to 7")
     spark = docs.sparkSession
     buckets = partitions(spark)
-    rows = exchange.dealt(docs, id, text, buckets)
+    rows = exchange.dealt(docs, id, text, RUNS_PER_PARTITION * buckets)
     asked = stored(exchange.ask(rows, _collect(depth, buckets), WORDS + GRAMS), "counts")
     upper = spark.sparkContext.broadcast(_upper_levels(_roots(asked, depth).collect()))  # at most 65,280 rows
 
@@ -336,39 +342,40 @@ def score(docs: DataFrame, id: str = "doc_id", text: str = "text", depth: int =
 
     back = ["known", "logs", "totals"]
     answers = stored(exchange.answer(asked, settle, WORDS + GRAMS, back), "answers")
-    numbers = answers.select("bucket", "totals").groupBy("bucket").agg(F.first("totals").alias("totals")).collect()
-    pairs = [np.frombuffer(r["totals"], np.int64) for r in numbers]  # one pair per bucket
+    sums = answers.select("bucket", "totals").groupBy("bucket").agg(F.first("totals").alias("totals")).collect()
+    pairs = [np.frombuffer(r["totals"], np.int64) for r in sums]  # one pair per bucket
     train_tokens, vocabulary = (int(sum(p[i] for p in pairs)) for i in (0, 1))
     floor = float(np.log10(train_tokens + 0.1 * (vocabulary + 1)))
 
     def use(table: pa.Table, replies: dict[int, exchange.Arrays]) -> pa.Table:
         columns: dict[str, list] = {c: [None] * table.num_rows for c in ("held", "n_tokens", "n_known", "base", "score", "n_bytes")}
-        words, parts = Counter(), []
+        numbers: defaultdict[bytes, int] = defaultdict()
+        numbers.default_factory = numbers.__len__  # each new word gets the next number
+        end, parts = numbers[END], []
         for part in _stretches(table):
-            for _, _, ws in part:
-                words.update(ws)
-                words[END] += 1
-            parts.append(np.unique(np.concatenate([grams_of(encoded(ws), depth) for _, _, ws in part])))
-        known: dict[bytes, int] = {}
-        for b, listed in _run_words(words, buckets).items():
-            known.update(zip(listed, np.frombuffer(replies[b]["known"], np.int64).tolist()))
-        every = _grams_of_run(parts)
+            data = [encoded(ws) for _, _, ws in part]
+            values, where = np.unique(np.concatenate([grams_of(d, depth) for d in data]), return_inverse=True)
+            tokens = [np.fromiter(map(numbers.__getitem__, ws), np.int32, len(ws)) for _, _, ws in part]
+            rows = [(i, held, len(d)) for (i, held, _), d in zip(part, data)]
+            parts.append((rows, tokens, values, where.astype(np.int32)))
+        known = np.zeros(len(numbers))
+        for b, listed in _run_words(numbers, buckets).items():
+            known[[numbers[w] for w in listed]] = np.frombuffer(replies[b]["known"], np.int64)
+        every = _grams_of_run([values for _, _, values, _ in parts])
         place = _bucket_of_gram(every, depth, buckets)
         logs = np.empty(len(every))
         for b in np.unique(place).tolist():
             logs[place == b] = np.frombuffer(replies[b]["logs"], float)
-        for part in _stretches(table):
-            data = [encoded(ws) for _, _, ws in part]
-            values, where = np.unique(np.concatenate([grams_of(d, depth) for d in data]), return_inverse=True)
+        base = np.log10(known + 0.1)
+        for rows, tokens, values, where in parts:
             each = logs[np.searchsorted(every, values)][where]
-            starts = np.cumsum([0, *map(len, data)])
-            for (i, held, ws), d, s, e in zip(part, data, starts[:-1], starts[1:]):
-                counts = np.fromiter(map(known.__getitem__, ws), float, len(ws))
-                counts = np.append(counts, known[END])
-                columns["held"][i], columns["n_tokens"][i], columns["n_bytes"][i] = held, len(counts), len(d)
-                columns["n_known"][i] = int((counts > 0).sum())
-                columns["base"][i] = float(np.log10(counts + 0.1).sum() - len(counts) * floor)
-                columns["score"][i] = float(each[s:e].sum())
+            start = 0
+            for (i, held, size), ids in zip(rows, tokens):
+                columns["held"][i], columns["n_tokens"][i], columns["n_bytes"][i] = held, len(ids) + 1, size
+                columns["n_known"][i] = int((known[ids] > 0).sum() + (known[end] > 0))
+                columns["base"][i] = float(base[ids].sum() + base[end] - (len(ids) + 1) * floor)
+                columns["score"][i] = float(each[start : start + size].sum())
+                start += size
         bits = [-s / np.log10(2) / n for s, n in zip(columns["score"], columns["n_bytes"])]
         return pa.table({
             "id": table["id"], "held_out": pa.array(columns["held"], pa.bool_()),

@@ -76,7 +76,9 @@ def resolve(rows: DataFrame, answers: DataFrame, use: Callable[[pa.Table, dict[i
     def run(table: pa.Table, replies: pa.Table) -> pa.Table:
         lists = [replies[c].to_pylist() for c in back]
         by_bucket = {b: dict(zip(back, row)) for b, row in zip(replies["reply_bucket"].to_pylist(), zip(*lists))}
-        return use(table, by_bucket)
+        out = use(table, by_bucket)
+        pa.default_memory_pool().release_unused()
+        return out
 
     named = answers.select(F.col("run").alias("reply_run"), F.col("bucket").alias("reply_bucket"), *back)
     ship(rows.sparkSession)
@@ -92,6 +94,7 @@ def _as_iterator(run: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> Callabl
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(pa.Table.from_batches(list(batches)))
+        pa.default_memory_pool().release_unused()  # a worker goes on to the next group with what it needs
 
     # Spark picks the streaming form by the annotations.
     over.__annotations__ = {"batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
