@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom.llm.common import col, ship, stored
@@ -188,11 +188,10 @@ def _cells(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
 
 
 def _best(rows: DataFrame, k: int) -> DataFrame:
-    """The k best rows per query, combined before they are shuffled."""
-    ranked = F.struct((-F.col("score").cast("decimal(20,0)")).alias("minus"), F.col("vec_id"))
-    return rows.groupBy("query_id").agg(F.sort_array(F.collect_list(ranked)).alias("all")).select(
-        "query_id", F.posexplode(F.slice("all", 1, k)).alias("place", "one")
-    ).select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("one.vec_id").alias("vec_id"), (-F.col("one.minus")).cast("long").alias("score"))
+    """The k best rows per query. Spark keeps k per query and task before it shuffles them."""
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = rows.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
