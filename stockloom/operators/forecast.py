@@ -35,7 +35,7 @@ def _vectors(rows: DataFrame) -> DataFrame:
 #: Rows the forest is trained on, at most: a bounded sample of the training parts, drawn by a hash of series
 #: and day. The trees are held by the driver, so their size must not grow with the data; everything else
 #: (features, hold-out errors, forecasts) covers all rows.
-TRAINING_ROWS = 50_000
+TRAINING_ROWS = 10_000
 
 
 def training_sample(features: DataFrame, most: int = TRAINING_ROWS, keys: Sequence[str] = SERIES) -> DataFrame:
