@@ -49,13 +49,11 @@ def replication_rates(sizes: DataFrame, weights: DataFrame, epochs: float = 1.0)
     """Rows (`source`, `rate`): the mean number of copies of a document of the source."""
     asked = weights.filter("weight > 0").groupBy("source").agg(F.sum("weight").alias("weight"))
     both = sizes.alias("s").join(asked.alias("w"), F.col("s.source").eqNullSafe(F.col("w.source")))
-    total = sizes.agg(F.sum("size").alias("all_size"))
     shares = both.select("s.source", "size", "weight")
-    weight = shares.agg(F.sum("weight").alias("all_weight"))
-    return (
-        shares.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(weight))  # one row each
-        .select("source", (F.lit(epochs) * F.col("all_size") * F.col("weight") / F.col("all_weight") / F.col("size")).alias("rate"))
-    )
+    all_size = sizes.agg(F.sum("size")).first()[0]
+    all_weight = shares.agg(F.sum("weight")).first()[0]
+    scale = epochs * (all_size or 0) / (all_weight or 1.0)
+    return shares.select("source", (F.lit(float(scale)) * F.col("weight") / F.col("size")).alias("rate"))
 
 
 def _with_inverse(rates: DataFrame) -> DataFrame:

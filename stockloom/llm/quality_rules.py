@@ -148,13 +148,17 @@ def ablations(rows: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> DataF
     """Per policy and rule of it: documents that fail the rule, that the policy rejects, and that only this
     rule rejects, i.e. would return without it. Rows are first counted per bit pattern, of which there are
     at most 2 to the number of rules."""
-    spark = rows.sparkSession
     patterns = rows.groupBy("fail_bits").agg(F.count(F.lit(1)).alias("n"))
-    cases = [(p.version, r.name, p.mask, 1 << r.bit) for p in policies for r in RULES if r.name in p.rules]
-    asked = spark.createDataFrame(cases, "policy string, rule string, mask long, bit long")
+    asked = F.array(*[
+        F.struct(
+            F.lit(p.version).alias("policy"), F.lit(r.name).alias("rule"), F.lit(p.mask).cast("long").alias("mask"),
+            F.lit(1 << r.bit).cast("long").alias("bit"),
+        )
+        for p in policies for r in RULES if r.name in p.rules
+    ])
     failed = F.col("fail_bits").bitwiseAND(F.col("mask"))
     return (
-        patterns.join(F.broadcast(asked), F.lit(True), "cross")  # a handful of (policy, rule) rows
+        patterns.select("fail_bits", "n", F.explode(asked).alias("_asked")).select("fail_bits", "n", "_asked.*")
         .groupBy("policy", "rule")
         .agg(
             F.sum(F.when(F.col("fail_bits").bitwiseAND(F.col("bit")) != 0, F.col("n")).otherwise(0)).alias("n_failed"),

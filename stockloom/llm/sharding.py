@@ -58,14 +58,14 @@ def shard(
     counts = drawn.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("bucket", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))  # one row per bucket
-    total = drawn.agg(F.count(F.lit(1)).alias("total"))
-    placed = drawn.join(F.broadcast(before), "bucket").crossJoin(F.broadcast(total))
+    total = max(1, drawn.count())
+    placed = drawn.join(F.broadcast(before), "bucket")
     at = F.col("before") + F.col("place")
     # Shard s holds the places from ceil(s * total / shards) on.
-    first = F.expr(f"(shard * total + {shards - 1}) div {shards}")
+    first = F.expr(f"(shard * {total} + {shards - 1}) div {shards}")
     own = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
     return (
-        placed.select("row", "total", at.alias("at")).withColumn("shard", F.expr(f"at * {shards} div total"))
+        placed.select("row", at.alias("at")).withColumn("shard", F.expr(f"at * {shards} div {total}"))
         .withColumn("slot", (F.col("at") - first).cast("long"))
         .select(*[F.col("row").getField(c).alias(c) for c in own], F.col("shard").cast("int").alias("shard"), "slot")
     )
