@@ -87,7 +87,7 @@ def manufacturing_documents(spark, folder):
     )
 
 
-@query("s03_scenario_document", TO_COSTS.rstrip() + "," + COSTS + """ SELECT 'weekly_plan' AS scenario, round(total_cost, 1) AS total_cost,
+@query("s03_scenario_document", TO_COSTS.rstrip() + "," + COSTS + """ SELECT 'weekly_plan' AS scenario, round_even(total_cost, 2) AS total_cost,
     total_transfers FROM costs""")
 def scenario_document(spark, folder):
     """The scenario record and the run summary as documents of one row, written and read again."""
@@ -97,18 +97,19 @@ def scenario_document(spark, folder):
     named = tables.read_scenario(spark, f"{path}/scenario").select("scenario")
     summary = spark.read.json(f"{path}/summary")
     return named.join(summary, "scenario").select(
-        "scenario", F.round("optimized.total_cost", 1).alias("total_cost"), F.col("optimized.total_transfers").alias("total_transfers")
+        "scenario", F.col("optimized.total_cost").alias("total_cost"), F.col("optimized.total_transfers").alias("total_transfers")
     )
 
 
-@query("s09_run_summary", TO_COSTS.rstrip() + "," + COSTS + """ SELECT 'weekly_plan' AS scenario, round(total_cost, 1) AS total_cost, total_transfers,
+@query("s09_run_summary", TO_COSTS.rstrip() + "," + COSTS + """ SELECT 'weekly_plan' AS scenario, round_even(total_cost, 2) AS total_cost, total_transfers,
     round_even(manufacturing_units, 1) AS manufacturing_units, round_even(transfer_units, 1) AS transfer_units,
-    round(manufacturing_cost, 1) AS manufacturing_cost, round(transfer_cost, 1) AS transfer_cost, round(holding_cost, 1) AS holding_cost FROM costs""")
+    round_even(manufacturing_cost, 2) AS manufacturing_cost, round_even(transfer_cost, 2) AS transfer_cost, round_even(holding_cost, 2) AS holding_cost
+    FROM costs""")
 def run_summary(spark, folder):
     made = run(spark, folder).summary(SCENARIO)
     return made.select(
-        "scenario", F.round("optimized.total_cost", 1).alias("total_cost"), "optimized.total_transfers", "optimized.manufacturing_units",
-        "optimized.transfer_units", *[F.round(f"cost_breakdown.{p}_cost", 1).alias(f"{p}_cost") for p in ("manufacturing", "transfer", "holding")]
+        "scenario", "optimized.total_cost", "optimized.total_transfers", "optimized.manufacturing_units", "optimized.transfer_units",
+        *[f"cost_breakdown.{p}_cost" for p in ("manufacturing", "transfer", "holding")],
     )
 
 
