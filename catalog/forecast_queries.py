@@ -10,6 +10,7 @@ from stockloom.operators import demand as dm
 from stockloom.operators import forecast as fc
 from stockloom.operators import series
 from stockloom.plans.forecasting import forecast_demand
+from stockloom.session import settle
 from stockloom.sources import domain_views as views
 
 # The last seven selling days of every series, repeated.
@@ -95,11 +96,14 @@ def forecast(spark, folder):
 
 
 @query("m05_forecast_metrics", ALL + """SELECT store_id, product_id, count(*) FILTER (is_train) AS n_train, count(*) FILTER (NOT is_train) AS n_test,
-    true AS consistent FROM features GROUP BY 1, 2""")
+    true AS consistent, true AS beats_mean FROM features GROUP BY 1, 2""")
 def forecast_metrics(spark, folder):
     """Errors of every series on its own last fifth; `consistent`: they are errors of values in the range of the
-    demands, the squared one not below the absolute one."""
+    demands, the squared one not below the absolute one. `beats_mean`: over all series together, the forest's
+    squared error is below that of predicting each series' training mean."""
     made = full_forecast(spark, folder)
+    metrics = settle(made.metrics)
     top = made.features.agg(F.max("demand").alias("most"))
     consistent = (F.col("MAE") >= 0) & (F.col("RMSE") >= F.col("MAE") - 1e-9) & (F.col("RMSE") <= F.col("most"))
-    return made.metrics.join(F.broadcast(top)).select(*dm.SERIES, "n_train", "n_test", consistent.alias("consistent"))
+    rows = metrics.join(F.broadcast(top)).select(*dm.SERIES, "n_train", "n_test", consistent.alias("consistent"))
+    return rows.join(F.broadcast(fc.beats_mean(made.features, metrics)))
