@@ -18,8 +18,10 @@ takes the place of an input column of that name.
 
 from __future__ import annotations
 
+import hashlib
+import unicodedata
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -37,19 +39,34 @@ IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})
 ADDRESS = r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
 SOCIAL = r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\d-])"
 CARD = r"(?<![\p{N}+.])\d(?:[ -]?\d){12,18}(?!\d)"
-PHONE = r"\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]\d{1,4}|\d{2,4}){2,5}(?!\d)|(?<![\p{N}+.-])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)"
+PHONE = (
+    r"\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]\d{1,4}|\d{2,4}){2,5}(?!\d)"
+    r"|(?<![\p{N}+])(?<![\p{N}+][.-])(?:1[ .-]|1(?=\())?(?:\(?\d{3}\)?[ .-]|\(\d{3}\))\d{3}[ .-]\d{4}(?!\d)"
+)
 TITLE_HE = r"Mr|Herr|Monsieur|Señor|Sr|Signor|господин|г-н"
 TITLE_SHE = r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Signora|госпожа|г-жа"
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{TITLE_HE}|{TITLE_SHE})\.?\s\p{{Lu}}\p{{Ll}}+(?:\s\p{{Lu}}\p{{Ll}}+)?"
+TITLE_ANY = r"Dr|Doctor|Prof|Professor"
+TITLES = rf"(?:(?:{TITLE_HE}|{TITLE_SHE}|{TITLE_ANY})\.?\s)"
+# A word of a name: capitals inside it, parts joined by apostrophes or hyphens (a possessive s is none), a short
+# beginning in lower case (d', al-). Initials and particles stand before a word.
+JOINT, LETTERS = r"['’ʼ‐‑-]", r"[\p{L}\p{M}]"
+JOINED = rf"(?:{JOINT}(?!(?i:s)(?!{LETTERS}))\p{{L}}{LETTERS}*+)"
+WORD = rf"(?:\p{{Ll}}{{1,3}}{JOINT})?\p{{Lu}}(?:{LETTERS}++{JOINED}*+|{JOINED}++)"
+INITIAL = rf"(?:\p{{Lu}}\.(?:{JOINT}(?=\p{{Lu}}\.)|\s)?|\p{{Lu}}\s)"
+PARTICLE = r"(?:(?:van|von|vom|zu|zum|zur|der|den|dem|ter|ten|de|del|della|di|da|do|dos|das|du|des|la|las|le|los|el|al|bin|ibn|ben|bint|abu|af|av|y|e)\s)"
+WORDS = rf"(?:{INITIAL}|{PARTICLE})*+{WORD}"
+NAME = rf"(?<![\p{{L}}\p{{N}}]){TITLES}++(?:{WORDS}(?:\s{WORDS})*+|\p{{Lu}}(?:\.\s?\p{{Lu}}(?!{LETTERS}))*+(?!{LETTERS}))"
+# What of a name is replaced: each capitalised or joined piece.
+PIECE = rf"(?:\p{{Lu}}|(?<={LETTERS}{JOINT})\p{{L}}){LETTERS}*+"
 # A text with none of these signs has no entity; most texts need no more than this look.
 SIGNS = r"[@0-9=:]|AKIA|ASIA"
 # Beginnings of the titles.
-TITLE_SIGNS = ("Mr", "Ms", "Miss", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Sr", "Signor", "госп", "г-")
+TITLE_SIGNS = ("Mr", "Ms", "Miss", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Sr", "Signor", "госп", "г-", "Dr", "Doctor", "Prof")
 # Syllables of made-up names, per script.
 LATIN = "ba be bi bo da de di do fa fe ga ge ka ke ki ko la le li lo ma me mi mo na ne no ra re ri ro sa se ta te to va ve vi za".split()
 CYRILLIC = "ба бе бо ва ве ви да де ди до жа за зе ка ки ко ла ле ли ло ма ме ми мо на не но па по ра ре ро са се та те то фа фе".split()
 GREEK = "βα βε βο γα γε δα δε δι θα θε κα κε κι κο λα λε λι λο μα με μι μο να νε νο πα πε πο ρα ρε ρο σα σε τα τε το φα φι χα".split()
-NAME_END = {"he": {"latin": "n", "cyrillic": "н", "greek": "ς"}, "she": {"latin": "a", "cyrillic": "я", "greek": "α"}, "family": {"latin": "r", "cyrillic": "в", "greek": "ου"}}
+NAME_END = {"he": {"latin": "n", "cyrillic": "н", "greek": "ς"}, "she": {"latin": "a", "cyrillic": "я", "greek": "α"}, "any": {"latin": "l", "cyrillic": "й", "greek": "ω"}, "family": {"latin": "r", "cyrillic": "в", "greek": "ου"}}
 
 
 @dataclass(frozen=True)
@@ -91,19 +108,20 @@ def _script(word: Column) -> Column:
 def _parts(found: Column) -> Column:
     """What is to be replaced in a matched string: pieces (text before, type, value).
 
-    The name of a secret, the title of a person and the separators of names stay."""
+    The name of a secret, the titles of a person, particles and the separators of names stay."""
     kind = _kind(found)
     label = F.regexp_extract(found, "^" + SECRET_NAME, 0)
-    title = F.regexp_extract(found, rf"^(?:{TITLE_HE}|{TITLE_SHE})\.?\s", 0)
-    he = F.regexp_like(found, F.lit(rf"^(?:{TITLE_HE})\.?\s"))
+    title = F.regexp_extract(found, rf"^{TITLES}+", 0)
+    he, she = (F.regexp_like(title, F.lit(rf"(?:^|\s)(?:{t})\.?\s")) for t in (TITLE_HE, TITLE_SHE))
     names = F.substring(found, F.length(title) + 1, F.length(found))
-    given, gap = F.regexp_extract(names, r"^(\S+)\s\S+$", 1), F.regexp_extract(names, r"^\S+(\s)\S+$", 1)
-    family = F.regexp_extract(names, r"(\S+)$", 1)
-    given_kind = F.concat(F.when(he, "he:").otherwise("she:"), _script(given))
-    family_kind = F.concat(F.lit("family:"), _script(family))
-    person = F.when(
-        given == "", F.array(_part(title, family_kind, family))
-    ).otherwise(F.array(_part(title, given_kind, given), _part(gap, family_kind, family)))
+    pieces, gaps = F.regexp_extract_all(names, F.lit(PIECE), F.lit(0)), F.split(names, PIECE, -1)
+    # The pieces of the last word are the family's.
+    own = F.size(pieces) - F.size(F.regexp_extract_all(F.regexp_extract(names, r"(\S+)$", 1), F.lit(PIECE), F.lit(0)))
+    role = lambda i: F.when(i >= own, "family:").when(she, "she:").when(he, "he:").otherwise("any:")
+    person = F.transform(pieces, lambda x, i: _part(
+        F.concat(F.when(i == 0, title).otherwise(""), F.get(gaps, i)),
+        F.when(F.length(x) == 1, "initial").otherwise(F.concat(role(i), _script(x))), x,
+    ))
     return (
         F.when(kind == "secret", F.array(_part(label, kind, F.substring(found, F.length(label) + 1, F.length(found)))))
         .when(kind == "name", person)
@@ -229,6 +247,21 @@ def _draw(key: str) -> Column:
     return out.otherwise(F.concat(_same_class(value, hexadecimal), more))
 
 
+@cache
+def _initials(key: str) -> tuple[str, str]:
+    """Capitals and what stands for each: the next one of its alphabet in a keyed order, so never itself and no
+    other's. An initial has too few values for one that occurs nowhere in the input."""
+    alphabets: dict[str, list[str]] = {}
+    for c in filter(str.isupper, map(chr, range(0x20000))):
+        if unicodedata.category(c) == "Lu":
+            alphabets.setdefault("ascii" if c.isascii() else unicodedata.name(c).split(" ")[0], []).append(c)
+    of, to = [], []
+    for letters in alphabets.values():
+        order = sorted(letters, key=lambda c: hashlib.sha256(f"{key}|initial|{c}".encode()).digest())
+        of, to = of + order, to + order[1:] + order[:1]
+    return "".join(of), "".join(to)
+
+
 def _stream(key: str) -> Column:
     """Hex digits of keyed hashes of the entity and the draw, two for each character it may need."""
     blocks = F.sequence(F.lit(0), F.floor((F.length("value") + 8) / 32).cast("int") + 1)
@@ -284,7 +317,7 @@ def _in_format(kind: Column, value: Column, surrogate: Column) -> Column:
     return (
         F.when(kind.isin(*DIGIT_KINDS, "iban"), spaced)
         .when(kind == "email", mailed)
-        .when(kind.contains(":"), F.initcap(surrogate))
+        .when(kind.contains(":"), like(F.upper(surrogate), value).when(_has_capital(value), F.initcap(surrogate)).otherwise(surrogate))
         .otherwise(surrogate)
     )
 
@@ -304,15 +337,17 @@ def replace_entities(docs: DataFrame, key: str = "key of this data set", text: s
 
     each = marked.select("at", F.explode(F.array_distinct(F.flatten("parts"))).alias("p"))
     each = each.select("at", F.col("p.kind").alias("kind"), _canonical(F.col("p.kind"), F.col("p.value")).alias("value"))
-    each = stored(each.distinct(), "occurrences")
+    each = stored(each.filter("kind != 'initial'").distinct(), "occurrences")
     table = surrogates(each.select("kind", "value"), key)
     entry = F.struct(F.concat_ws("|", "kind", "value"), F.col("surrogate"))
     maps = each.join(table, ["kind", "value"]).groupBy("at").agg(F.map_from_entries(F.collect_list(entry)).alias("named"))
-    met = marked.join(maps, "at")
+    met = marked.join(maps, "at", "left")  # a text may have initials only
+    letters = _initials(key)
 
     def written(p: Column) -> Column:
         new = F.element_at(F.col("named"), F.concat_ws("|", p["kind"], _canonical(p["kind"], p["value"])))
-        return F.concat(p["before"], _in_format(p["kind"], p["value"], new))
+        spelled = F.when(p["kind"] == "initial", F.translate(p["value"], *letters)).otherwise(_in_format(p["kind"], p["value"], new))
+        return F.concat(p["before"], spelled)
 
     replaced = F.transform("parts", lambda ps: F.array_join(F.transform(ps, written), ""))
     between = F.split(body, ANY, -1)  # the text around the matches, one piece more than there are matches
