@@ -81,9 +81,9 @@ KINDS = (
     Kind("social", SOCIAL), Kind("phone", PHONE), Kind("card", CARD), Kind("name", NAME),
 )
 ANY = "|".join(f"(?:{k.pattern})" for k in KINDS)
-#: After this many draws the format is let go a little, since a short format may have too few values.
+#: After this many draws the format is let go a little, since a short format may have too few values; from then on
+#: values get one character longer with every draw, so that there are enough in the end, however many entities.
 STRICT_DRAWS = 6
-MOST_DRAWS = 64
 
 
 def _kind(found: Column) -> Column:
@@ -188,6 +188,12 @@ def _remainder_97(account: Column) -> Column:
     )
 
 
+def _longer(value: Column, extra: Column) -> Column:
+    """`extra` further digits from the stream, behind the bytes that `value` uses."""
+    more = F.transform(F.sequence(F.lit(1), F.greatest(extra, F.lit(1))), lambda i: _pick("0123456789", F.length(value) + i))
+    return F.when(extra < 1, F.lit("")).otherwise(F.array_join(more, ""))
+
+
 def _digits(value: Column) -> Column:
     """Other digits; the first one keeps its place in 1-9, so that no number starts with a zero it did not have."""
     return F.array_join(F.transform(
@@ -215,10 +221,11 @@ def _draw(key: str) -> Column:
     kind, value, draw = F.col("kind"), F.col("value"), F.col("draw")
     strict = draw < STRICT_DRAWS
     # Past the strict draws, characters are added where the type allows any length.
-    more = F.when(strict, F.lit("")).otherwise(F.substring(F.col("__stream"), F.lit(-8), F.lit(8)))
-    country = F.when(kind == "phone", F.lit(1)).otherwise(F.lit(0))
-    digits = F.concat(F.substring(value, F.lit(1), country), _digits(F.substring(value, country + 1, F.length(value))))
-    card = F.concat(F.substring(value, 1, 1), F.substring(_digits(value), F.lit(2), F.length(value) - 2))
+    past = draw - STRICT_DRAWS
+    more = F.when(strict, F.lit("")).otherwise(F.substring(F.col("__stream"), F.lit(-8) - past, F.lit(8) + past))
+    country = F.when((kind == "phone") & strict, F.lit(1)).otherwise(F.lit(0))
+    digits = F.concat(F.substring(value, F.lit(1), country), _digits(F.substring(value, country + 1, F.length(value))), _longer(value, past))
+    card = F.concat(F.substring(value, 1, 1), F.substring(_digits(value), F.lit(2), F.length(value) - 2), _longer(value, past))
     check = F.pmod(F.lit(10) - _luhn(F.concat(card, F.lit("0"))), F.lit(10))
     # An invalid number stays invalid: any other last digit.
     last = F.when(_luhn(value) == 0, check).otherwise(F.pmod(check + 1 + F.pmod(_hash_byte(F.lit(31)), F.lit(9)), F.lit(10)))
@@ -226,6 +233,7 @@ def _draw(key: str) -> Column:
     top = F.when(F.substring_index(domain, ".", -1).isin("com", "net", "org"), F.substring_index(domain, ".", -1)).otherwise("com")
     label = F.substring(F.translate(F.sha2(F.concat(F.lit(f"{key}|domain|"), domain), 256), "0123456789", "ghijkmnpqr"), F.lit(1), F.lit(8))
     octets = F.array_join(F.transform(F.split(value, r"\."), lambda o, i: _octet(o, i, strict)), ".")
+    octets = F.concat(octets, _longer(value, past - STRICT_DRAWS))
     hexadecimal = value.rlike("^[0-9a-f]+$")
     body = F.concat(_same_class(F.substring(value, F.lit(5), F.length(value))), F.upper(more))
     rest = lambda v: F.concat(F.substring(v, F.lit(5), F.length(v)), F.substring(v, 1, 4))
@@ -238,11 +246,11 @@ def _draw(key: str) -> Column:
         .when(kind == "email", F.concat(_same_class(local), more, F.lit("@"), label, F.lit(".example."), top))
         .when(kind == "address", octets)
         .when(kind == "iban", F.concat(F.substring(value, 1, 2), iban_check, body))
-        .when(kind == "key_id", F.concat(F.substring(value, 1, 4), _same_class(F.substring(value, F.lit(5), F.length(value)))))
+        .when(kind == "key_id", F.concat(F.substring(value, 1, 4), _same_class(F.substring(value, F.lit(5), F.length(value))), F.upper(more)))
     )
     for script, table in (("latin", LATIN), ("cyrillic", CYRILLIC), ("greek", GREEK)):
         for part, ends in NAME_END.items():
-            n = F.lit(3) + F.when(strict, F.lit(0)).otherwise(F.lit(3))
+            n = F.lit(3) + F.when(strict, F.lit(0)).otherwise(F.lit(3) + past)
             out = out.when(kind == f"{part}:{script}", F.concat(_syllables(table, n), F.lit(ends[script])))
     return out.otherwise(F.concat(_same_class(value, hexadecimal), more))
 
@@ -264,7 +272,7 @@ def _initials(key: str) -> tuple[str, str]:
 
 def _stream(key: str) -> Column:
     """Hex digits of keyed hashes of the entity and the draw, two for each character it may need."""
-    blocks = F.sequence(F.lit(0), F.floor((F.length("value") + 8) / 32).cast("int") + 1)
+    blocks = F.sequence(F.lit(0), F.floor((F.length("value") + 8 + F.col("draw")) / 32).cast("int") + 1)
     return F.array_join(F.transform(blocks, lambda b: F.sha2(F.concat_ws("|", F.lit(key), "kind", F.col("draw").cast("string"), b.cast("string"), "value"), 256)), "")
 
 
@@ -291,8 +299,6 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         if pending.isEmpty():
             return done
         draw += 1
-        if draw == MOST_DRAWS:
-            raise ValueError("a type has more entities than its format has values")
 
 
 def _has_capital(value: Column) -> Column:

@@ -155,3 +155,22 @@ def test_names_that_begin_alike_differ_and_a_possessive_is_the_same_name(spark):
     assert one != two and got[1][0] == one + "'s farm"
     a, b = got[2][0].split(" and ")
     assert a != b and a.split()[2] == b.split()[2]
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("phone", [str(n) for n in range(100, 165)]), ("phone", [str(n) for n in range(1000)]), ("social", [str(n) for n in range(1000)]),
+])
+def test_more_short_numbers_than_their_format_has_values(spark, kind, values):
+    values = [v.zfill(3) for v in values]
+    rows = pii.surrogates(spark.createDataFrame([(kind, v) for v in values], "kind string, value string"), "k").collect()
+    drawn = [r["surrogate"] for r in rows]
+    assert {r["value"] for r in rows} == set(values) and all(d.isdigit() for d in drawn)
+    assert len(set(drawn)) == len(values) and not set(drawn) & set(values)
+
+
+def test_texts_with_many_short_phones(spark):
+    phones = [f"+1 {a} {b}" for a in range(8) for b in range(10)]
+    got = replaced(spark, [f"score {p}, end" for p in phones])
+    inside = [re.fullmatch(r"score \+([\d ]+), end", got[i][0])[1] for i in range(len(phones))]
+    assert len({x.replace(" ", "") for x in inside}) == len(phones)
+    assert not {x.replace(" ", "") for x in inside} & {p[1:].replace(" ", "") for p in phones}
