@@ -97,13 +97,14 @@ def longest_distance(cities: DataFrame, at_once: int = AT_ONCE) -> float:
     the driver sees one row per cell that is left, and at most `at_once` cities in the end.
     """
     points = settle(cities.select(F.col("centroid_lat").alias("lat"), F.col("centroid_lon").alias("lon")).dropna().distinct())
-    size = 8.0
+    size, known = 8.0, 0.0
     while True:
         few = points.limit(at_once + 1).collect()
         if len(few) <= at_once or size < 1e-6:
             lat, lon = np.array([r["lat"] for r in few], float), np.array([r["lon"] for r in few], float)
             rows = [all_km(lat[i : i + 500], lon[i : i + 500], lat, lon).max(initial=0.0) for i in range(0, len(few), 500)]
-            return float(max(rows, default=0.0))
+            # With more cities than that in the smallest cells, `known` is right to well below a metre.
+            return float(max([known, *rows]))
         cell = [F.floor(F.col(c) / size).alias(f"_{c}") for c in ("lat", "lon")]
         ends = [f(c).alias(f"{n}_{c}") for c in ("lat", "lon") for f, n in ((F.min, "low"), (F.max, "high"))]
         cells = points.groupBy(*cell).agg(*ends, F.min(F.struct("lat", "lon")).alias("one")).collect()

@@ -214,6 +214,13 @@ def test_longest_distance_without_all_pairs(spark, n, at_once):
     assert longest_distance(cities, at_once) == pytest.approx(want, abs=1e-6)
 
 
+def test_longest_distance_of_many_cities_at_one_place(spark):
+    near = [(10.0 + i * 1e-12, 10.0) for i in range(400)]
+    cities = spark.createDataFrame([*near, (40.0, 30.0)], "centroid_lat double, centroid_lon double")
+    want = all_km(*(np.array([x]) for x in (40.0, 30.0, 10.0, 10.0))).max()
+    assert longest_distance(cities, 5) == pytest.approx(want, abs=1e-6)
+
+
 def test_longest_distance_of_one_city_and_none(spark):
     one = spark.createDataFrame([(1.0, 2.0), (1.0, 2.0), (None, 1.0)], "centroid_lat double, centroid_lon double")
     assert longest_distance(one) == 0.0 == longest_distance(one.limit(0))
