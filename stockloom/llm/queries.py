@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import bpe, ctw, mixing, pii, quality_rules, sharding, simhash, suffix_dedup, topk, warc
+from stockloom.llm import bpe, ctw, mixing, pieces, pii, quality_rules, sharding, simhash, suffix_dedup, topk, warc
 from stockloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,15 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    """The same for the piece model: PIECE_MODEL_FILE, else the file of the installed package."""
+    if named := os.environ.get("PIECE_MODEL_FILE"):
+        return named
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @query("op1_poisson_mix", f"""
 WITH sizes AS (
   SELECT source, sum(coalesce(length(text), 0) + 1) AS size FROM documents GROUP BY source
@@ -215,3 +224,9 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         (quality_rules.passes(base) & quality_rules.passes(current)).alias("kept"),
         "fail_bits",
     )
+
+
+@query("op11_sentencepiece")
+def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.round_trip(docs, piece_model_path(), carry=["doc_id"])
