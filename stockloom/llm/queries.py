@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import bpe, ctw, mixing, pieces, pii, quality_rules, sharding, simhash, suffix_dedup, topk, warc
+from stockloom.llm import bpe, ctw, mixing, pieces, pii, quality_rules, repair, sharding, simhash, spelling, suffix_dedup, topk, warc
 from stockloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,3 +230,13 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pieces.round_trip(docs, piece_model_path(), carry=["doc_id"])
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair(table(spark, folder, "conversations"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents").select("doc_id", "text"))
