@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from stockloom.operators import demand as dm
 from stockloom.operators import forecast as fc
-from stockloom.operators import series
+from stockloom.operators import ridge, series
 from stockloom.session import settle
 from stockloom.sources.tables import keep_stores
 
@@ -19,12 +19,24 @@ def chosen_demand(demand: DataFrame, stores: int = 20, products: int = 50) -> Da
     return rows.join(best.select(*dm.SERIES), dm.SERIES, "left_semi")
 
 
-def forecast_demand(
-    demand: DataFrame, stores: int = 20, products: int = 50, trees: int = 300, depth: int = 15,
+def daily_features(demand: DataFrame, stores: int = 20, products: int = 50, min_rows: int = series.MIN_ROWS) -> DataFrame:
+    """The feature table of the chosen series, stored once: training, scoring and the recursion read it."""
+    daily = series.daily_with_context(chosen_demand(demand, stores, products))
+    return settle(series.feature_table(daily, min_rows=min_rows))
+
+
+def forecast_demand(demand: DataFrame, stores: int = 20, products: int = 50, min_rows: int = series.MIN_ROWS) -> fc.Forecast:
+    """A linear model per series."""
+    features = daily_features(demand, stores, products, min_rows)
+    models = settle(ridge.fit(features))
+    return fc.Forecast(ridge.forecast(features, models), ridge.evaluate(features, models), models, features)
+
+
+def forecast_with_forest(
+    demand: DataFrame, stores: int = 20, products: int = 50, trees: int = 300, depth: int = 15, leaf: int = fc.LEAF_ROWS,
     min_rows: int = series.MIN_ROWS,
 ) -> fc.Forecast:
-    """Features are stored once: training, scoring and the recursion read them."""
-    daily = series.daily_with_context(chosen_demand(demand, stores, products))
-    features = settle(fc.with_level(series.feature_table(daily, min_rows=min_rows)))
-    model = fc.fit_forest(features, trees, depth)
+    """One forest over all series."""
+    features = fc.with_level(daily_features(demand, stores, products, min_rows))
+    model = fc.fit_forest(features, trees, depth, leaf=leaf)
     return fc.Forecast(fc.forecast(features, model), fc.evaluate(features, model), model, features)

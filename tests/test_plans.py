@@ -30,7 +30,7 @@ def test_from_raw_tables_to_answers(spark, tmp_path):
     assert ready.city_lanes(pairs).count() == n * (n - 1)
     assert ready.city_lanes(pairs).agg(F.max("distance")).first()[0] == pytest.approx(ready.longest_km)
 
-    wide = settle(to_wide(forecast_demand(demand, products=2, trees=3, depth=4).long))
+    wide = settle(to_wide(forecast_demand(demand, products=2).long))
     assert wide.count() == 20
     stores = settle(ready.store_params)
     run = allocate(assemble(wide, ready.series_params, stores), stores.select("store_id", "city_id"), cities, ready.longest_km, width=4)

@@ -9,8 +9,8 @@ from catalog import registry
 from oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-# Each fits 300 trees; ORACLE_ALL=1 runs them, too.
-SLOW = {"m02_m04_forecast", "m05_forecast_metrics"}
+# Each fits 300 trees; ORACLE_ALL=1 runs both.
+SLOW = {"m02_forest_forecast"}
 SQL = entry.oracle_sql()
 QUERIES = entry.queries()
 

@@ -59,13 +59,13 @@ def test_tail_features(spark):
 
 def test_forecast_feeds_predictions_back(spark):
     from stockloom.operators import forecast as fc
-    from stockloom.plans.forecasting import forecast_demand
+    from stockloom.plans.forecasting import forecast_with_forest
 
     rows = [(s, 1, dt.date(2024, 1, 1) + dt.timedelta(days=d), float(s * 10 + d % 7)) for s in (1, 2) for d in range(100)]
     df = spark.createDataFrame(rows, "store_id int, product_id int, dt date, sale_amount double").withColumns(
         {c: F.lit(1.0) for c in EXOGENOUS}
     )
-    made = forecast_demand(df, trees=8, depth=6)
+    made = forecast_with_forest(df, trees=8, depth=6, leaf=1)
     long = made.long.orderBy("store_id", "horizon_day").collect()
     assert [r["horizon_day"] for r in long] == [*range(1, 8)] * 2
     assert str(long[0]["date"]) == "2024-04-10"
@@ -77,16 +77,3 @@ def test_forecast_feeds_predictions_back(spark):
     wide = fc.to_wide(made.long)
     assert wide.columns == ["store_id", "product_id", *[f"day+{i}" for i in range(1, 8)]] and wide.count() == 2
     assert fc.store_matrix(wide, 2).count() == 1
-
-
-def test_forest_is_held_against_the_mean_of_each_series(spark):
-    import catalog.forecast_queries  # noqa: F401
-    from catalog.registry import SQL
-    from stockloom.operators import forecast as fc
-
-    assert fc.TRAINING_ROWS >= 50_000 and "beats_mean" in SQL["m05_forecast_metrics"]
-    rows = [(s, 1, i < 8, float(s + i % 2), float(s) + 0.5) for s in (1, 9) for i in range(10)]
-    features = spark.createDataFrame(rows, "store_id int, product_id int, is_train boolean, demand double, series_level double")
-    for miss, better in ((0.1, True), (0.5, False), (3.0, False)):
-        predicted = features.where("NOT is_train").withColumn("prediction", F.col("demand") + miss)
-        assert fc.beats_mean(features, fc.errors(predicted)).collect() == [(better,)]
