@@ -414,6 +414,26 @@ def capacity_overflow(spark, folder):
     return over.withColumns({c: F.col(c).cast("double") for c in ("made", "store_total", "overflow")})
 
 
+CAPACITIES = (400.0, 1100.0)
+
+
+@query("l05_l08_l09_capped_plans", TO_PLAN + """, loads AS (SELECT store_id, sum(made) AS made FROM plan GROUP BY 1)
+    SELECT CAST(capacity AS DOUBLE) AS capacity, CAST(sum(made) AS DOUBLE) AS made, CAST(greatest(sum(made) - count(*) * capacity, 0) AS DOUBLE) AS overflow,
+    CAST(0 AS BIGINT) AS n_broken FROM loads, (SELECT CAST(unnest([400, 1100]) AS DECIMAL(24,6)) AS capacity) GROUP BY capacity""")
+def capped_plans(spark, folder):
+    """Plans for two capacities, one of them too small for all production together. Every store here stocks every product
+    and has high targets, so what no plan can place is what all stores together cannot make, and SQL can state it.
+    No other rule may break."""
+    rows = []
+    for capacity in CAPACITIES:
+        made = run(spark, folder, capacity)
+        broken = made.audit().where("rule <> 'capacity'").agg(F.count("*").alias("n_broken"))
+        total = made.plan.agg(F.sum("made").cast("double").alias("made"))
+        over = made.overflow().agg(F.coalesce(F.sum("overflow").cast("double"), F.lit(0.0)).alias("overflow"))
+        rows.append(total.join(F.broadcast(over)).join(F.broadcast(broken)).withColumn("capacity", F.lit(capacity)))
+    return rows[0].unionByName(rows[1]).select("capacity", "made", "overflow", "n_broken")
+
+
 @query("a31_store_production", TO_PLAN + """SELECT store_id, CAST(sum(made) AS DOUBLE) AS made_total FROM plan
     WHERE made > 0.01 GROUP BY 1""")
 def store_production(spark, folder):

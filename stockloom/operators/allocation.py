@@ -176,32 +176,38 @@ def city_flows(left_over: DataFrame, cities: DataFrame, longest: float, holding:
     return settle(flows.withColumns(begins).drop("place"))
 
 
-def plan_flows(balance: DataFrame, cities: DataFrame, longest: float) -> tuple[DataFrame, DataFrame]:
-    """What every store sends and gets within its city (1) and across cities (2), and has to make; and the
-    flows between cities.
-
-    Stored: moves, production, final stock and the audit all read it.
-    """
+def laid_flows(
+    balance: DataFrame, cities: DataFrame, longest: float, holding: float = inv.HOLDING_COST
+) -> tuple[DataFrame, DataFrame]:
+    """Add to (store, product, city, chunk, make_cost, surplus, deficit) what every store sends and gets within its city
+    (1) and across cities (2); and the flows between cities, none of them dearer than making and holding a unit."""
     near = _lay_out(balance, "surplus", "deficit", 1)
     left_over = near.withColumns(
         {"surplus_2": F.col("surplus") - F.col("sent_1"), "deficit_2": F.col("deficit") - F.col("got_1")}
     )
-    flows = city_flows(left_over, cities, longest)
+    flows = city_flows(left_over, cities, longest, holding)
     out = flows.select("product_id", F.col("from_city").alias("city_id"), F.col("flow").alias("_out"), F.lit(0).cast("bigint").alias("_in"))
     into = flows.select("product_id", F.col("to_city").alias("city_id"), F.lit(0).cast("bigint").alias("_out"), F.col("flow").alias("_in"))
     shared = out.unionByName(into).groupBy("product_id", "city_id").agg(F.sum("_out").alias("_out"), F.sum("_in").alias("_in"))
     far = _lay_out(left_over, "surplus_2", "deficit_2", 2, shared)
-    planned = far.withColumns(
-        {
-            "sent": F.col("sent_1") + F.col("sent_2"),
-            "got": F.col("got_1") + F.col("got_2"),
-            "made": F.col("deficit_2") - F.col("got_2"),
-        }
-    ).withColumn("final", F.col("current") + F.col("made") + F.col("got") - F.col("sent"))
+    return far.withColumns({"sent": F.col("sent_1") + F.col("sent_2"), "got": F.col("got_1") + F.col("got_2")}), flows
+
+
+def plan_flows(balance: DataFrame, cities: DataFrame, longest: float) -> tuple[DataFrame, DataFrame]:
+    """What every store sends, gets and has to make, and the flows between cities.
+
+    Stored: moves, production, final stock and the audit all read it.
+    """
+    laid, flows = laid_flows(balance, cities, longest)
+    return settle(_as_plan(laid.withColumn("made", F.col("deficit_2") - F.col("got_2")))), flows
+
+
+def _as_plan(laid: DataFrame) -> DataFrame:
+    """The columns of a plan, in whole quantities again."""
+    final = laid.withColumn("final", F.col("current") + F.col("made") + F.col("got") - F.col("sent"))
     shown = ["current", "target", "surplus", "deficit", "sent", "got", "made", "final"]
     lines = [f"{line}{tier}_{end}" for tier in (1, 2) for line in ("s", "d") for end in ("low", "high")]
-    plan = settle(planned.select(*PAIR, "city_id", "chunk", *lines, *[_quantity(F.col(c)).alias(c) for c in shown]))
-    return plan, flows
+    return final.select(*PAIR, "city_id", "chunk", *lines, *[_quantity(F.col(c)).alias(c) for c in shown])
 
 
 def _pieces(ends: DataFrame, keys: Sequence[str], begin: Column) -> DataFrame:
@@ -435,13 +441,22 @@ def cost_summary(transfers: DataFrame, made: DataFrame, plan: DataFrame, holding
     )
 
 
-def lower_bound(plan: DataFrame, targets: DataFrame, cities: DataFrame, holding: float = inv.HOLDING_COST) -> DataFrame:
+def lower_bound(
+    plan: DataFrame, targets: DataFrame, cities: DataFrame, holding: float = inv.HOLDING_COST,
+    prices: DataFrame | None = None, capacity: float = inv.STORE_CAPACITY,
+) -> DataFrame:
     """One row: a cost no valid plan can undercut.
 
     Per product, what total surplus cannot cover has to be made at the cheapest store, and every other
     missing unit is at best moved over the cheapest lane there could be (half the lowest shipping cost) or
-    made there.
+    made there. `prices` (store_id, price) of capacity, of any size above 0, give a bound for plans within capacity:
+    making a unit costs the price on top, and what all capacities are worth comes off.
     """
+    worth = 0.0
+    if prices is not None:
+        worth = capacity * (prices.agg(F.sum("price")).first()[0] or 0.0)
+        targets = targets.join(prices, "store_id", "left").withColumn(
+            "mfg_unit_cost", F.col("mfg_unit_cost") + F.coalesce("price", F.lit(0.0)))
     cheapest = cities.agg((F.min("shipping_costs_mean") / 2).alias("_lane"))
     lane = F.least(
         F.lit(LOCAL_LANE_COST * TRANSPORT_SCALE), F.lit(MISSING_UNIT_LANE_COST), F.col("_lane") * TRANSPORT_SCALE
@@ -454,4 +469,4 @@ def lower_bound(plan: DataFrame, targets: DataFrame, cities: DataFrame, holding:
     must = F.greatest(F.col("_d") - F.col("_s"), F.lit(0.0))
     keep_and_make = F.col("_make") + holding
     cost = holding * F.col("_stock") + keep_and_make * must + F.least(lane, keep_and_make) * (F.col("_d") - must)
-    return per_product.join(F.broadcast(cheapest)).agg(F.sum(cost).alias("lower_bound"))
+    return per_product.join(F.broadcast(cheapest)).agg((F.sum(cost) - worth).alias("lower_bound"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from stockloom.functions import inventory as inv
 from stockloom.operators import allocation as al
+from stockloom.operators import capacity as cp
 from stockloom.operators import lanes as ln
 from stockloom.operators import results as rs
 from stockloom.operators.ordered import IDS_PER_CHUNK
@@ -55,7 +56,11 @@ class Allocation:
         return al.cost_summary(self.priced(), al.production(self.plan, self.targets), self.plan)
 
     def lower_bound(self) -> DataFrame:
-        return al.lower_bound(self.plan, self.targets, self.cities)
+        return cp.bound_with_prices(self.plan, self.targets, self.cities, self.capacity)
+
+    def overflow(self) -> DataFrame:
+        """Production no plan can place."""
+        return al.capacity_overflow(self.plan, self.capacity)
 
     def transfer_records(self, scenario: str) -> DataFrame:
         return rs.transfer_records(self.transfers(), self.targets, scenario)
@@ -78,12 +83,14 @@ def allocate(
     capacity: float = inv.STORE_CAPACITY,
     width: int = IDS_PER_CHUNK,
 ) -> Allocation:
-    """Set targets and plan the flows.
+    """Set targets and plan the flows, production within the capacity of the stores.
 
     The targets (one row per store and product) are stored before planning: the plan, the reasons and
     the costs all read them, and the demand history behind them is far larger. Store cities and city parameters
     are read by several results too, so pass stored tables.
     """
     targets = settle(al.with_target(assembled))
-    plan, flows = al.plan_flows(al.balances(targets, width), cities, longest_km)
+    balance = settle(al.balances(targets, width))
+    plan, flows = al.plan_flows(balance, cities, longest_km)
+    plan, flows = cp.plan_within(balance, plan, flows, cities, longest_km, capacity, width)
     return Allocation(targets, plan, flows, store_city, cities, longest_km, capacity)
