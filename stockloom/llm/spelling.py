@@ -4,15 +4,14 @@ A word is written between two end marks. The gram at a place is the shortest str
 LONGEST characters, that is not frequent among the words, so common beginnings are read further than rare ones.
 The frequent grams are the dictionary: it is pruned by frequency, and it is small, since at most TABLE_SIZE
 grams of a length can make up more than 1/TABLE_SIZE of all places each. Whether a gram ends is decided by
-the gram itself, so an edit can only change the grams that cover it. The most grams that cover one place of a
-word are its bound b: of its g grams, g - b at least are in every word one edit away, at the same place
-or, behind an inserted character, one further.
+the gram itself, so an edit affects the grams that cover its place and no others.
 
-Two words with so many grams in common share one of their b + 1 rarest grams, if both order grams alike. These
-are the lists that are merged: by gram, place and length, where the shorter word asks for its own length and for
-one more at either place. Candidates must then have as many grams in common as both bounds ask, and last the
-edit distance is compared. LONGEST is not above the shortest word, so every word keeps g - b >= 1 and no pair is
-lost.
+That bounds, for every word and every place an edit may take, which grams can differ: all the others stand in the
+other word, too, those on the left at the same place, those on the right at the same distance from the end. The
+lists of all these grams are merged in one go: a word is entered once per place under a checksum of its unaffected
+grams there (one for a changed character, one as the shorter word, one as the longer one), and only words entered
+under the same checksum meet. What is unknown of such words are the characters no unaffected gram covers, fewer
+than 2 * LONGEST, so a list is short however many words there are. Candidates are verified by their edit distance.
 
 Defined results: null and empty texts have no words; a null id counts as empty text in the checksum. Repeated rows
 count as often as they stand there. Ties between forms go to the first in code-point order. Long texts are read
@@ -23,9 +22,12 @@ from __future__ import annotations
 
 import math
 import string
-from collections.abc import Iterator
-from zlib import crc32
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from hashlib import blake2b
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,11 +41,12 @@ DAMAGE = 97
 
 MIN_LETTERS, MIN_COUNT, RATIO = 5, 3, 2
 
-#: Lengths of grams. The longest may not exceed the shortest word.
-SHORTEST, LONGEST = 2, 5
+#: Lengths of grams. Longer ones leave more of a word unknown around an edit, shorter ones depend less on the words.
+SHORTEST, LONGEST = 2, 3
 #: A gram is frequent if it makes up more than 1 / TABLE_SIZE of all places, and at least LEAST of them.
 TABLE_SIZE, LEAST = 100_000, 20
 BEGIN, END = "^", "$"
+WORDS_AT_ONCE = 2000
 
 
 def damaged(run: Column, key: Column) -> Column:
@@ -92,79 +95,84 @@ def grams_of(word: str, frequent: dict[str, int]) -> list[str]:
     return out
 
 
-def bound_of(grams: list[str]) -> int:
-    """The most grams one edit can change: those covering one place between the end marks."""
-    most = 0
-    for i in range(1, len(grams)):
-        most = max(most, sum(p + len(grams[p]) > i for p in range(max(0, i - LONGEST + 1), i + 1)))
-    return most
+def unaffected(grams: list[str], hashed: Callable[[str], int]) -> tuple[list[int], list[int]]:
+    """Two tables of sums over the places of a word: of the grams that end before a place, each with its place, and of
+    those that begin at it or later, each with its distance from the end."""
+    n = len(grams) + 1
+    ending = [0] * (n + 1)
+    for p, gram in enumerate(grams):
+        ending[p + len(gram)] += hashed(gram) * (2 * p + 1)
+    left = list(accumulate(ending))
+    right = [0] * (n + 1)
+    for p in range(n - 2, -1, -1):
+        right[p] = right[p + 1] + hashed(grams[p]) * (2 * (n - p) + 1)
+    return left, right
 
 
-def listed(grams: list[str], bound: int, frequent: dict[str, int]) -> list[int]:
-    """The places of the bound + 1 rarest grams, in an order all words share."""
-    return sorted(range(len(grams)), key=lambda p: (frequent.get(grams[p], 0), grams[p], p))[: bound + 1]
+CHANGED, SHORTER, LONGER = range(3)
+
+
+def entries(word: str, frequent: dict[str, int], hashed: Callable[[str], int]) -> Iterator[tuple[int, int]]:
+    """(kind, checksum) for every place an edit may take in a word; the end marks stay as they are."""
+    size = len(word)
+    left, right = unaffected(grams_of(word, frequent), hashed)
+    for i in range(1, size + 1):
+        around = left[i] * FACTORS[0] + right[i + 1] * FACTORS[1]
+        yield CHANGED, _signed(around + size * FACTORS[2] + FACTORS[3])
+        yield LONGER, _signed(around + (size - 1) * FACTORS[2])
+    for gap in range(1, size + 2):
+        yield SHORTER, _signed(left[gap] * FACTORS[0] + right[gap] * FACTORS[1] + size * FACTORS[2])
+
+
+# Odd 64-bit numbers that keep the parts of a checksum apart.
+FACTORS = tuple(int.from_bytes(blake2b(bytes([i]), digest_size=8).digest(), "big") | 1 for i in range(4))
+
+
+def _signed(x: int) -> int:
+    x &= (1 << 64) - 1
+    return x - (1 << 64) if x >> 63 else x
 
 
 def gram_index(words: DataFrame) -> DataFrame:
-    """(word, n, size, need, marks, gram, place): a row per listed gram of every word. `marks` are checksums of all its
-    grams in order, `need` is how many of them a word one edit away must have."""
+    """(word, n, kind, key): every word under the checksums of its unaffected grams, a row per place and kind of edit."""
     shared = words.sparkSession.sparkContext.broadcast(frequent_grams(words))
     schema = T.StructType([
-        T.StructField("word", T.StringType()), T.StructField("n", T.LongType()), T.StructField("size", T.IntegerType()),
-        T.StructField("need", T.IntegerType()), T.StructField("marks", T.ArrayType(T.IntegerType())),
-        T.StructField("lists", T.ArrayType(T.StructType([T.StructField("gram", T.StringType()), T.StructField("place", T.IntegerType())]))),
-    ])
-    kinds = pa.schema([
-        ("word", pa.string()), ("n", pa.int64()), ("size", pa.int32()), ("need", pa.int32()), ("marks", pa.list_(pa.int32())),
-        ("lists", pa.list_(pa.struct([("gram", pa.string()), ("place", pa.int32())]))),
+        T.StructField("word", T.StringType()), T.StructField("n", T.LongType()), T.StructField("kind", T.ByteType()),
+        T.StructField("key", T.LongType()),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value
-        for batch in batches:
-            rows = []
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                grams = grams_of(word, frequent)
-                bound = bound_of(grams)
-                rows.append({
-                    "word": word, "n": n, "size": len(word), "need": len(grams) - bound,
-                    "marks": [crc32(g.encode()) & 0x7FFFFFFF for g in grams],
-                    "lists": [{"gram": grams[p], "place": p} for p in listed(grams, bound, frequent)],
-                })
-            yield pa.RecordBatch.from_pylist(rows, kinds)
 
-    ship(words.sparkSession)
-    rows = words.select("word", "n").mapInArrow(run, schema)
-    return rows.select("word", "n", "size", "need", "marks", F.explode("lists").alias("l")).select(
-        "word", "n", "size", "need", "marks", "l.gram", "l.place")
+        @lru_cache(maxsize=200_000)
+        def hashed(gram: str) -> int:
+            return int.from_bytes(blake2b(gram.encode(), digest_size=8).digest(), "big")
 
+        for batch in batches:
+            for start in range(0, batch.num_rows, WORDS_AT_ONCE):
+                part = batch.slice(start, WORDS_AT_ONCE)
+                kinds, keys, counts = [], [], []
+                for word in part.column(0).to_pylist():
+                    before = len(keys)
+                    for kind, key in entries(word, frequent, hashed):
+                        kinds.append(kind)
+                        keys.append(key)
+                    counts.append(len(keys) - before)
+                at = pa.array(np.repeat(np.arange(len(counts)), counts))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(at), part.column(1).take(at), pa.array(kinds, pa.int8()), pa.array(keys, pa.int64())], schema.names)
 
-def in_common(a: Column, b: Column) -> Column:
-    """How many grams of `a` stand in `b` at the same place, or, if `b` is longer, one further."""
-    follows = F.size(b) > F.size(a)
-    hits = F.transform(a, lambda x, i: ((F.get(b, i) == x) | (follows & (F.get(b, i + 1) == x))).cast("int"))
-    return F.aggregate(hits, F.lit(0), lambda total, x: total + x)
+    ship(words.sparkSession)
+    return words.select("word", "n").mapInArrow(run, schema)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): pairs of words one edit apart, each once, the shorter or smaller word first."""
     index = stored(gram_index(words), "grams")
-    asked = index.select(
-        F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("size").alias("a_size"), F.col("need").alias("a_need"),
-        F.col("marks").alias("a_marks"),
-        F.explode(F.array(
-            F.xxhash64("gram", "size", "place"), F.xxhash64("gram", F.col("size") + 1, "place"),
-            F.xxhash64("gram", F.col("size") + 1, F.col("place") + 1),
-        )).alias("key"),
-    )
-    lists = index.select(
-        F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("size").alias("b_size"), F.col("need").alias("b_need"),
-        F.col("marks").alias("b_marks"), F.xxhash64("gram", "size", "place").alias("key"),
-    )
-    longer = F.col("b_size") - F.col("a_size")
-    met = asked.join(lists, "key").where((longer == 1) | ((longer == 0) & (F.col("a") < F.col("b"))))
-    merged = met.where(in_common(F.col("a_marks"), F.col("b_marks")) >= F.greatest("a_need", "b_need"))
-    close = merged.where(F.levenshtein("a", "b", 1) == 1)
+    asked = index.where(F.col("kind") != LONGER).select("key", F.col("word").alias("a"), F.col("n").alias("a_n"))
+    lists = index.where(F.col("kind") != SHORTER).select("key", F.col("word").alias("b"), F.col("n").alias("b_n"))
+    first = (F.char_length("a") < F.char_length("b")) | ((F.char_length("a") == F.char_length("b")) & (F.col("a") < F.col("b")))
+    close = asked.join(lists, "key").where(first & (F.levenshtein("a", "b", 1) == 1))
     return close.select(F.col("a").alias("word"), F.col("a_n").alias("n"), F.col("b").alias("near"), F.col("b_n").alias("near_n")).distinct()
 
 

@@ -77,36 +77,40 @@ def test_variants_of_a_small_corpus(spark, monkeypatch, least):
     assert sum(r[0] is not None for r in want.values()) > 50 and any(r[0] != r[1] and r[0] for r in want.values())
 
 
-def test_an_edit_changes_no_more_grams_than_the_bound():
-    """For any set of frequent grams that holds the beginnings of its members."""
+def test_words_one_edit_apart_share_an_entry():
+    """For any set of frequent grams that holds the beginnings of its members, and any longest length."""
     pick = random.Random(4)
-    for _ in range(300):
-        letters = "ab" if pick.random() < 0.5 else "abcé"
-        words = ["".join(pick.choice(letters) for _ in range(pick.randint(5, 12))) for _ in range(30)]
-        chance = pick.random()
-        frequent = {}
-        for w in words:
-            s = spelling.BEGIN + w + spelling.END
-            for p in range(len(s)):
-                for q in range(2, spelling.LONGEST + 1):
-                    if p + q > len(s) or pick.random() > chance or q > 2 and s[p : p + q - 1] not in frequent:
-                        break
-                    frequent[s[p : p + q]] = pick.randint(1, 99)
-        for w in words[:5]:
-            i = pick.randrange(len(w) + 1)
-            for v in {w[:i] + "a" + w[i:], w[:i] + "b" + w[i + 1 :], w[:i] + w[i + 1 :]}:
-                if v == w or len(v) < 5:
-                    continue
-                short, long = sorted((w, v), key=len)
-                a, b = spelling.grams_of(short, frequent), spelling.grams_of(long, frequent)
-                ba, bb = spelling.bound_of(a), spelling.bound_of(b)
-                assert len(a) - ba >= 1 and len(b) - bb >= 1
-                shift = len(long) - len(short)
-                common = sum(g == b[p] or (shift and g == b[p + 1]) for p, g in enumerate(a))
-                assert common >= max(len(a) - ba, len(b) - bb)
-                mine = {(a[p], p) for p in spelling.listed(a, ba, frequent)}
-                theirs = {(b[p], p) for p in spelling.listed(b, bb, frequent)}
-                assert any((g, p) in theirs or (shift and (g, p + 1) in theirs) for g, p in mine)
+    shared = 0
+    for longest in (3, 5):
+        spelling.LONGEST, before = longest, spelling.LONGEST
+        for _ in range(150):
+            letters = "ab" if pick.random() < 0.5 else "abcé"
+            words = ["".join(pick.choice(letters) for _ in range(pick.randint(5, 12))) for _ in range(30)]
+            chance, frequent = pick.random(), {}
+            for w in words:
+                s = spelling.BEGIN + w + spelling.END
+                for p in range(len(s)):
+                    for q in range(2, longest + 1):
+                        if p + q > len(s) or pick.random() > chance or q > 2 and s[p : p + q - 1] not in frequent:
+                            break
+                        frequent[s[p : p + q]] = 1
+            numbers = {}
+            hashed = lambda g: numbers.setdefault(g, pick.getrandbits(64))
+
+            def entered(word, *kinds):
+                return {(min(k, 1), key) for k, key in spelling.entries(word, frequent, hashed) if k in kinds}
+
+            for w in words[:8]:
+                i = pick.randrange(len(w) + 1)
+                for v in {w[:i] + "a" + w[i:], w[:i] + "b" + w[i + 1 :], w[:i] + w[i + 1 :]} - {w}:
+                    short, long = sorted((w, v), key=len)
+                    if len(short) == len(long):
+                        assert entered(w, spelling.CHANGED) & entered(v, spelling.CHANGED)
+                    else:
+                        assert entered(short, spelling.SHORTER) & entered(long, spelling.LONGER)
+                    shared += 1
+        spelling.LONGEST = before
+    assert shared > 1000
 
 
 def test_long_rows_of_forms(spark):
