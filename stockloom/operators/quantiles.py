@@ -1,6 +1,7 @@
 """Exact interpolated quantiles, and the column summaries and fences built on them.
 
-Two passes, and no shuffle of the values. The first takes count, mean, deviation, minimum, maximum and, per
+The input is read once: what it takes to compute it (joins, sums) is done once, and the asked columns are stored in
+the shared folder as numbers, which is all the passes below read. Two passes follow, and no shuffle of the values. The first takes count, mean, deviation, minimum, maximum and, per
 wanted quantile, a narrow band from a sketch whose error in rank is known. The second counts the values below
 each band and gathers those inside it, a share of some thousandths of the rows; equal values are counted
 before they are shuffled. The ranks inside the band then give the exact values. Where a group has few values
@@ -74,8 +75,14 @@ def _summaries(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """(by…, column, count, mean, std, min, max, quantiles), one row per group and column that has values."""
+    return _summarised(settle(_narrowed(df, columns, by)), columns, probabilities, by)
+
+
+def _summarised(
+    rows: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """The same from the stored columns."""
     by, keys = list(by), [*by, "column"]
-    rows = _narrowed(df, columns, by)
     groups = settle(_first_pass(rows, len(columns), probabilities, by))
     met = _met(rows, groups, by)
     below, inside = [], []
@@ -152,8 +159,9 @@ def _wide(quantiles: DataFrame, columns: Sequence[str], names: Sequence[str]) ->
 
 def outlier_fences(df: DataFrame, columns: Sequence[str], top: int | None = 15) -> DataFrame:
     """Quartiles, the fences 1.5 interquartile ranges out, and the percentage of values outside."""
-    quartiles = settle(_wide(column_quantiles(df, columns, (0.25, 0.75)), columns, ("q1_", "q3_")))
-    rows = _narrowed(df, columns, ()).join(F.broadcast(quartiles))  # one row
+    stored = settle(_narrowed(df, columns, ()))
+    quartiles = settle(_wide(_summarised(stored, columns, (0.25, 0.75)), columns, ("q1_", "q3_")))
+    rows = stored.join(F.broadcast(quartiles))  # one row
     sums, shown = [], []
     for i, c in enumerate(columns):
         q1, q3 = F.col(f"q1_{i}"), F.col(f"q3_{i}")
@@ -172,12 +180,13 @@ def outlier_fences(df: DataFrame, columns: Sequence[str], top: int | None = 15)
 
 def box_statistics(df: DataFrame, category: str, value: str) -> DataFrame:
     """Per category: quartiles, the most extreme values inside the fences, and the count outside."""
-    q = settle(column_quantiles(df, [value], QUARTILES, [category]).select(
+    stored = settle(_narrowed(df, [value], [category]))
+    q = settle(_summarised(stored, [value], QUARTILES, [category]).select(
         category, *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))]
     ))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("v0").between(F.col("q1") - reach, F.col("q3") + reach)
-    rows = _narrowed(df, [value], [category]).where("v0 IS NOT NULL")
+    rows = stored.where("v0 IS NOT NULL")
     found = rows.join(q, category).groupBy(category).agg(
         F.min(F.when(inside, F.col("v0"))).alias("whisker_low"), F.max(F.when(inside, F.col("v0"))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,10 +52,12 @@ def log_progress(stream: DataFrame, keep: Callable[[DataFrame], DataFrame], path
 
     def take(batch: DataFrame, number: int) -> None:
         spark, start = batch.sparkSession, time.perf_counter()
-        keep(batch).write.mode("overwrite").parquet(f"{path}/rows/batch_id={number}")
+        # Counted while the batch is written, so it is read once.
+        read, kept = Observation(f"read-{number}"), Observation(f"kept-{number}")
+        counted = batch.observe(read, F.count(F.lit(1)).alias("n"))
+        keep(counted).observe(kept, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/rows/batch_id={number}")
         seconds = time.perf_counter() - start
-        line = [(batch.count(), spark.read.parquet(f"{path}/rows/batch_id={number}").count(), seconds)]
-        told = spark.createDataFrame(line, "rows_read bigint, rows_kept bigint, seconds double")
+        told = spark.createDataFrame([(read.get["n"], kept.get["n"], seconds)], "rows_read bigint, rows_kept bigint, seconds double")
         told.coalesce(1).write.mode("overwrite").parquet(f"{path}/progress/batch_id={number}")
 
     return each_batch(stream, take, checkpoint)
