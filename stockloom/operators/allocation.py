@@ -19,6 +19,7 @@ of lanes sees one row per city with something left, never the stores.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 from decimal import Decimal
 
@@ -130,29 +131,65 @@ def _lay_out(rows: DataFrame, surplus: str, deficit: str, tier: int, shared: Dat
     return laid.withColumns(ends).withColumns(lengths).drop(*scratch)
 
 
+#: Lanes looked up at once for a city that gives.
+LANES_AHEAD = 64
+
+
 def cheapest_flows(left: pa.Table, longest: float, holding: float) -> pa.Table:
     """The flows of one product between cities, cheapest lane first.
 
     `left` has a row per city with its surplus `s` and deficit `d`, coordinates, mean shipping cost and the
     cost of making a unit there. Costs are compared to six digits; ties go by the ids of the cities.
+
+    The cheapest open lane of all is the cheapest one of some giving city, so an agenda with one lane per such city
+    is enough. A city looks up its next few open lanes when it has none left; no table of all lanes exists, and what
+    is held grows with the number of cities, not with its square.
     """
     columns = {c: left[c].to_numpy(zero_copy_only=False) for c in ("city_id", "s", "d", "lat", "lon", "base", "make")}
     order = np.argsort(columns["city_id"])
     city, s, d, lat, lon, base, make = (columns[c][order] for c in ("city_id", "s", "d", "lat", "lon", "base", "make"))
     give, take = np.flatnonzero(s > 0), np.flatnonzero(d > 0)
-    lane = (base[give][:, None] + base[take][None, :]) / 2 * (0.5 + 0.5 * all_km(lat[give], lon[give], lat[take], lon[take]) / (longest or 1.0))
-    unit = np.round(np.nan_to_num(lane * TRANSPORT_SCALE, nan=MISSING_UNIT_LANE_COST), 6)
-    used = np.argwhere(unit <= (make[take] + holding)[None, :])
-    used = used[np.argsort(unit[used[:, 0], used[:, 1]], kind="stable")]  # rows and columns are in the order of ids
-    have, need, flows = s[give].copy(), d[take].copy(), []
-    for i, j in used.tolist():
-        quantity = min(have[i], need[j])
+    have, need = s[give].tolist(), d[take].copy()
+    limit = make[take] + holding
+
+    def open_lanes(i: int) -> list[tuple[float, int]]:
+        """The next lanes of a city, the last one first."""
+        where = np.flatnonzero(need > 0)
+        g, t = give[i : i + 1], take[where]
+        lane = (base[g] + base[t]) / 2 * (0.5 + 0.5 * all_km(lat[g], lon[g], lat[t], lon[t])[0] / (longest or 1.0))
+        unit = np.round(np.nan_to_num(lane * TRANSPORT_SCALE, nan=MISSING_UNIT_LANE_COST), 6)
+        used = unit <= limit[where]
+        unit, where = unit[used], where[used]
+        if len(unit) > LANES_AHEAD:
+            near = unit <= np.partition(unit, LANES_AHEAD)[LANES_AHEAD]
+            unit, where = unit[near], where[near]
+        ranked = np.lexsort((where, unit))[::-1]
+        return list(zip(unit[ranked].tolist(), where[ranked].tolist()))
+
+    ahead: list[list[tuple[float, int]]] = [[] for _ in have]
+    agenda: list[tuple[float, int, int]] = []
+
+    def offer(i: int) -> None:
+        while ahead[i] and need[ahead[i][-1][1]] <= 0:
+            ahead[i].pop()
+        if not ahead[i]:
+            ahead[i] = open_lanes(i)
+        if ahead[i]:
+            unit, j = ahead[i].pop()
+            heapq.heappush(agenda, (unit, i, j))
+
+    for i in range(len(have)):
+        offer(i)
+    flows = []
+    while agenda:
+        _, i, j = heapq.heappop(agenda)
+        quantity = min(have[i], int(need[j]))
         if quantity > 0:
             flows.append((int(city[give[i]]), int(city[take[j]]), int(quantity), len(flows)))
             have[i] -= quantity
             need[j] -= quantity
-            if not need.any() or not have.any():
-                break
+        if have[i] > 0:
+            offer(i)
     product = left["product_id"][0].as_py()
     rows = [dict(zip(("product_id", "from_city", "to_city", "flow", "place"), (product, *f))) for f in flows]
     return pa.Table.from_pylist(rows, pa.schema([("product_id", pa.int32()), ("from_city", pa.int32()), ("to_city", pa.int32()), ("flow", pa.int64()), ("place", pa.int32())]))
