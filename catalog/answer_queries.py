@@ -161,7 +161,7 @@ def requests(spark, folder):
     ELSE '{tx.OUT_OF_SCOPE_REPLY.replace("'", "''")}' END AS "text" FROM asked WHERE intent IN ('greeting', 'out_of_scope')""")
 def fixed_replies(spark, folder):
     questions = asked(spark, folder).select("conv_id", "turn", "answer_key")
-    return questions.join(F.broadcast(an.fixed_replies(questions)), "answer_key").drop("answer_key")  # two rows
+    return questions.join(F.broadcast(an.fixed_replies(questions)), "answer_key").drop("answer_key", "scenario")  # two rows
 
 
 @query("l15_transfer_records", TO_RECORDS + """SELECT transfer_id, from_store, to_store, product_id, quantity, reason_codes, transport_cost,
@@ -186,7 +186,8 @@ def manufacturing_records(spark, folder):
 
 def _record_answers(spark, folder, sections, intent):
     questions, kept = settle(asked(spark, folder)), settle(sections)
-    return an.record_answers(questions, kept, an.matches(questions, kept, intent), intent, scenario_name(spark))
+    blocks = settle(an.matched_blocks(questions, an.postings(kept), intent))
+    return an.record_answers(questions, kept, blocks, intent, scenario_name(spark)).drop("scenario")
 
 
 @query("n06_transfer_sections", TO_ANSWERS + " SELECT CAST(position AS BIGINT) AS position, section FROM transfer_sections")
@@ -196,8 +197,8 @@ def transfer_sections(spark, folder):
 
 @query("j12_transfer_matches", TO_ANSWERS + _hits_sql("transfer_sections", "explain_transfer") + " SELECT answer_key, CAST(position AS BIGINT) AS position FROM hits")
 def transfer_matches(spark, folder):
-    sections = an.transfer_sections(run(spark, folder).transfer_records(SCENARIO)).select("position", "tokens")
-    return an.matches(settle(asked(spark, folder)), settle(sections), "explain_transfer")
+    sections = an.transfer_sections(run(spark, folder).transfer_records(SCENARIO)).select("scenario", "position", "tokens")
+    return an.matches(settle(asked(spark, folder)), settle(sections), "explain_transfer").drop("scenario")
 
 
 @query("n06_j12_transfer_answers", TO_ANSWERS + ", " + TRANSFER_ROWS + " SELECT * FROM rows_explain_transfer")
@@ -228,7 +229,7 @@ SCENARIO_ROWS = COSTS + """, state AS (SELECT
 
 @query("n08_scenario_answer", TO_COSTS.rstrip() + "," + SCENARIO_ROWS + " SELECT * FROM scenario_answers")
 def scenario_answer(spark, folder):
-    return an.scenario_answer(run(spark, folder).scenario_record(SCENARIO))
+    return an.scenario_answer(run(spark, folder).scenario_record(SCENARIO)).drop("scenario")
 
 
 NAMED = """, named AS (SELECT DISTINCT kind, id FROM (SELECT 'product' AS kind, product_id AS id FROM transfer_records
@@ -239,7 +240,7 @@ NAMED = """, named AS (SELECT DISTINCT kind, id FROM (SELECT 'product' AS kind,
 @query("a36_u02_entities", TO_RECORDS + NAMED + " SELECT kind, id FROM named")
 def entities(spark, folder):
     made = run(spark, folder)
-    return an.entities(made.transfer_records(SCENARIO), made.manufacturing_records(SCENARIO))
+    return an.entities(made.transfer_records(SCENARIO), made.manufacturing_records(SCENARIO)).drop("scenario")
 
 
 ENTITY_ROWS = """numbered AS (SELECT kind, id, row_number() OVER (ORDER BY kind, id) AS n FROM named),
@@ -253,7 +254,7 @@ ENTITY_ROWS = """numbered AS (SELECT kind, id, row_number() OVER (ORDER BY kind,
 def entity_answer(spark, folder):
     made = run(spark, folder)
     named = an.entities(made.transfer_records(SCENARIO), made.manufacturing_records(SCENARIO))
-    return an.entity_answer(named, scenario_name(spark))
+    return an.entity_answer(named, scenario_name(spark)).drop("scenario")
 
 
 COUNT_ROWS = """count_answers AS (SELECT 'total_counts|' AS answer_key, '**Scenario:** weekly_plan' || chr(10) || chr(10)
@@ -266,7 +267,7 @@ COUNT_ROWS = """count_answers AS (SELECT 'total_counts|' AS answer_key, '**Scena
 def count_answer(spark, folder):
     made = run(spark, folder)
     counts = an.result_counts(made.transfer_records(SCENARIO), made.manufacturing_records(SCENARIO))
-    return an.count_answer(counts, scenario_name(spark))
+    return an.count_answer(counts, scenario_name(spark)).drop("scenario")
 
 
 FIXED_ROWS = f"""fixed_answers AS (SELECT 'greeting|' AS answer_key, '{tx.GREETING_REPLY.replace("'", "''")}' AS "text"
@@ -286,7 +287,7 @@ def all_answers(spark, folder):
     questions = settle(asked(spark, folder))
     return answer_rows(
         questions, an.transfer_sections(moved), an.manufacturing_sections(produced), moved, produced, made.scenario_record(SCENARIO)
-    )
+    ).drop("scenario")
 
 
 @query("n14_records_missing_fields", TO_RECORDS + """SELECT transfer_id, ['cost_impact'] AS missing FROM transfer_records WHERE baseline_stockout_units <= 0""")

@@ -9,6 +9,8 @@ request without ids takes every record, without pairing questions and records.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -166,55 +168,85 @@ def _requested(asked: DataFrame, intent: str) -> DataFrame:
     return asked.where(F.col("intent") == intent).select("answer_key", "tokens").distinct()
 
 
-def matches(asked: DataFrame, sections: DataFrame, intent: str) -> DataFrame:
-    """(answer_key, position): the records each different request is about.
+#: Positions in one entry of a posting list.
+POSTING_BLOCK = 4096
+ANY = "*"
+
+
+def scenario_name(column: str = "scenario") -> Column:
+    return F.coalesce(F.col(column), F.lit("Unknown"))
+
 
-    Ids are joined by equality, one row per id; a request without ids takes all records. Only requests with
-    several ids can find a record twice, so only their matches are made distinct.
+def scenario_names(*tables: DataFrame) -> DataFrame:
+    """(scenario): the different scenarios the tables have records of."""
+    return reduce(DataFrame.unionByName, [t.select(scenario_name().alias("scenario")) for t in tables]).distinct()
+
+
+def postings(sections: DataFrame) -> DataFrame:
+    """(scenario, token, block, positions): an inverted index of the records, and ANY for all of them.
+
+    A list is cut into blocks of positions, so an id that most records name is many rows of bounded size.
+    """
+    ids = sections.select(scenario_name().alias("scenario"), "position", F.explode(F.array_append("tokens", F.lit(ANY))).alias("token"))
+    block = F.floor(F.col("position") / POSTING_BLOCK)
+    return ids.groupBy("scenario", "token", block.alias("block")).agg(F.array_sort(F.collect_set("position")).alias("positions"))
+
+
+def matched_blocks(asked: DataFrame, index: DataFrame, intent: str) -> DataFrame:
+    """(scenario, answer_key, block, positions): the records each different request is about, as unions of posting lists.
+
+    Lists of one request meet block by block, so its matches grow by an array per block and are never listed one by one.
     """
     wanted = _requested(asked, intent)
-    record_ids = sections.select("position", F.explode("tokens").alias("token"))
-    found = wanted.select("answer_key", F.size("tokens").alias("_n"), F.explode("tokens").alias("token")).join(record_ids, "token")
-    one_id = found.where("_n = 1").select("answer_key", "position")
-    several = found.where("_n > 1").select("answer_key", "position").distinct()
-    # All requests without ids share one key, so this side is one row at most.
-    everything = wanted.where(F.size("tokens") == 0).select("answer_key").limit(1)
-    taken = sections.select("position").join(F.broadcast(everything)).select("answer_key", "position")
-    return one_id.unionByName(several).unionByName(taken)
-
-
-def answer_headers(asked: DataFrame, hits: DataFrame, intent: str, scenario: DataFrame) -> DataFrame:
-    """(answer_key, n_matches, header): the opening lines, or the message that nothing matches."""
+    tokens = F.when(F.size("tokens") == 0, F.array(F.lit(ANY))).otherwise(F.col("tokens"))
+    met = wanted.select("answer_key", F.explode(tokens).alias("token")).join(index, "token")
+    return met.groupBy("scenario", "answer_key", "block").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("positions")))).alias("positions"))
+
+
+def listed(blocks: DataFrame) -> DataFrame:
+    """(scenario, answer_key, position): the matches one by one, for reading."""
+    return blocks.select("scenario", "answer_key", F.explode("positions").alias("position"))
+
+
+def matches(asked: DataFrame, sections: DataFrame, intent: str) -> DataFrame:
+    """(scenario, answer_key, position): the records each different request is about, in every scenario."""
+    return listed(matched_blocks(asked, postings(sections), intent))
+
+
+def answer_headers(asked: DataFrame, blocks: DataFrame, intent: str, scenarios: DataFrame) -> DataFrame:
+    """(scenario, answer_key, n_matches, header): the opening lines, or the message that nothing matches."""
     noun, nothing = {
         "explain_transfer": ("transfers", tx.NO_TRANSFERS),
         "explain_manufacturing": ("manufacturing actions", tx.NO_MANUFACTURING),
     }[intent]
-    counts = hits.groupBy("answer_key").agg(F.count("*").alias("n_matches"))
-    named = scenario.select(F.col("scenario").alias("_scenario")).limit(1)  # one run, one name
-    all_keys = _requested(asked, intent).select("answer_key").join(counts, "answer_key", "left").join(F.broadcast(named))
-    n = F.coalesce("n_matches", F.lit(0))
+    keys = ["scenario", "answer_key"]
+    counts = blocks.groupBy(*keys).agg(F.sum(F.size("positions")).alias("n_matches"))
+    # Every request is answered for every scenario, so this is as long as the answers are.
+    all_keys = _requested(asked, intent).select("answer_key").join(scenarios, F.lit(True)).join(counts, keys, "left")
+    n = F.coalesce("n_matches", F.lit(0).cast("bigint"))
     header = F.concat(
-        F.lit("**Scenario:** "), F.coalesce("_scenario", F.lit("Unknown")), F.lit(f"  \n**Matching {noun}:** "), n.cast("string")
+        F.lit("**Scenario:** "), F.col("scenario"), F.lit(f"  \n**Matching {noun}:** "), n.cast("string")
     )
-    return all_keys.select("answer_key", n.alias("n_matches"), F.when(n > 0, header).otherwise(nothing).alias("header"))
+    return all_keys.select(*keys, n.alias("n_matches"), F.when(n > 0, header).otherwise(nothing).alias("header"))
 
 
-def record_answers(asked: DataFrame, sections: DataFrame, hits: DataFrame, intent: str, scenario: DataFrame) -> DataFrame:
-    """(answer_key, place, section): the header at place 0, each matching record at its position plus one."""
-    headers = answer_headers(asked, hits, intent, scenario)
-    bodies = hits.join(sections.select("position", "section"), "position")
-    return headers.select("answer_key", F.lit(0).cast("bigint").alias("place"), F.col("header").alias("section")).unionByName(
-        bodies.select("answer_key", (F.col("position") + 1).cast("bigint").alias("place"), "section")
+def record_answers(asked: DataFrame, sections: DataFrame, blocks: DataFrame, intent: str, scenarios: DataFrame) -> DataFrame:
+    """(scenario, answer_key, place, section): the header at place 0, each matching record at its position plus one."""
+    headers = answer_headers(asked, blocks, intent, scenarios)
+    texts = sections.select(scenario_name().alias("scenario"), "position", "section")
+    bodies = listed(blocks).join(texts, ["scenario", "position"])
+    return headers.select("scenario", "answer_key", F.lit(0).cast("bigint").alias("place"), F.col("header").alias("section")).unionByName(
+        bodies.select("scenario", "answer_key", (F.col("position") + 1).cast("bigint").alias("place"), "section")
     )
 
 
 def at_once(answers: DataFrame) -> DataFrame:
-    """Answers that are one text, (answer_key, text), as rows with the single place 0."""
-    return answers.select("answer_key", F.lit(0).cast("bigint").alias("place"), F.col("text").alias("section"))
+    """Answers that are one text, (scenario, answer_key, text), as rows with the single place 0."""
+    return answers.select("scenario", "answer_key", F.lit(0).cast("bigint").alias("place"), F.col("text").alias("section"))
 
 
 def scenario_answer(scenario: DataFrame) -> DataFrame:
-    """(answer_key, text) comparing baseline and optimized; one row per scenario record."""
+    """(scenario, answer_key, text) comparing baseline and optimized; one row per scenario record."""
     def money(path: str) -> Column:
         return tx.dollars(F.col(path))
 
@@ -237,70 +269,72 @@ def scenario_answer(scenario: DataFrame) -> DataFrame:
         _row("Stockout units reduced", _count_text("delta.stockout_reduction_units")),
         _row("Stockout reduction", tx.percent(F.col("delta.stockout_reduction_pct"))),
     )
-    return scenario.select(F.lit("scenario|").alias("answer_key"), text.alias("text"))
+    return scenario.select(scenario_name().alias("scenario"), F.lit("scenario|").alias("answer_key"), text.alias("text"))
 
 
 def entities(transfers: DataFrame, manufacturing: DataFrame) -> DataFrame:
-    """(kind, id): the different products and stores named in the results."""
-    products = transfers.select("product_id").unionByName(manufacturing.select("product_id"))
-    stores = transfers.select(F.explode(F.array("from_store", "to_store")).alias("id"))
-    named = products.select(F.lit("product").alias("kind"), F.col("product_id").alias("id")).unionByName(
-        stores.select(F.lit("store").alias("kind"), "id")
+    """(scenario, kind, id): the different products and stores named in the results."""
+    name = scenario_name().alias("scenario")
+    products = transfers.select(name, "product_id").unionByName(manufacturing.select(name, "product_id"))
+    stores = transfers.select(name, F.explode(F.array("from_store", "to_store")).alias("id"))
+    named = products.select("scenario", F.lit("product").alias("kind"), F.col("product_id").alias("id")).unionByName(
+        stores.select("scenario", F.lit("store").alias("kind"), "id")
     )
     return named.where("id IS NOT NULL").distinct()
 
 
-def entity_answer(named: DataFrame, scenario: DataFrame) -> DataFrame:
-    """(answer_key, place, section): products, then stores, one row per id under a heading each."""
-    numbered = row_numbers(named, ["kind", "id"], "_n")  # products come before stores
-    counted = named.groupBy().agg(
+def entity_answer(named: DataFrame, scenarios: DataFrame) -> DataFrame:
+    """(scenario, answer_key, place, section): products, then stores, one row per id under a heading each."""
+    numbered = row_numbers(named, ["scenario", "kind", "id"], "_n")  # products come before stores
+    counted = named.groupBy("scenario").agg(
         F.count_if(F.col("kind") == "product").alias("n_products"), F.count_if(F.col("kind") == "store").alias("n_stores")
     )
-    name = scenario.select(F.col("scenario").alias("_scenario")).limit(1)
-    known = counted.join(F.broadcast(name))  # one row each
+    known = scenarios.join(counted, "scenario", "left").na.fill(0, ["n_products", "n_stores"])
     none = lambda n: F.when(F.col(n) == 0, F.lit("\n- None")).otherwise("")
     top = F.concat(_lines(
-        F.concat(F.lit("**Scenario:** "), F.coalesce("_scenario", F.lit("Unknown"))), "", "**Products involved/at risk**:"
+        F.concat(F.lit("**Scenario:** "), F.col("scenario")), "", "**Products involved/at risk**:"
     ), none("n_products"))
     middle = F.concat(F.lit("\n**Stores involved**:"), none("n_stores"))
-    headings = known.select(F.explode(F.array(
+    headings = known.select("scenario", F.explode(F.array(
         F.struct(F.lit(0).cast("bigint").alias("place"), top.alias("section")),
         F.struct((F.col("n_products") + 1).alias("place"), middle.alias("section")),
-    )).alias("_h")).select("_h.*")
-    place = F.col("_n") + F.when(F.col("kind") == "store", 1).otherwise(0)
-    listed = numbered.select(place.alias("place"), F.concat(F.lit("- "), "id").alias("section"))
-    return headings.unionByName(listed).select(F.lit("list_entities|").alias("answer_key"), "place", "section")
+    )).alias("_h")).select("scenario", "_h.*")
+    begins = numbered.groupBy("scenario").agg((F.min("_n") - 1).alias("_before"))
+    place = F.col("_n") - F.col("_before") + F.when(F.col("kind") == "store", 1).otherwise(0)
+    items = numbered.join(begins, "scenario").select("scenario", place.alias("place"), F.concat(F.lit("- "), "id").alias("section"))
+    return headings.unionByName(items).select("scenario", F.lit("list_entities|").alias("answer_key"), "place", "section")
 
 
 def result_counts(transfers: DataFrame, manufacturing: DataFrame) -> DataFrame:
-    """One row: transfers, production rows and different products in either."""
-    products = transfers.select("product_id").unionByName(manufacturing.select("product_id")).where("product_id IS NOT NULL")
-    return (
-        transfers.agg(F.count("*").alias("n_transfers"))
-        .join(F.broadcast(manufacturing.agg(F.count("*").alias("n_manufacturing"))))
-        .join(F.broadcast(products.agg(F.count_distinct("product_id").alias("n_products"))))  # one row each
+    """(scenario, n_transfers, n_manufacturing, n_products): transfers, production rows and different products in either."""
+    name = scenario_name().alias("scenario")
+    moved = transfers.select(name, "product_id", F.lit(1).alias("_t"), F.lit(0).alias("_m"))
+    made = manufacturing.select(name, "product_id", F.lit(0).alias("_t"), F.lit(1).alias("_m"))
+    each = moved.unionByName(made).groupBy("scenario", "product_id").agg(F.sum("_t").alias("_t"), F.sum("_m").alias("_m"))
+    return each.groupBy("scenario").agg(
+        F.sum("_t").alias("n_transfers"), F.sum("_m").alias("n_manufacturing"), F.count("product_id").alias("n_products")
     )
 
 
-def count_answer(counts: DataFrame, scenario: DataFrame) -> DataFrame:
+def count_answer(counts: DataFrame, scenarios: DataFrame) -> DataFrame:
     def item(name: str, column: str) -> Column:
         return F.concat(F.lit(f"- {name}: **"), F.col(column).cast("string"), F.lit("**"))
 
     text = _lines(
-        F.concat(F.lit("**Scenario:** "), F.coalesce("_scenario", F.lit("Unknown"))), "",
+        F.concat(F.lit("**Scenario:** "), F.col("scenario")), "",
         "**Overall Summary Metrics:**",
         item("Total Transfer Recommendations", "n_transfers"),
         item("Total Manufacturing Decisions", "n_manufacturing"),
         item("Unique Products Affected", "n_products"),
     )
-    name = scenario.select(F.col("scenario").alias("_scenario")).limit(1)
-    return counts.join(F.broadcast(name)).select(F.lit("total_counts|").alias("answer_key"), text.alias("text"))
+    known = scenarios.join(counts, "scenario", "left").na.fill(0)
+    return known.select("scenario", F.lit("total_counts|").alias("answer_key"), text.alias("text"))
 
 
 def fixed_replies(any_frame: DataFrame) -> DataFrame:
-    """(answer_key, text) for greetings and questions out of scope."""
-    rows = [("greeting|", tx.GREETING_REPLY), ("out_of_scope|", tx.OUT_OF_SCOPE_REPLY)]
-    return any_frame.sparkSession.createDataFrame(rows, "answer_key string, text string")
+    """(scenario, answer_key, text) for greetings and questions out of scope, the same for every scenario."""
+    rows = [(None, "greeting|", tx.GREETING_REPLY), (None, "out_of_scope|", tx.OUT_OF_SCOPE_REPLY)]
+    return any_frame.sparkSession.createDataFrame(rows, "scenario string, answer_key string, text string")
 
 
 def needs_no_rewriting(answer_key: Column, section: Column) -> Column:

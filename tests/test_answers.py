@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockloom import schemas
+from stockloom.functions import text as tx
 from stockloom.operators import answers as an
 from stockloom.plans.answering import answer
 from stockloom.sources import sinks, tables
@@ -193,3 +194,45 @@ def test_broken_records_are_kept_and_named(spark, tmp_path):
     good, bad = tables.read_records(spark, str(tmp_path / "r.json"), schemas.MANUFACTURING_RECORD)
     assert [r["product_id"] for r in good.collect()] == ["p"]
     assert sorted(r["record"] for r in bad.collect()) == ['[1]', '{"product_id": ', '{"product_id": "q", "manufacture_quantity": "many"}']
+
+
+def test_every_scenario_is_answered(spark, records):
+    """A second scenario gets its own headers, matches, lists and counts; a nameless one is called Unknown."""
+    transfers, manufacturing, scenario = records
+    second = transfers.where("transfer_id = 'T002'").withColumns({"scenario": F.lit("Low"), "position": F.lit(0).cast("bigint")})
+    third = scenario.withColumn("scenario", F.lit(None).cast("string"))
+    made = answer(ask(spark, "transfers for product 9", "why transfer", "explain T001"), transfers.unionByName(second), manufacturing,
+                  scenario.unionByName(scenario.withColumn("scenario", F.lit("Low"))).unionByName(third))
+    rows = {}
+    for r in made.rows.orderBy("place").collect():
+        rows.setdefault((r["scenario"], r["answer_key"]), []).append(r["section"])
+    by_product = "explain_transfer|p:product_9"
+    assert len(rows["High", by_product]) == len(rows["Low", by_product]) == 2
+    assert rows["Low", by_product][0].startswith("**Scenario:** Low") and rows["Unknown", by_product] == [tx.NO_TRANSFERS]
+    assert len(rows["High", "explain_transfer|"]) == 3 and len(rows["Low", "explain_transfer|"]) == 2
+    assert rows["Low", "explain_transfer|t:t001"] == [tx.NO_TRANSFERS]
+    assert {s for s, k in rows if k == "scenario|"} == {"High", "Low", "Unknown"}
+    assert rows["Low", "list_entities|"][1:] == ["- product_9", "\n**Stores involved**:", "- store_1", "- store_3"]
+    assert "Total Transfer Recommendations: **1**" in rows["Low", "total_counts|"][0]
+    assert "Total Manufacturing Decisions: **0**" in rows["Unknown", "total_counts|"][0]
+    assert [s for s, k in rows if k == "greeting|"] == [None]
+
+
+def test_posting_lists_are_cut_and_united(spark, monkeypatch):
+    """An id most records name is many blocks of bounded length; a request of several ids has each record once."""
+    monkeypatch.setattr(an, "POSTING_BLOCK", 10)
+    sections = spark.range(95).select(
+        F.lit("A").alias("scenario"), F.col("id").alias("position"),
+        F.array_compact(F.array(F.lit("p:hot"), F.when(F.col("id") % 7 == 0, F.lit("s:few")), F.concat(F.lit("t:"), F.col("id")))).alias("tokens"))
+    index = an.postings(sections)
+    assert index.where("token = 'p:hot'").count() == 10 and index.agg(F.max(F.size("positions"))).first()[0] == 10
+    asked = spark.createDataFrame(
+        [("k0", "x", ["p:hot"]), ("k0", "x", ["p:hot"]), ("k1", "x", ["p:hot", "s:few"]), ("k2", "x", []), ("k3", "x", ["s:few", "t:1"]), ("k4", "x", ["none"])],
+        "answer_key string, intent string, tokens array<string>")
+    blocks = an.matched_blocks(asked, index, "x")
+    assert blocks.agg(F.max(F.size("positions"))).first()[0] == 10
+    got = {}
+    for r in an.listed(blocks).collect():
+        got.setdefault(r["answer_key"], []).append(r["position"])
+    everything, few = list(range(95)), [i for i in range(95) if i % 7 == 0]
+    assert {k: sorted(v) for k, v in got.items()} == {"k0": everything, "k1": everything, "k2": everything, "k3": sorted([1, *few])}
