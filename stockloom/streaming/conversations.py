@@ -1,75 +1,48 @@
 """Carry the last in-scope intent of a conversation to its follow-up turns, as turns arrive.
 
 Turns may arrive in any order, so an earlier turn that comes late corrects the ones after it. The state store keeps
-the turns of each conversation with the intent their own words give; a batch opens the conversations it has turns
-of, puts them in and passes on the turns whose answer is new or has changed. No batch reads what earlier ones
-wrote, so its work follows its own turns and not the length of the stream. The state lies with the checkpoint in the
-shared folder; for more conversations than fit into memory choose Spark's RocksDB state store
+the turns of each conversation with the intent their own words give, as a streaming aggregation; a batch opens the
+conversations it has turns of and answers those again. No batch reads what earlier ones wrote, so its work follows
+the conversations it touches and not the length of the stream. The state lies with the checkpoint in the shared
+folder; for more conversations than fit into memory choose Spark's RocksDB state store
 (`spark.sql.streaming.stateStore.providerClass`). Classification and carrying are those of the batch job.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stockloom.operators.answers import ID_LISTS, classify, has_ids, in_scope
 from stockloom.session import scratch_path
 from stockloom.streaming.runs import each_batch, latest
 
 TURN = ["conv_id", "turn"]
-STATE = "turns array<bigint>, intents array<string>, scoped array<boolean>, follows array<boolean>, shown array<string>"
 
 
-def own_intents(questions: DataFrame, strict: bool = False) -> DataFrame:
-    """(conv_id, turn, intent, scoped, follows): what each turn says by itself, and whether it takes over an intent."""
+def turns_by_conversation(questions: DataFrame, strict: bool = False) -> DataFrame:
+    """(conv_id, turns): what each turn says by itself, and whether it takes over an intent."""
     known = classify(questions, strict).where("conv_id IS NOT NULL")
     follows = (F.col("intent") == "out_of_scope") & (F.col("is_all") | has_ids(*ID_LISTS))
-    return known.select(*TURN, "intent", in_scope(F.col("intent")).alias("scoped"), follows.alias("follows"))
-
+    turn = F.struct("turn", "intent", in_scope(F.col("intent")).alias("scoped"), follows.alias("follows"))
+    return known.groupBy("conv_id").agg(F.collect_list(turn).alias("turns"))
 
-def carried(questions: DataFrame, strict: bool = False) -> DataFrame:
-    """A stream of (conv_id, turn, intent): the turns of each batch and those whose answer they change."""
-    own = own_intents(questions, strict)
 
-    def take(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = list(zip(*state.get)) if state.exists else []
-        for frame in frames:
-            held += [
-                (None if pd.isna(turn) else int(turn), intent, bool(scoped), bool(follows), None)
-                for turn, intent, scoped, follows in zip(frame["turn"], frame["intent"], frame["scoped"], frame["follows"])
-            ]
-        held.sort(key=lambda t: (t[0] is not None, t[0] or 0))  # stable, turns without a number first
-        last, kept, changed = None, [], []
-        for turn, intent, scoped, follows, before in held:
-            answer = last if follows and last is not None else intent
-            if answer != before:
-                changed.append((key[0], turn, answer))
-            kept.append((turn, intent, scoped, follows, answer))
-            if scoped:
-                last = intent
-        state.update(tuple(map(list, zip(*kept))))
-        yield pd.DataFrame({
-            "conv_id": [c[0] for c in changed], "turn": pd.array([c[1] for c in changed], "Int64"), "intent": [c[2] for c in changed],
-        })
-
-    kind = dict(own.dtypes)["conv_id"]
-    return own.groupBy("conv_id").applyInPandasWithState(
-        take, f"conv_id {kind}, turn bigint, intent string", STATE, "update", GroupStateTimeout.NoTimeout
-    )
+def answered(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, intent) of whole conversations: a follow-up takes the last in-scope intent before it."""
+    turns = conversations.select("conv_id", F.inline("turns"))
+    before = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    last = F.last(F.when(F.col("scoped"), F.col("intent")), ignorenulls=True).over(before)
+    return turns.select(*TURN, F.when(F.col("follows"), F.coalesce(last, F.col("intent"))).otherwise(F.col("intent")).alias("intent"))
 
 
 def carried_intents(questions: DataFrame, path: str, strict: bool = False) -> StreamingQuery:
-    """Read a stream of questions to its end. `path/intents` gets the answers, by batch; a batch run again replaces its
-    own folder."""
+    """Read a stream of questions to its end. `path/intents` gets the intents of the touched conversations, by batch; a
+    batch run again replaces its own folder."""
     return each_batch(
-        carried(questions, strict), lambda b, n: b.write.mode("overwrite").parquet(f"{path}/intents/batch_id={n}"),
-        f"{path}/state", "update",
+        turns_by_conversation(questions, strict),
+        lambda b, n: answered(b).write.mode("overwrite").parquet(f"{path}/intents/batch_id={n}"), f"{path}/state", "update",
     )
 
 
