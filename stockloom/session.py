@@ -57,13 +57,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 _kept: list[str] = []
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, row_group: int | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back: cuts the lineage and survives the loss of executors.
 
-    Columnar, so each reader takes the columns it needs, and computed once. `discard` removes the files.
+    Columnar, so each reader takes the columns it needs, and computed once. `discard` removes the files. `row_group`:
+    bytes of a row group, smaller than Parquet's where a table is narrow and much is computed from each row, since
+    a row group is the least a task can read.
     """
     path = scratch_path(df.sparkSession, "kept")
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.option("parquet.block.size", row_group) if row_group else writer).parquet(path)
     _kept.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
