@@ -33,12 +33,30 @@ from stockloom.llm.common import col, stored
 # start only where a run of that class can start.
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)+"
 KEY_ID = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])"
-SECRET_NAME = r"(?i:passwords?|passwd|pwd|tokens?|secrets?|api[_-]?keys?)\s{0,3}[=:]\s{0,3}[\"']?"
+SECRET_NAME = (
+    r"(?:(?i:passwords?|passwd|pwd|tokens?|secrets?|api[_-]?keys?)\s{0,3}[=:]\s{0,3}[\"']?"
+    r"|(?i:passwords?|passwd|pwd|passphrase)\sis:?\s[\"']?(?=[^\s\"'<>]*\d)"
+    r"|(?i:bearer)\s(?=[A-Za-z0-9._~+/=-]{16})(?=[A-Za-z0-9._~+/=-]*\d))"
+)
+# Beginnings of keys that services give out; what follows is replaced.
+TOKEN = (
+    r"(?<![\p{L}\p{N}_-])(?:gh[pousr]_[A-Za-z0-9]{20,}+|sk-[A-Za-z0-9_-]{16,}+|xox[abprs]-[A-Za-z0-9-]{10,}+"
+    r"|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)"
+)
+SCHEME = r"[A-Za-z][A-Za-z0-9+.-]{1,20}+://"
+LOGIN = r"(?<![\p{L}\p{N}])" + SCHEME + r"[^\s:/@<>\"']{1,64}+:[^\s/@<>\"']{1,64}+@"
 SECRET = r"(?<![\p{L}\p{N}])" + SECRET_NAME + r"[^\s\"'<>]{6,}+"
 IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 ADDRESS = r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
 SOCIAL = r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\d-])"
-CARD = r"(?<![\p{N}+.])\d(?:[ -]?\d){12,18}(?!\d)"
+ADDRESS_6 = (
+    r"(?<![\p{L}\p{N}:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\p{L}\p{N}:])"
+)
+# The groupings cards are printed in, or all digits together; other digits side by side are dates and numbers.
+CARD = (
+    r"(?<![\p{N}+.])(?:\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{4}(?:[ -]\d{3}){3}|\d{13,19})(?!\d)"
+)
 PHONE = (
     r"\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]\d{1,4}|\d{2,4}){2,5}(?!\d)"
     r"|(?<![\p{N}+])(?<![\p{N}+][.-])(?:1[ .-]|1(?=\())?(?:\(?\d{3}\)?[ .-]|\(\d{3}\))\d{3}[ .-]\d{4}(?!\d)"
@@ -59,7 +77,7 @@ NAME = rf"(?<![\p{{L}}\p{{N}}]){TITLES}++(?:{WORDS}(?:\s{WORDS})*+|\p{{Lu}}(?:\.
 # What of a name is replaced: each capitalised or joined piece.
 PIECE = rf"(?:\p{{Lu}}|(?<={LETTERS}{JOINT})\p{{L}}){LETTERS}*+"
 # A text with none of these signs has no entity; most texts need no more than this look.
-SIGNS = r"[@0-9=:]|AKIA|ASIA"
+SIGNS = r"[@0-9=:]|AKIA|ASIA|gh[pousr]_|sk-|xox|eyJ"
 # Beginnings of the titles.
 TITLE_SIGNS = ("Mr", "Ms", "Miss", "Mme", "Madame", "Monsieur", "Herr", "Frau", "Señor", "Sr", "Signor", "госп", "г-", "Dr", "Doctor", "Prof")
 # Syllables of made-up names, per script.
@@ -77,7 +95,8 @@ class Kind:
 
 # In order of precedence where two could start at the same place.
 KINDS = (
-    Kind("secret", SECRET), Kind("email", EMAIL), Kind("key_id", KEY_ID), Kind("iban", IBAN), Kind("address", ADDRESS),
+    Kind("secret", SECRET), Kind("token", TOKEN), Kind("login", LOGIN), Kind("email", EMAIL), Kind("key_id", KEY_ID),
+    Kind("iban", IBAN), Kind("address", ADDRESS), Kind("address_6", ADDRESS_6),
     Kind("social", SOCIAL), Kind("phone", PHONE), Kind("card", CARD), Kind("name", NAME),
 )
 ANY = "|".join(f"(?:{k.pattern})" for k in KINDS)
@@ -108,9 +127,9 @@ def _script(word: Column) -> Column:
 def _parts(found: Column) -> Column:
     """What is to be replaced in a matched string: pieces (text before, type, value).
 
-    The name of a secret, the titles of a person, particles and the separators of names stay."""
+    The name of a secret, the scheme of an address, the titles of a person, particles and the separators of names stay."""
     kind = _kind(found)
-    label = F.regexp_extract(found, "^" + SECRET_NAME, 0)
+    label, scheme = F.regexp_extract(found, "^" + SECRET_NAME, 0), F.regexp_extract(found, "^" + SCHEME, 0)
     title = F.regexp_extract(found, rf"^{TITLES}+", 0)
     he, she = (F.regexp_like(title, F.lit(rf"(?:^|\s)(?:{t})\.?\s")) for t in (TITLE_HE, TITLE_SHE))
     names = F.substring(found, F.length(title) + 1, F.length(found))
@@ -124,6 +143,7 @@ def _parts(found: Column) -> Column:
     ))
     return (
         F.when(kind == "secret", F.array(_part(label, kind, F.substring(found, F.length(label) + 1, F.length(found)))))
+        .when(kind == "login", F.array(_part(scheme, kind, F.substring(found, F.length(scheme) + 1, F.length(found)))))
         .when(kind == "name", person)
         .otherwise(F.array(_part(F.lit(""), kind, found)))
     )
@@ -137,7 +157,7 @@ def _canonical(kind: Column, value: Column) -> Column:
     return (
         F.when(kind.isin(*DIGIT_KINDS), F.regexp_replace(value, r"\D", ""))
         .when(kind == "iban", F.replace(value, F.lit(" "), F.lit("")))
-        .when((kind == "email") | kind.contains(":"), F.lower(value))
+        .when(kind.isin("email", "address_6") | kind.contains(":"), F.lower(value))
         .otherwise(value)
     )
 
@@ -246,6 +266,8 @@ def _draw(key: str) -> Column:
         .when(kind == "email", F.concat(_same_class(local), more, F.lit("@"), label, F.lit(".example."), top))
         .when(kind == "address", octets)
         .when(kind == "iban", F.concat(F.substring(value, 1, 2), iban_check, body))
+        .when(kind == "address_6", F.concat(_same_class(value, F.lit(True)), more))
+        .when(kind == "token", F.concat(F.substring(value, 1, 4), _same_class(F.substring(value, F.lit(5), F.length(value))), more))
         .when(kind == "key_id", F.concat(F.substring(value, 1, 4), _same_class(F.substring(value, F.lit(5), F.length(value))), F.upper(more)))
     )
     for script, table in (("latin", LATIN), ("cyrillic", CYRILLIC), ("greek", GREEK)):
@@ -328,8 +350,12 @@ def _in_format(kind: Column, value: Column, surrogate: Column) -> Column:
     )
 
 
-def replace_entities(docs: DataFrame, key: str = "key of this data set", text: str = "text") -> DataFrame:
-    """The documents with surrogates in their texts, and `n_replaced`, the number of replaced strings."""
+def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """The documents with surrogates in their texts, and `n_replaced`, the number of replaced strings.
+
+    `key` must be kept secret: with it, guesses at the originals can be tried out. There is no default."""
+    if not key:
+        raise ValueError("surrogates need a key")
     own = [c for c in docs.columns if c.lower() != "n_replaced"]
     names = {c: f"c{i}" for i, c in enumerate(own)}
     rows = docs.select(*[col(c).alias(n) for c, n in names.items()])

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from stockloom.llm import pii
 
+KEY = "key of the tests"
+
 
 def replaced(spark, texts, **more):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    return {r["doc_id"]: (r["text"], r["n_replaced"]) for r in pii.replace_entities(docs, **more).collect()}
+    return {r["doc_id"]: (r["text"], r["n_replaced"]) for r in pii.replace_entities(docs, **{"key": KEY, **more}).collect()}
 
 
 def luhn(number):
@@ -95,7 +97,7 @@ def test_nulls_repeats_long_texts_and_clashing_columns(spark):
     long = "word " * 200_000 + "tail@mail1.example.com " + "x" * 300_000
     docs = spark.createDataFrame([(1, None), (None, "a@b.com"), (2, long), (3, "a@b.com"), (3, "a@b.com")], "doc_id long, text string")
     docs = docs.selectExpr("*", "'f' AS found", "'k' AS kind", "9 AS N_REPLACED", "'s' AS at", "1 AS `odd.name`")
-    out = pii.replace_entities(docs)
+    out = pii.replace_entities(docs, KEY)
     assert out.columns == ["doc_id", "text", "found", "kind", "at", "odd.name", "n_replaced"]
     rows = out.collect()
     assert len(rows) == 5
@@ -107,12 +109,12 @@ def test_nulls_repeats_long_texts_and_clashing_columns(spark):
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert pii.replace_entities(docs).count() == 0
+    assert pii.replace_entities(docs, KEY).count() == 0
 
 
 def test_all_entities_of_the_test_documents_go(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    out = pii.replace_entities(docs).alias("o").join(docs.alias("d"), "doc_id")
+    out = pii.replace_entities(docs, KEY).alias("o").join(docs.alias("d"), "doc_id")
     found = F.regexp_extract_all("d.text", F.lit(pii.ANY), F.lit(0))
     left = out.select("doc_id", F.explode(found).alias("e"), "o.text").filter("contains(text, e)")
     assert left.count() == 0
@@ -121,7 +123,7 @@ def test_all_entities_of_the_test_documents_go(spark):
 
 @pytest.mark.parametrize("part", ["Python", "Arrow"])
 def test_plan_has_no_python(spark, capsys, part):
-    pii.replace_entities(spark.createDataFrame([(1, "a@b.com")], "doc_id long, text string")).explain()
+    pii.replace_entities(spark.createDataFrame([(1, "a@b.com")], "doc_id long, text string"), KEY).explain()
     assert part not in capsys.readouterr().out
 
 
@@ -174,3 +176,41 @@ def test_texts_with_many_short_phones(spark):
     inside = [re.fullmatch(r"score \+([\d ]+), end", got[i][0])[1] for i in range(len(phones))]
     assert len({x.replace(" ", "") for x in inside}) == len(phones)
     assert not {x.replace(" ", "") for x in inside} & {p[1:].replace(" ", "") for p in phones}
+
+
+def test_numbers_side_by_side_stay_apart(spark):
+    """Dates are no cards, an entity next to a number is found whole, and no digit of it is left behind."""
+    got = replaced(spark, [
+        "2024-12-31 2025-01-02 123-45-6789", "on 2024-12-31 4111 1111 1111 1111 2025-01-02", "3782 822463 10005 and 4222-222-222-222",
+        "1 2 3 4 5 6 7 8 9 10 11 12 13 14", "12-34-56-78-90-12-34",
+    ])
+    assert re.fullmatch(r"2024-12-31 2025-01-02 (?!123-45-6789)\d{3}-\d{2}-\d{4}", got[0][0]) and got[0][1] == 1
+    assert re.fullmatch(r"on 2024-12-31 4(?!111 1111 1111 1111)\d{3} \d{4} \d{4} \d{4} 2025-01-02", got[1][0])
+    assert re.fullmatch(r"3\d{3} \d{6} \d{5} and 4\d{3}-\d{3}-\d{3}-\d{3}", got[2][0]) and got[2][1] == 2
+    assert got[3] == ("1 2 3 4 5 6 7 8 9 10 11 12 13 14", 0) and got[4] == ("12-34-56-78-90-12-34", 0)
+
+
+def test_tokens_logins_and_long_addresses(spark):
+    cases = {
+        "ghp_16C7e42F292c6912E7710c838347Ae178B4a": r"ghp_[0-9A-Za-z]{36}",
+        "sk-abcDEF0123456789ghij": r"sk-[0-9A-Za-z]{20}",
+        "Bearer abcdefghij0123456789.x": r"Bearer [a-z]{10}\d{10}\.[a-z]",
+        "postgres://ann:s3cret!@db.example.org/x": r"postgres://[a-z]{3}:[a-z]\d[a-z]{4}!@db\.example\.org/x",
+        "password is hunter22": r"password is [a-z]{6}\d\d",
+        "2001:0db8:85a3:0000:0000:8a2e:0370:7334": r"(?:[0-9a-f]{4}:){7}[0-9a-f]{4}",
+        "fe80:1::ab:12": r"[0-9a-f]{4}:[0-9a-f]::[0-9a-f]{2}:[0-9a-f]{2}",
+    }
+    got = replaced(spark, [f"Before {c} after." for c in cases])
+    for i, (entity, pattern) in enumerate(cases.items()):
+        text, n = got[i]
+        inside = text.removeprefix("Before ").removesuffix(" after.")
+        assert re.fullmatch(pattern, inside) and inside != entity and n == 1, (entity, text)
+    clean = ["The password is required.", "the bearer of good news arrived", "std::vector and 12:30:45", "see https://example.org/a:b"]
+    assert [got[0] for got in replaced(spark, clean).values()] == clean
+
+
+def test_a_key_is_asked_for(spark):
+    docs = spark.createDataFrame([(1, "a@b.com")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        pii.replace_entities(docs, "")
+    assert replaced(spark, ["a@b.com"]) != replaced(spark, ["a@b.com"], key="another key")
