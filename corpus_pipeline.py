@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stockloom.llm import bpe, mixing, pii, quality_rules, simhash
 from stockloom.llm.common import stored
-from stockloom.llm.queries import table, vocabulary_path
+from stockloom.llm.queries import surrogate_key, table, vocabulary_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +25,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets give way to surrogates."""
-    return pii.replace_entities(docs).select(*docs.columns)
+    return pii.replace_entities(docs, surrogate_key()).select(*docs.columns)
 
 
 def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
