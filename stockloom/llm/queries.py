@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.llm import bpe, ctw, mixing, pieces, pii, quality_rules, repair, sharding, simhash, spelling, suffix_dedup, topk, warc
+from stockloom.llm.common import stored
 from stockloom.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -235,6 +236,22 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_asked = ", ".join(
+    f"('{p.version}', '{r.name}', {p.mask}, {1 << r.bit})" for p in quality_rules.POLICIES for r in quality_rules.RULES if r.name in p.rules)
+
+
+@query("ledger_ablations", f"""
+WITH ledger AS ({SQL['op10_quality_rules']}), asked(policy, rule, mask, bit) AS (VALUES {_asked})
+SELECT policy, rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits & mask <> 0) AS n_rejected,
+       count(*) FILTER (fail_bits & mask = bit) AS n_only_this
+FROM ledger, asked GROUP BY policy, rule""")
+def ledger_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """What each rule of each policy does, from the bits of all documents; the ledger is written once and read."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    bits = quality_rules.ledger(docs, carry=["doc_id"]).select("doc_id", "fail_bits")
+    return quality_rules.ablations(stored(bits, "ledger"))
+
+
 @query("op11_sentencepiece")
 def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
