@@ -64,6 +64,15 @@ def lane_matrix(spark, folder):
     return tables.read_lane_matrix(spark, path).select("from_id", "to_id", F.round(F.col("cost") + F.when(F.col("cost") > 0, 3e-8).otherwise(0.0), 6).alias("cost"))
 
 
+@query("s02_s08_lane_tiles", TO_LANES + f"SELECT CAST(from_city AS BIGINT) AS from_id, CAST(to_city AS BIGINT) AS to_id, {r('cost')} FROM lanes")
+def lane_tiles(spark, folder):
+    """City lanes as the tiles of a matrix and back. Small tiles, so that there are several."""
+    path = scratch_path(spark, "tiles")
+    lanes = city_lanes(spark, folder).select(F.col("from_city").cast("bigint").alias("from_id"), F.col("to_city").cast("bigint").alias("to_id"), "cost")
+    sinks.write_lane_tiles(lanes, path, side=8)
+    return tables.read_lane_tiles(spark, path).select("from_id", "to_id", F.round(F.col("cost") + F.when(F.col("cost") > 0, 3e-8).otherwise(0.0), 6).alias("cost"))
+
+
 _record_columns = "transfer_id, from_store, to_store, product_id, quantity, reason_codes"
 
 

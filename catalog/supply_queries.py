@@ -314,10 +314,12 @@ def zip_cities(spark, folder):
     return ln.zip_cities(made.select("city_id"), clusters).select("city_id", "geo_cluster")
 
 
-@query("m01_fitted_regions", TO_REGIONS + """SELECT count(*) AS n_regions, CAST(sum(n_records) AS BIGINT) AS n_records, true AS fits FROM regions""")
+@query("m01_fitted_regions", TO_REGIONS + """SELECT count(*) AS n_regions, CAST(sum(n_records) AS BIGINT) AS n_records, true AS fits,
+    (SELECT round((var_pop(vehicle_gps_latitude) + var_pop(vehicle_gps_longitude)) * count(*), 2) FROM logistics WHERE region_id IS NOT NULL) AS one_centre,
+    FROM regions""")
 def fitted_regions(spark, folder):
-    """As many clusters as there are cities. SQL states their number and that they hold every record; `fits`: the
-    points lie closer to their centres than to the one centre of all."""
+    """As many clusters as there are cities. SQL states their number, that they hold every record, and `one_centre`, the
+    squared distances of all points from one centre; `fits`: the fitted centres leave less than a fiftieth of that."""
     rows = views.logistics(
         spark, folder, "region_id", "vehicle_gps_latitude", "vehicle_gps_longitude", *ln.MEAN_AND_STD, *ln.MEAN_ONLY
     ).where("region_id IS NOT NULL")
@@ -327,7 +329,8 @@ def fitted_regions(spark, folder):
     at = rows.select("vehicle_gps_latitude", "vehicle_gps_longitude")
     spread = at.agg((F.var_pop("vehicle_gps_latitude") + F.var_pop("vehicle_gps_longitude")) * F.count("*")).first()[0]
     return made.agg(
-        F.count("*").alias("n_regions"), F.sum("n_records").alias("n_records"), F.lit(model.summary.trainingCost < spread).alias("fits")
+        F.count("*").alias("n_regions"), F.sum("n_records").alias("n_records"),
+        F.lit(model.summary.trainingCost < spread / 50).alias("fits"), F.round(F.lit(spread), 2).alias("one_centre"),
     )
 
 

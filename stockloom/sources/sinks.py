@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockloom.operators.ordered import row_numbers
+
 
 def write_table(df: DataFrame, path: str) -> None:
     """CSV with a header. Arrays and structs are written as JSON text."""
@@ -24,9 +26,33 @@ def land_demand(spark: SparkSession, source: str, target: str, partition: str =
     rows.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(target)
 
 
+#: Rows and columns of a tile of a lane matrix.
+TILE = 512
+
+
+def write_lane_tiles(lanes: DataFrame, path: str, side: int = TILE) -> None:
+    """A (from_id, to_id, cost) table as the tiles of a matrix, the stored form for any number of ids.
+
+    `path/ids` numbers the ids: (id, block, place). `path/tiles` has a row per tile with any lane: (row_block, column_block,
+    places, costs), a place being row * side + column inside the tile. No row is longer than a tile, pairs without a
+    lane take no room, and readers of some origins or destinations open their blocks only.
+    """
+    every = lanes.select(F.col("from_id").alias("id")).unionByName(lanes.select(F.col("to_id").alias("id"))).distinct()
+    numbered = row_numbers(every, ["id"], "_n").select("id", ((F.col("_n") - 1) / side).cast("int").alias("block"), F.pmod(F.col("_n") - 1, F.lit(side)).cast("int").alias("place"))
+    numbered.write.mode("overwrite").parquet(f"{path}/ids")
+    ids = lanes.sparkSession.read.parquet(f"{path}/ids")
+    row, column = (ids.select(F.col("id").alias(c), F.col("block").alias(f"{n}_block"), F.col("place").alias(f"_{n}")) for c, n in (("from_id", "row"), ("to_id", "column")))
+    placed = lanes.join(row, "from_id").join(column, "to_id")
+    cell = F.struct((F.col("_row") * side + F.col("_column")).alias("place"), F.col("cost").cast("double").alias("cost"))
+    tiles = placed.groupBy("row_block", "column_block").agg(F.array_sort(F.collect_list(cell)).alias("_cells"))
+    shown = tiles.select("row_block", "column_block", F.lit(side).alias("side"), F.col("_cells.place").alias("places"), F.col("_cells.cost").alias("costs"))
+    shown.repartitionByRange("row_block", "column_block").sortWithinPartitions("row_block", "column_block").write.mode("overwrite").parquet(f"{path}/tiles")
+
+
 def write_lane_matrix(lanes: DataFrame, path: str) -> None:
     """The labelled wide form of a (from_id, to_id, cost) table as CSV lines: a header of all ids, then a
-    line per origin. Pairs that are not in the table get 0.
+    line per origin. Pairs that are not in the table get 0. For programs that ask for it; `write_lane_tiles` is the
+    form that holds any number of ids.
 
     A line has a value per id by its nature; lines are made and written by many tasks, and the ids reach them
     as one broadcast row.

@@ -62,6 +62,22 @@ def read_lane_matrix(spark: SparkSession, path: str) -> DataFrame:
     return joined.select("from_id", F.col("to_id").cast("bigint").alias("to_id"), F.col("cost").cast("double").alias("cost"))
 
 
+def read_lane_tiles(spark: SparkSession, path: str, origins: DataFrame | None = None) -> DataFrame:
+    """The lanes of stored tiles as (from_id, to_id, cost); with `origins` (id) only theirs, from their rows of tiles."""
+    ids, tiles = spark.read.parquet(f"{path}/ids"), spark.read.parquet(f"{path}/tiles")
+    wanted = ids if origins is None else ids.join(origins.select("id"), "id", "left_semi")
+    if origins is not None:
+        tiles = tiles.join(wanted.select(F.col("block").alias("row_block")).distinct(), "row_block", "left_semi")
+    cells = tiles.select("row_block", "column_block", "side", F.explode(F.arrays_zip("places", "costs")).alias("_c"))
+    cells = cells.select(
+        "row_block", "column_block", (F.col("_c.places") / F.col("side")).cast("int").alias("_row"),
+        F.pmod(F.col("_c.places"), F.col("side")).alias("_column"), F.col("_c.costs").alias("cost"),
+    )
+    row = wanted.select(F.col("id").alias("from_id"), F.col("block").alias("row_block"), F.col("place").alias("_row"))
+    column = ids.select(F.col("id").alias("to_id"), F.col("block").alias("column_block"), F.col("place").alias("_column"))
+    return cells.join(row, ["row_block", "_row"]).join(column, ["column_block", "_column"]).select("from_id", "to_id", "cost")
+
+
 def _read_document(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 

@@ -61,3 +61,17 @@ def test_landing_keeps_rows_and_partitions(spark, tmp_path):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_lane_tiles_round_trip(spark, tmp_path):
+    """Ids far apart, missing pairs and a tile border inside; one origin opens its row of tiles only."""
+    ids = [3, 7, 8, 1_000_000, -5, 12, 13]
+    pairs = {(a, b): float(a % 10 + b % 7) for a in ids for b in ids if a != b and (a + b) % 3}
+    lanes = spark.createDataFrame([(a, b, c) for (a, b), c in pairs.items()], "from_id bigint, to_id bigint, cost double")
+    path = str(tmp_path / "tiles")
+    sinks.write_lane_tiles(lanes, path, side=3)
+    assert {(r[0], r[1]): r[2] for r in tables.read_lane_tiles(spark, path).collect()} == pairs
+    stored = spark.read.parquet(f"{path}/tiles")
+    assert stored.count() > 4 and max(len(r["places"]) for r in stored.collect()) <= 9
+    some = spark.createDataFrame([(8,), (99,)], "id bigint")
+    assert {(r[0], r[1]): r[2] for r in tables.read_lane_tiles(spark, path, some).collect()} == {k: v for k, v in pairs.items() if k[0] == 8}
