@@ -315,7 +315,7 @@ def zip_cities(spark, folder):
 
 
 @query("m01_fitted_regions", TO_REGIONS + """SELECT count(*) AS n_regions, CAST(sum(n_records) AS BIGINT) AS n_records, true AS fits,
-    (SELECT round((var_pop(vehicle_gps_latitude) + var_pop(vehicle_gps_longitude)) * count(*), 2) FROM logistics WHERE region_id IS NOT NULL) AS one_centre,
+    (SELECT round((var_pop(vehicle_gps_latitude) + var_pop(vehicle_gps_longitude)) * count(*), 2) FROM logistics WHERE region_id IS NOT NULL) AS one_centre
     FROM regions""")
 def fitted_regions(spark, folder):
     """As many clusters as there are cities. SQL states their number, that they hold every record, and `one_centre`, the

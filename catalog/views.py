@@ -49,7 +49,7 @@ questions AS (
   UNION ALL
   SELECT o_custkey + 1000000000, o_orderkey,
          replace(replace(replace(({_forms})[CAST(o_orderkey % {len(QUESTION_FORMS)} AS INTEGER) + 1],
-           '{{s}}', CAST(o_custkey % 100 AS VARCHAR)), '{{p}}', CAST(o_orderkey % 25 AS VARCHAR)),
+           '{{s}}', CAST(o_custkey % (SELECT count(*) FROM supplier) AS VARCHAR)), '{{p}}', CAST(o_orderkey % 25 AS VARCHAR)),
            '{{n}}', CAST(o_orderkey % 900 + 100 AS VARCHAR))
   FROM orders
 )"""

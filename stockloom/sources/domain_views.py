@@ -145,7 +145,8 @@ def questions(spark: SparkSession, folder: str, read: Callable[[SparkSession, st
     order itself (a customer is a conversation, the order key is the turn)."""
     said = read(spark, folder, "conversations").where("role = 'user'").select("conv_id", "turn", "text")
     ask = F.col("o_orderkey") % len(QUESTION_FORMS)
-    ids = {"{s}": F.col("o_custkey") % 100, "{p}": F.col("o_orderkey") % 25, "{n}": F.col("o_orderkey") % 900 + 100}
+    stores = max(1, table(spark, folder, "supplier").count())  # a number, also where orders arrive as a stream
+    ids = {"{s}": F.col("o_custkey") % stores, "{p}": F.col("o_orderkey") % 25, "{n}": F.col("o_orderkey") % 900 + 100}
     text = F.element_at(F.array(*[F.lit(q) for q in QUESTION_FORMS]), (ask + 1).cast("int"))
     for mark, value in ids.items():
         text = F.replace(text, F.lit(mark), value.cast("string"))
