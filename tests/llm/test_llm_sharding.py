@@ -62,3 +62,31 @@ def test_plan_has_no_python(spark, capsys):
     sharding.shard(table(spark, 20)).explain()
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_scatter_and_cut_replayed(spark):
+    """Buckets by the seeded hash, each one's rows all drawn once, and the cut of the buckets end to end, in plain Python."""
+    xxhash = pytest.importorskip("xxhash")
+    n, shards, seed, bucket_bytes = 700, 9, 5, 900
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab"), (F.col("id") % 30).cast("int")).alias("text")).coalesce(1)
+    total_bytes = sum(16 + 2 * (i % 30) for i in range(n))
+    buckets = max(4, -(-total_bytes // bucket_bytes))
+    start = xxhash.xxh64(seed.to_bytes(4, "little"), seed=42).intdigest()
+
+    def bucket(at):
+        h = xxhash.xxh64(at.to_bytes(8, "little"), seed=start).intdigest()
+        return (h - (1 << 64) if h >> 63 else h) % buckets
+
+    drawn = sharding.shuffled_buckets(docs, seed=seed, bucket_bytes=bucket_bytes).collect()
+    assert all(r["bucket"] == bucket(r["row"]["doc_id"]) for r in drawn)
+    places = {}
+    for r in drawn:
+        places.setdefault(r["bucket"], []).append(r["place"])
+    assert all(sorted(p) == list(range(len(p))) for p in places.values()) and len(drawn) == n
+    order = [r["row"]["doc_id"] for r in sorted(drawn, key=lambda r: (r["bucket"], r["place"]))]
+    want = {}
+    for at, doc in enumerate(order):
+        shard = at * shards // n
+        want[doc] = (shard, at - -(-shard * n // shards))
+    got = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard(docs, shards, seed=seed, bucket_bytes=bucket_bytes).collect()}
+    assert got == want
