@@ -1,6 +1,9 @@
 """The automaton against the tokenizers library, and the round trip."""
 
 import hashlib
+import itertools
+import json
+import pickle
 import random
 import struct
 
@@ -82,3 +85,63 @@ def test_documents(spark, library):
     back = bpe.decode(encoded, PATH).selectExpr("coalesce(text, '') = decoded AS same").collect()
     assert all(r["same"] for r in back) and len(back) == 5
     assert bpe.encode(docs.limit(0), PATH).count() == 0
+
+
+def small_vocabulary(pick, letters="abc", size=9):
+    """Random merges over a few letters; some can never happen, some have the same result."""
+    ids, merges = {c: i for i, c in enumerate(letters)}, []
+    while len(merges) < size:
+        a, b = pick.choice(list(ids)), pick.choice(list(ids))
+        if [a, b] not in merges:
+            merges.append([a, b])
+            ids.setdefault(a + b, len(ids))
+    return ids, merges
+
+
+def plain_automaton(ids, merges):
+    """Gadget by gadget, with a state for every token and the arcs of each state as a set."""
+    arcs = {"": {t for t in ids if len(t) == 1}}
+    arcs |= {t: set(arcs[""]) for t in arcs[""]}
+    for u, v in merges:
+        if u in arcs and v in arcs and v in arcs[u]:
+            before = set(arcs[v])
+            arcs[u].discard(v)
+            if u + v not in arcs:
+                arcs[u + v] = before
+                for state in arcs.values():
+                    if u in state:
+                        state.add(u + v)
+    return arcs
+
+
+def merged(word, merges):
+    """The merges one after another, each from the left."""
+    parts = list(word)
+    for u, v in merges:
+        i = 0
+        while i + 1 < len(parts):
+            if parts[i] == u and parts[i + 1] == v:
+                parts[i : i + 2] = [u + v]
+            i += 1
+    return parts
+
+
+def test_states_and_arcs_equal_a_plain_construction():
+    pick = random.Random(21)
+    for _ in range(60):
+        ids, merges = small_vocabulary(pick)
+        if len({a + b for a, b in merges}) < len(merges):
+            continue  # two merges with one result: the plain merging below has no rule for it
+        built = bpe.Automaton(json.dumps({"model": {"vocab": ids, "merges": merges}}))
+        arcs = plain_automaton(ids, merges)
+        assert {t.decode() for t in built.token} == set(arcs) - {""}
+        for before, after in itertools.product(arcs, set(arcs) - {""}):
+            state = built.states[ids[before]] if before else bpe.START
+            assert built.has_arc(state, ids[after]) == (after in arcs[before]), (merges, before, after)
+        # As few states as gadgets make: tokens with the same arcs may share, tokens with others never do.
+        assert built.table.shape[1] <= len(arcs)
+        again = pickle.loads(pickle.dumps(built))
+        for n in range(1, 7):
+            for word in map("".join, itertools.product("abc", repeat=n)):
+                want = [ids[t] for t in merged(word, merges)]
+                assert built.encode_word(word.encode()) == want == again.encode_word(word.encode()), (merges, word)
