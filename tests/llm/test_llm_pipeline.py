@@ -24,7 +24,7 @@ def docs(spark):
 
 
 def test_all_queries_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert {*(f"op{n}" for n in range(1, 14)), "ledger"} == {q.split("_")[0] for q in queries.QUERIES}
     assert {"pipeline", *queries.QUERIES} <= set(entry.queries())
     assert set(queries.SQL) <= set(queries.QUERIES)
 
