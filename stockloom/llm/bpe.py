@@ -12,7 +12,7 @@ path whose labels spell it, and that path is its encoding.
 
 The state after a token depends on that token alone, and tokens share a state as long as no gadget tells them
 apart, so the states are a list of one entry per token and the arcs a table of one bit per state and token
-(14,625 states and 92 MB for 50,000 merges). It is built once, on the driver, and sent to the workers
+(14,639 states and 92 MB for 50,000 merges). It is built once, on the driver, and sent to the workers
 compressed; its size depends on the vocabulary, never on the corpus.
 
 Encoding goes once through a word, from the left. A place between two bytes is entered by the one token that
