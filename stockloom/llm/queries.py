@@ -106,9 +106,8 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id <> first THEN first END AS refers_to, true AS intact
 FROM d""")
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
-    place = scratch_path(spark, "packages")
-    warc.write_packages(table(spark, folder, "pages"), place)
-    rows = warc.read_packages(spark, place, payload=False)
+    packages = warc.write_packages(table(spark, folder, "pages"), scratch_path(spark, "packages"))
+    rows = warc.read_packages(spark, packages, payload=False)
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 

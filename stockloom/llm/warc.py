@@ -10,8 +10,10 @@ whole, so one huge package is read by as many tasks as many small ones.
 Of pages with equal payloads the one with the smallest id is written as `response`; the others are
 `revisit` records, which refer to it and hold no payload. Equal payloads are found by SHA-1 and length.
 
-Packages go to the shared folder under a name given by task, through a temporary name, so a repeated task
-replaces its own file and a reader never sees a part of one.
+Packages go to the shared folder under a name of their own for each attempt of a task, through a temporary
+name, so a reader never sees a part of one. The table that writing returns lists the packages of the attempts
+that counted; reading it leaves out what lost or repeated attempts left in the folder. A folder can be read, too,
+for archives that come from elsewhere.
 
 Defined results: a null page counts as empty; a null url is left out. Rows without an id are responses if no
 row of their payload has one, and revisits else. If rows repeat the smallest id of a payload, all of them are
@@ -107,6 +109,7 @@ class Package:
     """A package being written: records straight to the stream, the index at the end."""
 
     def __init__(self, place: str):
+        self.place = place
         self.system, self.path = fs.FileSystem.from_uri(place)
         self.temporary = f"{self.path}.{uuid.uuid4().hex}"
         self.stream = self.system.open_output_stream(self.temporary)
@@ -149,18 +152,18 @@ def write_packages(pages: DataFrame, folder: str, id: str = "page_id", url: str
     system.create_dir(root, recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
+        attempt = TaskContext.get().taskAttemptId()
         package, made = None, []
 
         def close() -> None:
             package.close()
-            made.append((package.path, len(package.index), package.size))
+            made.append((package.place, len(package.index), package.size))
 
         for batch in batches:
             for row in zip(*[batch.column(i) for i in range(batch.num_columns)]):
                 page, address, text, sha, first_page, again = (v.as_py() for v in row)
                 if package is None:
-                    package = Package(f"{folder.rstrip('/')}/pages-{task:06d}-{len(made):04d}.wacz")
+                    package = Package(f"{folder.rstrip('/')}/pages-{attempt:09d}-{len(made):04d}.wacz")
                 digest = base64.b32encode(bytes.fromhex(sha)).decode()
                 package.add(page, address, record(page, address, text.encode(), digest, first_page, again), digest)
                 if package.size >= PACKAGE_BYTES:
@@ -261,11 +264,14 @@ def _reader(path: str) -> tuple[Read, int]:
     return (lambda at, n: file.read_at(n, at)), file.size()
 
 
-def read_packages(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
-    """The records of all packages of a folder: page_id, url, record_type, payload_bytes, payload_digest (of
+def read_packages(spark: SparkSession, packages: DataFrame | str, payload: bool = True) -> DataFrame:
+    """The records of the listed packages (column `path`), or of all packages of a folder: page_id, url, record_type, payload_bytes, payload_digest (of
     the full payload, also for revisits), refers_to, intact (the payload has that digest), package and,
     unless left out, payload."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.wacz").load(folder).select("path")
+    if isinstance(packages, str):
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.wacz").load(packages).select("path")
+    else:
+        listed = packages.select("path").repartition(partitions(spark), "path")
     ship(spark)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import shutil
 import struct
 import zipfile
 import zlib
@@ -16,8 +17,8 @@ from stockloom.session import scratch_path
 def written(spark, rows, **more):
     folder = scratch_path(spark, "test-packages")
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS digest", "2 AS first")
-    warc.write_packages(pages, folder, **more)
-    return [r.asDict() for r in warc.read_packages(spark, folder).collect()]
+    packages = warc.write_packages(pages, folder, **more)
+    return [r.asDict() for r in warc.read_packages(spark, packages).collect()]
 
 
 def test_round_trip_and_revisits(spark):
@@ -44,6 +45,16 @@ def test_small_payloads_may_stay_responses(spark):
     assert {r["page_id"]: r["refers_to"] for r in got} == {1: None, 2: None, 3: None, 4: 3}
 
 
+def test_packages_of_lost_attempts_are_not_read(spark):
+    folder = scratch_path(spark, "test-packages")
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"page {i % 3}") for i in range(6)], "page_id long, url string, html string")
+    packages = warc.write_packages(pages, folder)
+    path = packages.first()["path"]
+    shutil.copy(path.removeprefix("file://"), path.removeprefix("file://").replace("pages-", "pages-9"))
+    assert sorted(r["page_id"] for r in warc.read_packages(spark, packages).collect()) == list(range(6))
+    assert warc.read_packages(spark, folder).count() > 6  # a folder is read as it lies
+
+
 def test_many_packages_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(warc, "PACKAGE_BYTES", 2000)
     monkeypatch.setattr(warc, "BLOCK_BYTES", 700)
