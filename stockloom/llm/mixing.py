@@ -2,15 +2,16 @@
 
 A source with weight w is to make up the share w of the mixture, so its documents repeat at the mean rate
 `epochs * total size * w / size of the source`. The number of copies of a document is a Poisson variable of
-that mean, read off the inverse of the distribution at a number that a seeded hash of the document's id
-gives. The copies are then shuffled globally: each has a place of its own, hashed from id and copy.
+that mean, read off the inverse of the distribution at a number that a seeded hash of the document's id (of
+its whole text where it has none) gives. The copies are then shuffled globally: each has a place of its own, hashed from id and copy.
 
 Only sizes per source are gathered; one row per source meets the documents. Everything is column
 expressions. A source of any size stays spread over all tasks, since documents are dealt by copy.
 
 Defined results: a null source is a source; a source without a weight, or with weight null or not above
 zero, does not enter the mixture. A null text has size 1, as every document counts its characters plus one.
-Rows that share an id, null included, get the same number of copies each. An empty table gives no rows.
+Rows of a source that share an id get the same number of copies each, and so do rows without id that share a
+text, or are empty. Texts of any length are hashed whole. An empty table gives no rows.
 Input columns named like an added column (`copy`, `mix_key`, `rate`) are replaced.
 """
 
@@ -87,7 +88,7 @@ def mix(
     rates = replication_rates(sizes, tempered_weights(sizes, exponent) if weights is None else weights, epochs)
     rates = stored(_with_inverse(rates).select(_source_key(F.col("source")).alias("__source"), "rate", "parts", "inverse"), "rates")
 
-    ident = F.coalesce(col(id).cast("string"), F.lit(""))
+    ident = F.coalesce(col(id).cast("string"), F.concat(F.lit("-"), F.md5(F.coalesce(col(text).cast("string"), F.lit("")))))
     added = ("copy", "mix_key", "rate")
     kept = [c for c in docs.columns if c.lower() not in added]
     rows = docs.select(

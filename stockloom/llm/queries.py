@@ -76,14 +76,14 @@ WITH sizes AS (
   ) GROUP BY source, rate, parts
 ), counted AS (
   SELECT d.*, rate, list_sum(list_transform(range(1, CAST(parts AS BIGINT) + 1), lambda i: len(list_filter(inverse, lambda c:
-    c <= CAST(('0x' || substr(md5('{mixing.SEED}|count|' || i || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT)
+    c <= CAST(('0x' || substr(md5('{mixing.SEED}|count|' || i || '|' || coalesce(CAST(doc_id AS VARCHAR), '-' || md5(coalesce(text, '')))), 1, 13)) AS BIGINT)
       / 4503599627370496.0)))) AS n
   FROM documents d JOIN inverse ON d.source IS NOT DISTINCT FROM inverse.source
 ), copies AS (
   SELECT *, unnest(range(1, CAST(n AS BIGINT) + 1)) AS nth FROM counted
 )
 SELECT doc_id, text, lang, source, n_chars, CAST(nth AS INTEGER) AS "copy", round(rate, 6) AS rate,
-       CAST(('0x' || substr(md5('{mixing.SEED}|place|' || nth || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15)) AS BIGINT) AS mix_key
+       CAST(('0x' || substr(md5('{mixing.SEED}|place|' || nth || '|' || coalesce(CAST(doc_id AS VARCHAR), '-' || md5(coalesce(text, '')))), 1, 15)) AS BIGINT) AS mix_key
 FROM copies""")
 def op1_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Sources flattened by the square root of their sizes, one epoch in all."""

@@ -25,9 +25,11 @@ def inverse(mean, u):
     return k
 
 
-def copies(rate, id):
+def copies(rate, id, text=None):
+    if id is None:
+        id = "-" + hashlib.md5((text or "").encode()).hexdigest()
     parts = max(1, math.ceil(rate / mixing.PART_MEAN))
-    return sum(inverse(rate / parts, unit(mixing.SEED, "count", i, "" if id is None else id)) for i in range(1, parts + 1))
+    return sum(inverse(rate / parts, unit(mixing.SEED, "count", i, id)) for i in range(1, parts + 1))
 
 
 def documents(spark):
@@ -54,8 +56,8 @@ def test_copies_follow_the_weights(spark, monkeypatch, weights, epochs, most_bro
     assert got.columns == ["doc_id", "text", "source", "odd.name", "copy", "rate", "mix_key"]
     found = Counter((r["doc_id"], r["source"], r["copy"]) for r in got.collect())
     rate, want = rates(rows, weights, epochs), Counter()
-    for id, _, source in rows:
-        for k in range(1, copies(rate[source], id) + 1 if source in rate else 1):
+    for id, text, source in rows:
+        for k in range(1, copies(rate[source], id, text) + 1 if source in rate else 1):
             want[id, source, k] += 1
     assert found == want
 
@@ -84,6 +86,17 @@ def test_means_come_out_and_the_order_is_shuffled(spark):
     assert [(r["doc_id"], r["copy"]) for r in again] == [(r["doc_id"], r["copy"]) for r in got]
 
 
+def test_rows_without_id_keep_the_weights(spark):
+    long = "y" * 3_000_000
+    rows = [(None, f"text {i}", "a") for i in range(1500)] + [(None, f"text {i}", "b") for i in range(500)] + [(None, long, "c")]
+    weights = {"a": 1.0, "b": 1.0, "c": 200.0}
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(list(weights.items()), "source string, weight double"), epochs=0.5)
+    rate, found = rates(rows, weights, 0.5), Counter(r["source"] for r in got.select("source").collect())
+    assert found == {s: n for s in "abc" if (n := sum(copies(rate[s], id, text) for id, text, source in rows if source == s))}
+    for s, n in (("a", 1500), ("b", 500)):
+        assert abs(found[s] - n * rate[s]) < 5 * math.sqrt(n * rate[s])
+
+
 def test_empty_and_useless_weights(spark):
     _, docs = documents(spark)
     assert mixing.mix(docs.limit(0)).count() == 0
