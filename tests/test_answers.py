@@ -236,3 +236,39 @@ def test_posting_lists_are_cut_and_united(spark, monkeypatch):
         got.setdefault(r["answer_key"], []).append(r["position"])
     everything, few = list(range(95)), [i for i in range(95) if i % 7 == 0]
     assert {k: sorted(v) for k, v in got.items()} == {"k0": everything, "k1": everything, "k2": everything, "k3": sorted([1, *few])}
+
+
+def above_the_join(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan
+    return plan[:plan.index("Join")]
+
+
+def test_matches_are_not_shuffled(spark, monkeypatch):
+    """There may be as many as requests times records, so only requests, records and their index move; each match once."""
+    monkeypatch.setattr(an, "POSTING_BLOCK", 3)
+    monkeypatch.setattr(an, "settle", lambda df: df)
+    rows = [("A", i, ["p:1", f"s:{i % 2}", "s:7"], f"text {i}") for i in range(8)]
+    rows += [("A", 2, ["p:2"], "other 2"), ("A", None, ["p:1"], "nowhere"), (None, 0, ["p:2", "s:0"], "unknown"), ("A", 9, ["p:2"], None)]
+    sections = spark.createDataFrame(rows, "scenario string, position bigint, tokens array<string>, section string")
+    asked = spark.createDataFrame(
+        [("both", "x", ["p:1", "p:2", "s:0", "s:7"]), ("both", "x", ["p:1", "p:2", "s:0", "s:7"]), ("all", "x", []), ("one", "x", ["s:1"]),
+         ("pair", "x", ["s:0", "s:1"]), ("none", "x", ["p:9"]), ("other", "y", ["p:1"])], "answer_key string, intent string, tokens array<string>")
+    blocks, texts = an.matched_blocks(asked, an.postings(sections), "x"), an.matched_texts(asked, sections, "x")
+    assert "Exchange" not in above_the_join(blocks) and "Exchange" not in above_the_join(texts)
+    known = [(s or "Unknown", p, set(t), x) for s, p, t, x in rows if p is not None]
+    found_by = {}
+    for s, p, t, _ in known:
+        found_by.setdefault((s, p), set()).update(t)  # records of one place are found together
+    want = {
+        k: [(s, p, x) for s, p, _, x in known if not w or found_by[s, p] & set(w)]
+        for k, i, w in map(tuple, asked.collect()) if i == "x"
+    }
+    named = an.scenario_names(sections)
+    for key, hits in want.items():
+        got = texts.where(F.col("answer_key") == key).select("scenario", "position", "section").collect()
+        assert sorted(map(tuple, got), key=str) == sorted(hits, key=str)
+        places = an.listed(blocks).where(F.col("answer_key") == key).select("scenario", "position").collect()
+        assert sorted(map(tuple, places)) == sorted({h[:2] for h in hits})
+        shown = an.record_answers(asked.withColumn("intent", F.regexp_replace("intent", "x", "explain_transfer")), sections, "explain_transfer", named)
+        assert shown.where((F.col("answer_key") == key) & (F.col("place") > 0)).count() == len(hits)
