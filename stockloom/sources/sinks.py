@@ -9,11 +9,16 @@ from pyspark.sql import types as T
 from stockloom.operators.ordered import row_numbers
 
 
+#: Rows of a CSV file at most. A compressed file is read by one task, so its size must not follow that of its writer's input.
+ROWS_PER_FILE = 100_000
+
+
 def write_table(df: DataFrame, path: str) -> None:
-    """CSV with a header. Arrays and structs are written as JSON text."""
+    """CSV with a header, compressed by gzip (readers go by the ending). Arrays and structs are written as JSON text."""
     nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
     flat = df.withColumns({c: F.to_json(c) for c in nested}) if nested else df
-    flat.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    packed = flat.write.mode("overwrite").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    packed.option("maxRecordsPerFile", ROWS_PER_FILE).option("header", True).option("escape", '"').csv(path)
 
 
 def land_demand(spark: SparkSession, source: str, target: str, partition: str = "dt") -> None:

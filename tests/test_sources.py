@@ -51,6 +51,16 @@ def test_csv_sink_writes_arrays_as_json(spark, tmp_path):
     assert spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "c")).count() == 1
 
 
+def test_csv_sink_compresses_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_PER_FILE", 40)
+    df = spark.range(0, 100, 1, 1).select("id", F.array(F.col("id") / 7, F.col("id") / 11).alias("sold"), F.lit('a "b", c\nd').alias("note"))
+    sinks.write_table(df, str(tmp_path / "c"))
+    files = list((tmp_path / "c").glob("part-*"))
+    assert len(files) == 3 and all(f.name.endswith(".csv.gz") for f in files)
+    back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).schema("id long, sold string, note string").csv(str(tmp_path / "c"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.withColumn("sold", F.to_json("sold")).collect()))
+
+
 def test_landing_keeps_rows_and_partitions(spark, tmp_path):
     rows = spark.range(100).select((F.col("id") % 3).alias("dt"), F.col("id").alias("store_id"), F.lit(1).alias("product_id"))
     rows.write.parquet(str(tmp_path / "in"))
