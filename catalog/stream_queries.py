@@ -11,12 +11,12 @@ from stockloom.sources import domain_views as views
 from stockloom.streaming import conversations, demand_streams, runs
 
 D = with_views(DEMAND)
-FILES = 6
+BATCHES = 6
 
 
 def _demand(spark, folder, *columns):
-    """Demand over line items that arrive in files of mixed dates, one file per batch."""
-    return views.demand_stream(spark, folder, *columns, read=views.arriving(FILES, "l_orderkey", "l_linenumber"))
+    """Demand over line items that arrive in files of mixed dates, so many batches."""
+    return views.demand_stream(spark, folder, *columns, read=views.arriving(BATCHES, "l_orderkey", "l_linenumber"))
 
 
 @query("t01_running_store_demand", D + "SELECT store_id, sum(sale_amount) AS total_demand FROM demand GROUP BY 1")
@@ -56,7 +56,7 @@ def carried_intents(spark, folder):
     return conversations.run_carried(asked)
 
 
-@query("t05_progress", D + TOP + f""" SELECT CAST({FILES} AS BIGINT) AS n_batches, (SELECT count(*) FROM demand) AS rows_read,
+@query("t05_progress", D + TOP + f""" SELECT CAST({BATCHES} AS BIGINT) AS n_batches, (SELECT count(*) FROM demand) AS rows_read,
     (SELECT count(*) FROM demand WHERE store_id IN (SELECT store_id FROM top)) AS rows_kept""")
 def progress(spark, folder):
     """Batches, rows read and rows kept over the whole stream."""

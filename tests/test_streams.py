@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockloom.operators import answers as an
+from stockloom.sources import domain_views as views
 from stockloom.streaming import conversations, demand_streams, runs
 
 SCHEMA = "store_id int, product_id int, dt date, sale_amount double, holiday_flag int"
@@ -115,3 +116,23 @@ def test_work_per_batch_does_not_grow(spark, tmp_path):
     assert per_batch == {n: n % 5 + 2 for n in range(50)}
     got = runs.latest(spark, f"{path}/intents", conversations.TURN)
     assert got.where("conv_id < 100 AND intent = 'explain_transfer'").count() == 50
+
+
+@pytest.mark.parametrize("parts, files", [(1, 3), (3, 3), (7, 9)])
+def test_larger_tables_arrive_in_as_many_batches_of_more_files(spark, tmp_path, parts, files):
+    """So many rows of one file a task has, however large the table is."""
+    spark.range(0, 3000, 1, parts).write.parquet(str(tmp_path / "t.parquet"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    size = max(f.stat().st_size for f in (tmp_path / "t.parquet").glob("part-*"))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))  # every file is a part
+        spark.conf.set("spark.sql.files.openCostInBytes", str(size))
+        stream_ = views.arriving(3, "id")(spark, str(tmp_path), "t")
+    finally:
+        for name, value in zip(("maxPartitionBytes", "openCostInBytes"), before):
+            spark.conf.set(f"spark.sql.files.{name}", value)
+    out = str(tmp_path / "out")
+    runs.log_progress(stream_, lambda b: b.withColumn("file", F.input_file_name()), out, str(tmp_path / "state"))
+    assert runs.progress(spark, out).count() == 3
+    got = spark.read.parquet(f"{out}/rows")
+    assert got.select("file").distinct().count() == files and sorted(r["id"] for r in got.select("id").collect()) == list(range(3000))
