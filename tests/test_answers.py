@@ -272,3 +272,16 @@ def test_matches_are_not_shuffled(spark, monkeypatch):
         assert sorted(map(tuple, places)) == sorted({h[:2] for h in hits})
         shown = an.record_answers(asked.withColumn("intent", F.regexp_replace("intent", "x", "explain_transfer")), sections, "explain_transfer", named)
         assert shown.where((F.col("answer_key") == key) & (F.col("place") > 0)).count() == len(hits)
+
+
+def test_questions_are_classified_in_many_tasks(spark, monkeypatch):
+    """A small file of many short questions is one part, but not one task of classification; results are as before."""
+    texts = ["why transfer product 7", "show all", "good morning", "list everything", "m_123 please"]
+    asked = spark.range(0, 400, 1, 1).select(
+        (F.col("id") % 9).alias("conv_id"), F.col("id").alias("turn"), F.element_at(F.array(*map(F.lit, texts)), (F.col("id") % 5 + 1).cast("int")).alias("text"))
+    seen, classify = [], an.classify
+    monkeypatch.setattr(an, "classify", lambda q, strict=False: seen.append(q.select("chunk").distinct().count()) or classify(q, strict))
+    got = an.understood(asked)
+    assert seen == [int(spark.conf.get("spark.sql.shuffle.partitions"))] and "text" not in got.columns
+    shown = ["conv_id", "turn", "intent"]
+    assert sorted(map(tuple, got.select(shown).collect())) == sorted(map(tuple, an.carry_over(classify(asked)).select(shown).collect()))
