@@ -5,6 +5,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from stockloom.operators import allocation as al
+from stockloom.plans import allocation as plans
 from stockloom.operators.allocation import assemble
 from stockloom.operators.forecast import to_wide
 from stockloom.plans.allocation import allocate
@@ -47,3 +49,22 @@ def test_from_raw_tables_to_answers(spark, tmp_path):
     save(ready, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out" / "series_day")).count() == ready.series_day.count()
     assert spark.read.option("header", True).csv(str(tmp_path / "out" / "city_params")).count() == n
+
+
+def test_capacities_share_what_does_not_depend_on_them(spark, monkeypatch):
+    """Targets, balances and the flows without a limit are made once for all capacities; each plan is that of its own run."""
+    rows = [(s, p, 70.0, 10.0, 2.0, 1, 3.0, 0.5, 400.0, 20.0 * (s % 3)) for s in range(6) for p in range(2)]
+    names = "store_id int, product_id int, total_demand_7d double, avg_daily_demand double, demand_std double, city_id int, " \
+            "lead_time_days_mean double, delay_probability_mean double, shipping_costs_mean double, current_inventory double"
+    assembled = spark.createDataFrame(rows, names)
+    cities = spark.createDataFrame([(1, 30.0, -100.0, 400.0)], "city_id int, centroid_lat double, centroid_lon double, shipping_costs_mean double")
+    stores = assembled.select("store_id", "city_id").distinct()
+    calls, flows = [], al.plan_flows
+    monkeypatch.setattr(al, "plan_flows", lambda *a: calls.append(1) or flows(*a))
+    runs = plans.allocate_within(assembled, stores, cities, 1.0, [100.0, 1000.0])
+    assert len(calls) == 1
+    for capacity, got in zip((100.0, 1000.0), runs):
+        alone = plans.allocate(assembled, stores, cities, 1.0, capacity)
+        shown = ["store_id", "product_id", "made", "final"]
+        assert sorted(map(tuple, got.plan.select(shown).collect())) == sorted(map(tuple, alone.plan.select(shown).collect()))
+        assert got.capacity == capacity
