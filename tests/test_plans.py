@@ -68,3 +68,28 @@ def test_capacities_share_what_does_not_depend_on_them(spark, monkeypatch):
         shown = ["store_id", "product_id", "made", "final"]
         assert sorted(map(tuple, got.plan.select(shown).collect())) == sorted(map(tuple, alone.plan.select(shown).collect()))
         assert got.capacity == capacity
+
+
+def test_forecast_metrics_hold_for_both_models(spark, monkeypatch):
+    """The query measures the linear models and the forest; what fails for one of them is not said to hold."""
+    from types import SimpleNamespace
+
+    from catalog import forecast_queries as fq
+
+    names = "store_id int, product_id int, n_train long, n_test long, MAE double, RMSE double, mean_MAE double, mean_RMSE double"
+    features = spark.createDataFrame([(9.0,)], "demand double")
+
+    def made(*errors):
+        rows = [(1, p, 8, 2, e, e, 1.0, 1.0) for p, e in enumerate(errors)]
+        return SimpleNamespace(metrics=spark.createDataFrame(rows, names), features=features)
+
+    monkeypatch.setattr(fq.views, "demand", lambda *a: None)
+    for linear, forest, want in (
+        (made(1.0, 1.0), made(1.0, 1.0), [(True, True), (True, True)]),
+        (made(1.0, 1.0), made(1.5, 1.0), [(True, False), (True, False)]),
+        (made(1.0, 1.0), made(0.5, 20.0), [(True, False), (False, False)]),
+        (made(1.0, 1.0), made(1.0), [(True, True), (False, False)]),
+    ):
+        monkeypatch.setattr(fq, "forecast_both", lambda demand, a=linear, b=forest: (a, b))
+        got = fq.forecast_metrics(spark, "").orderBy("product_id").select("consistent", "no_worse").collect()
+        assert [tuple(r) for r in got] == want
