@@ -285,3 +285,14 @@ def test_questions_are_classified_in_many_tasks(spark, monkeypatch):
     assert seen == [int(spark.conf.get("spark.sql.shuffle.partitions"))] and "text" not in got.columns
     shown = ["conv_id", "turn", "intent"]
     assert sorted(map(tuple, got.select(shown).collect())) == sorted(map(tuple, an.carry_over(classify(asked)).select(shown).collect()))
+
+
+def test_the_plan_of_all_answers_has_only_requests_and_records(spark, records):
+    """What needs no request is stored first; the plan that writes the answers joins requests with records and reads the rest."""
+    transfers, manufacturing, scenario = records
+    costs = scenario.join(transfers.agg(F.count("*").alias("n")).join(manufacturing.agg(F.count("*").alias("m")))).drop("n", "m")  # behind joins, as in a run
+    made = answer(ask(spark, "transfers for product 9", "list entities", "how many transfers"), transfers, manufacturing, costs)
+    plan = made.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2 * 2 and "Window" not in plan  # per kind of record: its tokens asked for, and the requests
+    keys = {r["answer_key"] for r in made.rows.select("answer_key").distinct().collect()}
+    assert {"explain_transfer|p:product_9", "scenario|", "list_entities|", "total_counts|", "greeting|", "out_of_scope|"} <= keys
